@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, secrets, token_counts
-from .common import table
+from . import chat, decontaminate, mixing, quality, secrets, token_counts, toxicity
+from .common import held_out, table
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,31 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count(0), count(1), count(2), F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), live.alias("n_live"))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_token_counts, op3_secret_scan)}
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def scored(found: DataFrame, least: float) -> DataFrame:
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(quality.quality_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")), 0.3)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(toxicity.toxicity_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")), 0.5)
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trap = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(trap)
+    found = chat.read_back(chat.format_chats(chat.events_of(rows)))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return found.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_token_counts, op3_secret_scan, op6_source_mixing, op7_quality_classifier, op8_toxicity, op10_chat_formatting)}
 
 WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -47,4 +71,25 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op6_source_mixing": """
+WITH RECURSIVE sizes AS (SELECT coalesce('=' || source, '') AS key, sum(coalesce(strlen(text), 0)) AS bytes FROM documents GROUP BY 1),
+weighted AS (SELECT key, bytes, pow(CAST(bytes AS DOUBLE), 0.5) AS weight FROM sizes),
+rated AS (SELECT key, CASE WHEN bytes > 0 THEN weight * ((SELECT CAST(sum(bytes) AS DOUBLE) FROM weighted) / (SELECT sum(weight) FROM weighted)) / bytes ELSE 1.0 END AS rate FROM weighted),
+pieces AS (SELECT key, rate / greatest(ceil(rate / 256), 1) AS mean, CAST(greatest(ceil(rate / 256), 1) AS INTEGER) AS many FROM rated),
+cdf AS (SELECT key, mean, 0 AS k, exp(-mean) AS p, exp(-mean) AS total FROM pieces
+        UNION ALL SELECT key, mean, k + 1, p * mean / (k + 1), total + p * mean / (k + 1) FROM cdf WHERE k < ceil(mean + 12 * sqrt(mean) + 20)),
+curves AS (SELECT key, list(total ORDER BY k) AS cdf FROM cdf GROUP BY key),
+drawn AS (SELECT d.*, p.key, many, unnest(generate_series(1, many)) AS j FROM documents d JOIN pieces p ON p.key = coalesce('=' || d.source, '')),
+counted AS (SELECT doc_id, text, lang, source, n_chars, sum(len(list_filter(cdf, lambda c: c <= CAST(CAST('0x' || md5('7|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || j)[1:13] AS BIGINT) AS DOUBLE) / 4503599627370496))) AS n
+            FROM drawn JOIN curves USING (key) GROUP BY ALL)
+SELECT doc_id, text, lang, source, n_chars, CAST(unnest(generate_series(1, CAST(n AS BIGINT))) AS INTEGER) AS replica FROM counted WHERE n > 0""",
+    "op10_chat_formatting": r"""
+WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+              UNION ALL SELECT -7, t, CASE WHEN t = 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) r(t)),
+escaped AS (SELECT *, replace(replace(text, '\', '\s'), '<', '\l') AS body, replace(replace(replace(role, '\', '\s'), '<', '\l'), chr(10), '\n') AS head FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       CAST(sum(15 + length(head) + length(body)) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id""",
 }
