@@ -52,3 +52,8 @@ def held_out(doc_id: Column) -> Column:
 def bounded_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
     """At most n rows, chosen by the hash of key: a top-n, which no task holds whole."""
     return rows.orderBy(F.xxhash64(F.col(key).cast("string")), F.col(key)).limit(n)
+
+
+def table_bound(rows: DataFrame, most: int) -> DataFrame:
+    """rows, to be broadcast if they are counted to be at most so many; else left to a shuffle join."""
+    return F.broadcast(rows) if rows.count() <= most else rows
