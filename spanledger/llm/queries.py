@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, neardup, quality, secrets, token_counts, toxicity
+from . import ann, chat, decontaminate, mixing, neardup, quality, secrets, token_counts, toxicity
 from .common import held_out, table
 
 
@@ -28,6 +28,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count(0), count(1), count(2), F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), live.alias("n_live"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors.filter(F.col("vec_id") % 20 == 0), vectors)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -57,7 +62,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_token_counts, op3_secret_scan, op6_source_mixing, op7_quality_classifier, op8_toxicity, op9_minhash_neardup, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_token_counts, op3_secret_scan, op5_nearest_neighbours, op6_source_mixing, op7_quality_classifier, op8_toxicity, op9_minhash_neardup, op10_chat_formatting)}
 
 WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
