@@ -259,7 +259,7 @@ def exact_links(docs: DataFrame, nodes: DataFrame, percent: int, *, id_col: str,
     large = checkpoint(one.filter(F.col("chunks") > 1).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))))
     pivots = large.join(large.groupBy("root").agg(F.max_by("chunks", "node").alias("of")), "root")
     pivots = pivots.filter(F.pmod(F.xxhash64("node", F.lit(1)), F.col("of") * (GROUP_NODES // PIVOTS)) == 0)
-    every = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).cast("bigint"))
+    every = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks").cast("bigint") - 1)))
     first = large.select("root", "node", "text", "chunk").unionByName(every.select("root", "node", "text", "chunk"))
     found = checkpoint(few.unionByName(in_groups(first, solve(percent, "root", "chunk"), "root", "chunk")))
     parts = checkpoint(components(found)).withColumnRenamed("root", "part")
@@ -270,8 +270,8 @@ def exact_links(docs: DataFrame, nodes: DataFrame, percent: int, *, id_col: str,
     rest = cut.filter(F.col("part") != F.col("main"))
     pieces = rest.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / GROUP_NODES).cast("int").alias("pieces"))
     rest = rest.join(pieces, "root").withColumn("piece", F.pmod(F.xxhash64("node", F.lit(2)), F.col("pieces")))
-    left = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).cast("bigint"))
-    right = cut.join(pieces, "root").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).cast("bigint"))
+    left = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks").cast("bigint") - 1)))
+    right = cut.join(pieces, "root").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces").cast("bigint") - 1)))
     columns = ["root", "chunk", "piece", "node", "part", "text"]
     last = in_groups(left.select(columns).unionByName(right.select(columns)), solve(percent, "root", "chunk", "piece"), "root", "chunk", "piece")
     return components(found.unionByName(last))
