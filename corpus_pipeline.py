@@ -3,26 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spanledger.llm import decontaminate, secrets
-from spanledger.llm.common import table
+from spanledger.llm import decontaminate, mixing, neardup, quality, secrets
+from spanledger.llm.common import fresh, table, written
 
 
-def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the classifier rejects."""
+    score = fresh(docs, "score")
+    return quality.quality_scores(docs, table(spark, sf_dir, "labels"), into=score).filter(F.col(score) >= 0.3).drop(score)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: words in shingles of five, similarity of 0.8 or more."""
+    return neardup.deduplicate(docs, words=5, percent=80)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without contaminated documents."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
-def scrub(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """With live secrets replaced in the texts."""
     return secrets.redact(docs)
 
 
-STAGES = [("benchmark decontamination", clean), ("secret scans", scrub)]
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies by the target weights of the sources, shuffled."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("mixing sources to target weights", source_mixing),
+]
 
+#: The trained classifier, the compressor and the sketches have no SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

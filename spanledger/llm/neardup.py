@@ -1,6 +1,6 @@
 """MinHash near-duplicates with odd sketches, confirmed on full shingle sets.
 
-1. One pass over the texts gives each document its number of shingles, a digest of its set, BANDS band keys and an odd
+1. One pass over the texts gives each document its number of shingles, a digest of its set, band keys and an odd
    sketch: MinHash samples folded into parity bits, so that the XOR of two sketches counts the samples that differ.
 2. Documents of one digest are one node. Nodes that share a band key are candidates: in small buckets pairs whose
    sketches could still mean the wanted similarity are linked; a bucket above BUCKET is linked to its least node as it
@@ -9,7 +9,7 @@
    the same few pivots; then all that did not join the largest part is held against every chunk.
 4. Components take the smallest document id.
 
-A pair at the threshold 0.85 shares a band key with probability 1 - 8e-7, and more above it.
+There are as many bands as it takes for a pair at the threshold to share no key with probability MISS at most.
 
 Defined cases: null or empty texts, or without words, have an empty set and are linked with nothing; fewer words than a
 shingle are one shingle; null ids come after all others (a group of null ids only has the component null); documents
@@ -19,6 +19,7 @@ are not used.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import checkpoint, fresh, slices, table_bound
 from .components import components
 
-WORDS, PERCENT = 3, 85
-BANDS, ROWS, BITS = 24, 5, 512
+WORDS, PERCENT = 5, 80
+ROWS, BITS, MISS = 5, 512, 1e-6
 #: Nodes of a bucket that are compared with each other; above, the bucket is one candidate group.
 BUCKET = 512
 #: Nodes and shingles of a group, or chunk, that one task solves.
@@ -43,12 +44,27 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SPACES = np.zeros(256, bool)
 SPACES[[32, *range(9, 14)]] = True
 LEFT = np.array([0, *((1 << 8 * k) - 1 for k in range(1, 8)), 2**64 - 1], np.uint64)
-rng = np.random.default_rng(20)
-MULTIPLY = (rng.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
-FLIP = rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 SIGNATURE = "struct<n:bigint,node:binary,bands:array<bigint>,sketch:binary>"
 
 
+class Scheme:
+    """What the texts are cut into, the wanted similarity, and the hash functions that follow from it."""
+
+    def __init__(self, words: int, percent: int):
+        self.words, self.percent = words, percent
+        self.bands = math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS)) if percent < 100 else 1
+        self.samples = self.bands * ROWS
+        rng = np.random.default_rng(20)
+        self.multiply = (rng.integers(0, 2**31, self.samples, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+        self.flip = rng.integers(0, 2**32, self.samples, dtype=np.uint32)
+
+    def differ_at_most(self) -> int:
+        """Sketch bits that differ, beyond which no pair of the wanted similarity is expected: its mean and 5.5 deviations."""
+        far = 1 - self.percent / 100
+        differ = self.samples * far + 5.5 * math.sqrt(self.samples * far * (1 - far)) + 2
+        return math.ceil(BITS / 2 * (1 - (1 - 2 / BITS) ** (2 * differ)) + 8)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -71,7 +87,7 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return out
 
 
-def shingle_sets(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes | None], words: int) -> list[np.ndarray]:
     """The distinct shingles of each text as sorted 64-bit hashes."""
     lowered = [(t or b"").translate(LOWER) for t in texts]
     data = np.frombuffer(b" ".join([b"", *lowered, b" " * 8]), np.uint8)
@@ -95,15 +111,15 @@ def shingle_sets(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarr
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: list[np.ndarray], scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
     """Band keys and odd sketches of sets that are not empty."""
     start = np.cumsum([0, *(len(s) for s in sets[:-1])])
     x = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
-    samples = np.stack([np.minimum.reduceat((x ^ f) * m, start) for m, f in zip(MULTIPLY, FLIP, strict=True)], 1)
-    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sets), 1))
+    samples = np.stack([np.minimum.reduceat((x ^ f) * m, start) for m, f in zip(scheme.multiply, scheme.flip, strict=True)], 1)
+    keys = np.tile(np.arange(1, scheme.bands + 1, dtype=np.uint64), (len(sets), 1))
     for j in range(ROWS):
         keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + samples[:, j::ROWS])
-    bit = mixed(samples.astype(np.uint64) * np.uint64(BANDS * ROWS) + np.arange(BANDS * ROWS, dtype=np.uint64)) % np.uint64(BITS)
+    bit = mixed(samples.astype(np.uint64) * np.uint64(scheme.samples) + np.arange(scheme.samples, dtype=np.uint64)) % np.uint64(BITS)
     odd = np.bincount((bit.astype(np.int64) + BITS * np.arange(len(sets))[:, None]).ravel(), minlength=BITS * len(sets)) & 1
     return keys.view(np.int64), np.packbits(odd.astype(bool).reshape(len(sets), BITS), axis=1)
 
@@ -112,18 +128,22 @@ def digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def sign(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def sign(scheme: Scheme) -> Callable:
     kind = pa.struct([("n", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
-    for texts in parts:
-        out = []
-        for held in slices(texts, 1 << 20):
-            sets = shingle_sets(held)
-            full = [s for s in sets if len(s)]
-            signed = iter(zip(*signatures(full), strict=True)) if full else iter(())
-            for s in sets:
-                bands, sketch = next(signed) if len(s) else (None, None)
-                out.append({"n": len(s), "node": digest(s) if len(s) else None, "bands": bands, "sketch": sketch.tobytes() if len(s) else None})
-        yield pa.array(out, kind)
+
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            out = []
+            for held in slices(texts, 1 << 20):
+                sets = shingle_sets(held, scheme.words)
+                full = [s for s in sets if len(s)]
+                signed = iter(zip(*signatures(full, scheme), strict=True)) if full else iter(())
+                for s in sets:
+                    bands, sketch = next(signed) if len(s) else (None, None)
+                    out.append({"n": len(s), "node": digest(s) if len(s) else None, "bands": bands, "sketch": sketch.tobytes() if len(s) else None})
+            yield pa.array(out, kind)
+
+    return run
 
 
 def grouped(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
@@ -145,13 +165,6 @@ def grouped(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]
         yield held
 
 
-def alike_at_most(percent: int) -> int:
-    """Sketch bits that differ, beyond which no pair of the wanted similarity is expected: its mean and 5.5 deviations."""
-    k, far = BANDS * ROWS, 1 - percent / 100
-    differ = k * far + 5.5 * np.sqrt(k * far * (1 - far)) + 2
-    return int(np.ceil(BITS / 2 * (1 - (1 - 2 / BITS) ** (2 * differ)) + 8))
-
-
 def labels(linked: np.ndarray) -> np.ndarray:
     """The least index that each row reaches in a symmetric matrix."""
     label = np.arange(len(linked))
@@ -163,9 +176,9 @@ def labels(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
-def sketch_links(percent: int) -> Callable:
+def sketch_links(scheme: Scheme) -> Callable:
     """Links of each bucket's nodes to the least one that their sketches lead to."""
-    most = alike_at_most(percent)
+    most, percent = scheme.differ_at_most(), scheme.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, "key"):
@@ -201,20 +214,20 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def solve(percent: int, *keys: str) -> Callable:
+def solve(scheme: Scheme, *keys: str) -> Callable:
     """Links (a, b) of each group, from every node to the least that it reaches over pairs of the wanted similarity. Rows of one part are linked from the start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, *keys):
             parts = table["part"].to_pylist() if "part" in table.column_names else [None] * len(table)
-            sets = [s for held in slices(table["text"].combine_chunks(), 1 << 20) for s in shingle_sets(held)]
+            sets = [s for held in slices(table["text"].combine_chunks(), 1 << 20) for s in shingle_sets(held, scheme.words)]
             rows = {node: (s, part) for node, s, part in zip(table["node"].to_pylist(), sets, parts, strict=True) if len(s) and digest(s) == node}
             nodes = sorted(rows)
             if len(nodes) < 2:
                 continue
             size = np.array([len(rows[x][0]) for x in nodes])
             both = overlaps([rows[x][0] for x in nodes])
-            linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+            linked = 100 * both >= scheme.percent * (size[:, None] + size[None, :] - both)
             part = [rows[x][1] for x in nodes]
             if any(p is not None for p in part):
                 first: dict = {}
@@ -233,19 +246,19 @@ def in_groups(rows: DataFrame, solver: Callable, *keys: str) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(solver, "a binary, b binary")
 
 
-def candidate_groups(nodes: DataFrame, percent: int) -> DataFrame:
+def candidate_groups(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     """node, root of nodes that may have a link."""
     keyed = nodes.select(F.explode("bands").alias("key"), "node")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("low")).filter(F.col("many") > 1)
     held = checkpoint(keyed.join(shared, "key"))
     wide = held.filter((F.col("many") > BUCKET) & (F.col("node") != F.col("low"))).select(F.col("node").alias("a"), F.col("low").alias("b"))
     small = held.filter(F.col("many") <= BUCKET).select("key", "node").join(nodes.select("node", "n", "sketch"), "node")
-    return components(wide.unionByName(in_groups(small, sketch_links(percent), "key")))
+    return components(wide.unionByName(in_groups(small, sketch_links(scheme), "key")))
 
 
-def exact_links(docs: DataFrame, nodes: DataFrame, percent: int, *, id_col: str, text_col: str) -> DataFrame:
+def exact_links(docs: DataFrame, nodes: DataFrame, scheme: Scheme, *, id_col: str, text_col: str) -> DataFrame:
     """node, root by confirmed links."""
-    groups = checkpoint(candidate_groups(nodes, percent))
+    groups = checkpoint(candidate_groups(nodes, scheme))
     members = nodes.select("node", "n", "rep").join(groups, "node")
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("shingles"))
     chunks = F.greatest(F.ceil(F.col("many") / GROUP_NODES), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("int")
@@ -253,7 +266,7 @@ def exact_links(docs: DataFrame, nodes: DataFrame, percent: int, *, id_col: str,
     small = table_bound(members.select("root", "node", "chunks", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("text_key")), BROADCAST_ROWS)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
     one = texts.join(small, (texts["id"].eqNullSafe(small["rep_id"])) & (texts["text_key"] == small["text_key"])).select("root", "node", "chunks", "text")
-    few = in_groups(one.filter(F.col("chunks") == 1).select("root", "node", "text"), solve(percent, "root"), "root")
+    few = in_groups(one.filter(F.col("chunks") == 1).select("root", "node", "text"), solve(scheme, "root"), "root")
     if not members.filter(F.col("chunks") > 1).head(1):
         return components(few)
     large = checkpoint(one.filter(F.col("chunks") > 1).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))))
@@ -261,7 +274,7 @@ def exact_links(docs: DataFrame, nodes: DataFrame, percent: int, *, id_col: str,
     pivots = pivots.filter(F.pmod(F.xxhash64("node", F.lit(1)), F.col("of") * (GROUP_NODES // PIVOTS)) == 0)
     every = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks").cast("bigint") - 1)))
     first = large.select("root", "node", "text", "chunk").unionByName(every.select("root", "node", "text", "chunk"))
-    found = checkpoint(few.unionByName(in_groups(first, solve(percent, "root", "chunk"), "root", "chunk")))
+    found = checkpoint(few.unionByName(in_groups(first, solve(scheme, "root", "chunk"), "root", "chunk")))
     parts = checkpoint(components(found)).withColumnRenamed("root", "part")
     cut = large.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     counted = cut.groupBy("root", "part").agg(F.count(F.lit(1)).alias("many"))
@@ -273,14 +286,15 @@ def exact_links(docs: DataFrame, nodes: DataFrame, percent: int, *, id_col: str,
     left = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks").cast("bigint") - 1)))
     right = cut.join(pieces, "root").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces").cast("bigint") - 1)))
     columns = ["root", "chunk", "piece", "node", "part", "text"]
-    last = in_groups(left.select(columns).unionByName(right.select(columns)), solve(percent, "root", "chunk", "piece"), "root", "chunk", "piece")
+    last = in_groups(left.select(columns).unionByName(right.select(columns)), solve(scheme, "root", "chunk", "piece"), "root", "chunk", "piece")
     return components(found.unionByName(last))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """id, text_key, n_shingles, component_id, kept: one row per document."""
+    scheme = Scheme(words, percent)
     raw = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    signed = raw.select("id", F.unhex(F.md5(F.coalesce("text", F.lit(b"")))).alias("text_key"), F.arrow_udf(sign, SIGNATURE)("text").alias("s"))
+    signed = raw.select("id", F.unhex(F.md5(F.coalesce("text", F.lit(b"")))).alias("text_key"), F.arrow_udf(sign(scheme), SIGNATURE)("text").alias("s"))
     signed = checkpoint(signed.select("id", "text_key", "s.*"))
     some = signed.filter(F.col("n") > 0)
     rep = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text_key")))
@@ -289,7 +303,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     keyed = classes.select(F.col("node").alias("of"), "rep")
     once = some.join(keyed, (F.col("node") == F.col("of")) & F.col("id").eqNullSafe(F.col("rep.id")) & (F.col("text_key") == F.col("rep.text_key")))
     nodes = checkpoint(once.select("node", "n", "rep", "bands", "sketch").dropDuplicates(["node"]))
-    linked = checkpoint(exact_links(docs, nodes, percent, id_col=id_col, text_col=text_col))
+    linked = checkpoint(exact_links(docs, nodes, scheme, id_col=id_col, text_col=text_col))
     least = linked.join(nodes.select("node", "rep.id"), "node").groupBy("root").agg(F.min("id").alias("component_id"))
     of_node = nodes.select("node", F.col("rep.id").alias("own")).join(linked.join(least, "root").select("node", "component_id"), "node", "left")
     of_node = of_node.select("node", F.coalesce("component_id", "own").alias("component_id"))
@@ -298,9 +312,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return full.unionByName(empty).select("id", "text_key", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """docs with one document of each group; of rows that repeat id and text, one."""
-    found = checkpoint(near_duplicates(docs, id_col=id_col, text_col=text_col, percent=percent))
+    found = checkpoint(near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, percent=percent))
     told = found.groupBy("id", "text_key").agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("many")).filter(~F.col("stays") | (F.col("many") > 1))
     key, rest = fresh(docs, "dedup_key"), fresh(docs, "dedup_stays")
     told = table_bound(checkpoint(told.select(F.col("id").alias(key + "_id"), F.col("text_key").alias(key), F.col("stays").alias(rest))), 4 * BROADCAST_ROWS)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, mixing, neardup, quality, secrets, token_counts, toxicity
+from . import ann, chat, decontaminate, licenses, mixing, neardup, quality, secrets, token_counts, toxicity
 from .common import held_out, table
 
 
@@ -28,6 +28,14 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count(0), count(1), count(2), F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), live.alias("n_live"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_matches(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    matches = F.col("licenses.matches")
+    best = F.get(matches, 0)
+    names = F.array_join(F.array_sort(F.transform(matches, lambda m: m["license"])), ",")
+    return found.select("doc_id", F.col("licenses.n_words").alias("n_words"), F.size(matches).cast("bigint").alias("n_licenses"), names.alias("licenses"), best["license"].alias("license"), best["coverage"].alias("coverage"), best["first"].alias("first_word"), best["last"].alias("end_word"))
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return ann.search(vectors.filter(F.col("vec_id") % 20 == 0), vectors)
@@ -50,7 +58,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
@@ -62,7 +70,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_token_counts, op3_secret_scan, op5_nearest_neighbours, op6_source_mixing, op7_quality_classifier, op8_toxicity, op9_minhash_neardup, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_token_counts, op3_secret_scan, op4_license_scan, op5_nearest_neighbours, op6_source_mixing, op7_quality_classifier, op8_toxicity, op9_minhash_neardup, op10_chat_formatting)}
 
 WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
