@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpoint, fresh, slices, table_bound
-from .components import components
+from .components import Linked, components
 
 WORDS, PERCENT = 5, 80
 ROWS, BITS, MISS = 5, 512, 1e-6
@@ -176,26 +176,43 @@ def labels(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
+#: Nodes that a task keeps linked before it sends them on.
+KEPT = 200_000
+
+
 def sketch_links(scheme: Scheme) -> Callable:
-    """Links of each bucket's nodes to the least one that their sketches lead to."""
+    """Links of each bucket's nodes to the least one that their sketches lead to; a wide bucket's nodes to its least one."""
     most, percent = scheme.differ_at_most(), scheme.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in grouped(batches, "key"):
+        linked = Linked()
+        for table in grouped(batches, "key", "salt"):
             nodes = table["node"].to_pylist()
-            order = sorted(range(len(nodes)), key=nodes.__getitem__)
-            n = table["n"].to_numpy()[order]
-            bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(nodes), -1)[order]
-            differ = sum(np.bitwise_count(bits[:, None, j] ^ bits[None, :, j]).astype(np.int64) for j in range(bits.shape[1]))
-            sized = 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
-            root = labels((differ <= most) & sized)
-            pairs = [(nodes[order[i]], nodes[order[r]]) for i, r in enumerate(root.tolist()) if i != r]
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.binary()), pa.array([b for _, b in pairs], pa.binary())], ["a", "b"])
+            if table["many"][0].as_py() > BUCKET:
+                low = table["low"][0].as_py()
+                for x in nodes:
+                    linked.join(x, low)
+            else:
+                n = table["n"].to_numpy()
+                bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(nodes), -1)
+                differ = sum(np.bitwise_count(bits[:, None, j] ^ bits[None, :, j]).astype(np.int64) for j in range(bits.shape[1]))
+                sized = 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+                for i, r in enumerate(labels((differ <= most) & sized).tolist()):
+                    if i != r:
+                        linked.join(nodes[i], nodes[r])
+            if len(linked.up) > KEPT:
+                yield told(linked)
+                linked = Linked()
+        yield told(linked)
 
     return run
 
 
+def told(linked: Linked) -> pa.RecordBatch:
+    pairs = linked.links()
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.binary()), pa.array([b for _, b in pairs], pa.binary())], ["a", "b"])
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections, by products of 0/1 blocks over the shingles that two or more sets hold."""
     values, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -214,8 +231,14 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+SOLVED = pa.schema([("node", pa.binary()), ("root", pa.binary()), ("part", pa.binary()), ("other", pa.binary()), ("least_id", pa.int64())])
+
+
 def solve(scheme: Scheme, *keys: str) -> Callable:
-    """Links (a, b) of each group, from every node to the least that it reaches over pairs of the wanted similarity. Rows of one part are linked from the start."""
+    """Confirmed classes of each group: (node, root, least_id) for the nodes of a class of two or more, root being its least node, least_id its least id.
+
+    Rows of one part belong together from the start; then (part, other) says, beside that, which parts a class joins.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, *keys):
@@ -225,69 +248,87 @@ def solve(scheme: Scheme, *keys: str) -> Callable:
             nodes = sorted(rows)
             if len(nodes) < 2:
                 continue
+            place = {x: i for i, x in enumerate(nodes)}
             size = np.array([len(rows[x][0]) for x in nodes])
             both = overlaps([rows[x][0] for x in nodes])
             linked = 100 * both >= scheme.percent * (size[:, None] + size[None, :] - both)
             part = [rows[x][1] for x in nodes]
-            if any(p is not None for p in part):
-                first: dict = {}
-                for i, p in enumerate(part):
-                    j = first.setdefault(p if p is not None else ("own", i), i)
-                    linked[i, j] = linked[j, i] = True
+            first: dict = {}
+            for i, p in enumerate(part):
+                j = first.setdefault(p if p is not None else ("own", i), i)
+                linked[i, j] = linked[j, i] = True
             root = labels(linked).tolist()
-            pairs = [(nodes[i], nodes[r]) for i, r in enumerate(root) if i != r]
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.binary()), pa.array([b for _, b in pairs], pa.binary())], ["a", "b"])
+            many = np.bincount(root, minlength=len(root))
+            least: dict = {}
+            for node, own in zip(table["node"].to_pylist(), table["own"].to_pylist(), strict=True):
+                if own is not None and node in rows:
+                    r = root[place[node]]
+                    least[r] = min(least.get(r, own), own)
+            out = [(nodes[i], nodes[r], part[i], part[r], least.get(r)) for i, r in enumerate(root) if many[r] > 1]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), SOLVED, strict=True)], schema=SOLVED)
 
     return run
 
 
-def in_groups(rows: DataFrame, solver: Callable, *keys: str) -> DataFrame:
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(solver, "a binary, b binary")
+def in_groups(rows: DataFrame, solver: Callable, schema: str, *keys: str) -> DataFrame:
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(solver, schema)
+
+
+CLASSES = "node binary, root binary, part binary, other binary, least_id bigint"
 
 
 def candidate_groups(nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """node, root of nodes that may have a link."""
-    keyed = nodes.select(F.explode("bands").alias("key"), "node")
+    """node, root of nodes that may have a link. Buckets are counted before their rows are dealt, wide ones over many tasks."""
+    keyed = nodes.select(F.explode("bands").alias("key"), "node", "n", "sketch")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("low")).filter(F.col("many") > 1)
-    held = checkpoint(keyed.join(shared, "key"))
-    wide = held.filter((F.col("many") > BUCKET) & (F.col("node") != F.col("low"))).select(F.col("node").alias("a"), F.col("low").alias("b"))
-    small = held.filter(F.col("many") <= BUCKET).select("key", "node").join(nodes.select("node", "n", "sketch"), "node")
-    return components(wide.unionByName(in_groups(small, sketch_links(scheme), "key")))
+    salt = F.when(F.col("many") > BUCKET, F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / BUCKET))).otherwise(0)
+    held = keyed.join(shared, "key").withColumn("salt", salt)
+    return components(in_groups(held, sketch_links(scheme), "a binary, b binary", "key", "salt"))
 
 
-def exact_links(docs: DataFrame, nodes: DataFrame, scheme: Scheme, *, id_col: str, text_col: str) -> DataFrame:
-    """node, root by confirmed links."""
-    groups = checkpoint(candidate_groups(nodes, scheme))
-    members = nodes.select("node", "n", "rep").join(groups, "node")
+def exact_classes(docs: DataFrame, nodes: DataFrame, scheme: Scheme, *, id_col: str, text_col: str) -> DataFrame:
+    """node, least_id: the least id of its class by confirmed links, for nodes that have one."""
+    members = nodes.select("node", "n", "rep").join(candidate_groups(nodes, scheme), "node")
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("shingles"))
-    chunks = F.greatest(F.ceil(F.col("many") / GROUP_NODES), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("int")
+    chunks = F.greatest(F.ceil(F.col("many") / GROUP_NODES), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("bigint")
     members = checkpoint(members.join(sizes.select("root", chunks.alias("chunks")), "root"))
     small = table_bound(members.select("root", "node", "chunks", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("text_key")), BROADCAST_ROWS)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
-    one = texts.join(small, (texts["id"].eqNullSafe(small["rep_id"])) & (texts["text_key"] == small["text_key"])).select("root", "node", "chunks", "text")
-    few = in_groups(one.filter(F.col("chunks") == 1).select("root", "node", "text"), solve(scheme, "root"), "root")
+    one = texts.join(small, (texts["id"].eqNullSafe(small["rep_id"])) & (texts["text_key"] == small["text_key"])).select("root", "node", "chunks", F.col("rep_id").cast("bigint").alias("own"), "text")
+    few = in_groups(one.filter(F.col("chunks") == 1).select("root", "node", "own", "text"), solve(scheme, "root"), CLASSES, "root").select("node", "least_id")
     if not members.filter(F.col("chunks") > 1).head(1):
-        return components(few)
-    large = checkpoint(one.filter(F.col("chunks") > 1).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))))
-    pivots = large.join(large.groupBy("root").agg(F.max_by("chunks", "node").alias("of")), "root")
-    pivots = pivots.filter(F.pmod(F.xxhash64("node", F.lit(1)), F.col("of") * (GROUP_NODES // PIVOTS)) == 0)
-    every = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks").cast("bigint") - 1)))
-    first = large.select("root", "node", "text", "chunk").unionByName(every.select("root", "node", "text", "chunk"))
-    found = checkpoint(few.unionByName(in_groups(first, solve(scheme, "root", "chunk"), "root", "chunk")))
-    parts = checkpoint(components(found)).withColumnRenamed("root", "part")
-    cut = large.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+        return few
+    large = checkpoint(one.filter(F.col("chunks") > 1))
+    of = large.select("node", "own").join(large_classes(large, scheme), "node")
+    return few.union(of.join(of.groupBy("root").agg(F.min("own").alias("least_id")), "root").select("node", "least_id"))
+
+
+def large_classes(rows: DataFrame, scheme: Scheme) -> DataFrame:
+    """node, root of groups (root, node, chunks, own, text) of more than one chunk: the chunks with the same few pivots each, then what did not join the largest part against every chunk."""
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
+    large = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    pivots = large.filter(F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks") * max(1, GROUP_NODES // PIVOTS)) == 0).withColumn("chunk", numbers)
+    first = large.unionByName(pivots).select("root", "node", "own", "text", "chunk")
+    found = in_groups(first, solve(scheme, "root", "chunk"), CLASSES, "root", "chunk").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    parts = components(found).withColumnRenamed("root", "part")
+    cut = checkpoint(large.drop("text", "own").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")))
     counted = cut.groupBy("root", "part").agg(F.count(F.lit(1)).alias("many"))
-    main = counted.groupBy("root").agg(F.max_by("part", F.struct("many", "part")).alias("main"), F.count(F.lit(1)).alias("n_parts")).filter(F.col("n_parts") > 1)
-    cut = cut.join(main, "root")
-    rest = cut.filter(F.col("part") != F.col("main"))
-    pieces = rest.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / GROUP_NODES).cast("int").alias("pieces"))
-    rest = rest.join(pieces, "root").withColumn("piece", F.pmod(F.xxhash64("node", F.lit(2)), F.col("pieces")))
-    left = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks").cast("bigint") - 1)))
-    right = cut.join(pieces, "root").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces").cast("bigint") - 1)))
-    columns = ["root", "chunk", "piece", "node", "part", "text"]
-    last = in_groups(left.select(columns).unionByName(right.select(columns)), solve(scheme, "root", "chunk", "piece"), "root", "chunk", "piece")
-    return components(found.unionByName(last))
+    main = counted.groupBy("root").agg(F.max_by("part", F.struct("many", "part")).alias("main"), F.sum("many").alias("all"), F.max("many").alias("most"))
+    pieces = F.ceil((F.col("all") - F.col("most")) / GROUP_NODES).cast("bigint")
+    main = checkpoint(main.filter(F.col("all") > F.col("most")).select("root", "main", pieces.alias("pieces")))
+    if not main.head(1):
+        return parts.select("node", F.col("part").alias("root"))
+    told = large.select("node", "own", "text").join(cut.join(main, "root"), "node").withColumn("piece", F.pmod(F.xxhash64("node", F.lit(2)), F.col("pieces")))
+    left = told.filter(F.col("part") != F.col("main")).withColumn("chunk", numbers)
+    right = told.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)))
+    columns = ["root", "chunk", "piece", "node", "own", "part", "text"]
+    last = in_groups(left.select(columns).unionByName(right.select(columns)), solve(scheme, "root", "chunk", "piece"), CLASSES, "root", "chunk", "piece")
+    joins = checkpoint(last.filter(F.col("part") != F.col("other")).select(F.col("part").alias("a"), F.col("other").alias("b")).distinct())
+    if not joins.head(1):
+        return cut.select("node", F.col("part").alias("root"))
+    merged = components(joins).select(F.col("node").alias("part"), F.col("root").alias("whole"))
+    return cut.join(merged, "part", "left").select("node", F.coalesce("whole", "part").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -297,16 +338,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     signed = raw.select("id", F.unhex(F.md5(F.coalesce("text", F.lit(b"")))).alias("text_key"), F.arrow_udf(sign(scheme), SIGNATURE)("text").alias("s"))
     signed = checkpoint(signed.select("id", "text_key", "s.*"))
     some = signed.filter(F.col("n") > 0)
-    rep = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text_key")))
-    lost = F.min(F.struct("id", "text_key"))
-    classes = some.groupBy("node").agg(F.coalesce(rep, lost).alias("rep"))
-    keyed = classes.select(F.col("node").alias("of"), "rep")
-    once = some.join(keyed, (F.col("node") == F.col("of")) & F.col("id").eqNullSafe(F.col("rep.id")) & (F.col("text_key") == F.col("rep.text_key")))
-    nodes = checkpoint(once.select("node", "n", "rep", "bands", "sketch").dropDuplicates(["node"]))
-    linked = checkpoint(exact_links(docs, nodes, scheme, id_col=id_col, text_col=text_col))
-    least = linked.join(nodes.select("node", "rep.id"), "node").groupBy("root").agg(F.min("id").alias("component_id"))
-    of_node = nodes.select("node", F.col("rep.id").alias("own")).join(linked.join(least, "root").select("node", "component_id"), "node", "left")
-    of_node = of_node.select("node", F.coalesce("component_id", "own").alias("component_id"))
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "n", "bands", "sketch")).alias("m")
+    once = some.groupBy("node").agg(least)
+    nodes = checkpoint(once.select("node", "m.n", F.struct("m.id", "m.text_key").alias("rep"), "m.bands", "m.sketch"))
+    classes = exact_classes(docs, nodes, scheme, id_col=id_col, text_col=text_col)
+    own = nodes.select("node", F.col("rep.id").alias("own"))
+    of_node = own.join(classes, "node", "left").select("node", F.coalesce("least_id", "own").alias("component_id"))
     full = some.select("id", "text_key", "n", "node").join(of_node, "node").select("id", "text_key", "n", "component_id")
     empty = signed.filter(F.col("n") == 0).select("id", "text_key", "n", F.col("id").alias("component_id"))
     return full.unionByName(empty).select("id", "text_key", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
