@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, fresh, slices
+from .common import checkpoint, fresh, slices, table_bound
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -50,8 +50,10 @@ def scan(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 FOUND = "array<struct<start:bigint,kind:tinyint,end:bigint,hash:bigint>>"
 JUDGED = "array<struct<start:bigint,kind:tinyint,end:bigint,n_repos:bigint,n_owners:bigint,live:boolean>>"
+#: Texts with live secrets up to which their spans (some 100 bytes each) are broadcast.
+BROADCAST_ROWS = 100_000
 #: What any text with a candidate matches; it only spares the others their way to Python.
-ANY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA|[0-9a-f]{16}|(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20}"""
+ANY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA|[0-9a-f]{16}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20}"""
 
 
 def joined(spans: Column) -> Column:
@@ -107,10 +109,10 @@ def masked(text: Column, spans: Column, mark: str) -> Column:
 
 
 def redact(docs: DataFrame, *, text_col: str = "text", repo_col: str = "source", mark: str = "<secret>", max_owners: int = 2, max_repos: int = 3) -> DataFrame:
-    """docs with the live secrets of each text replaced; widely copied examples stay. Only texts that may hold one are dealt out again."""
-    key, spans, maybe = fresh(docs, "secret_key"), fresh(docs, "secret_spans"), F.coalesce(F.col(text_col).rlike(ANY), F.lit(False))
-    some = docs.filter(maybe)
-    judged = judged_spans(checkpoint(found_in(some, text_col, repo_col)), max_owners=max_owners, max_repos=max_repos).select(F.col("text_key").alias(key), F.col("spans").alias(spans))
-    mended = some.withColumn(key, F.md5(F.col(text_col).cast("binary"))).join(judged, key, "left")
-    mended = mended.withColumn(text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col(spans), mark)))
-    return docs.filter(~maybe).unionByName(mended.select(*docs.columns))
+    """docs with the live secrets of each text replaced; widely copied examples stay. Texts with one are joined by their digest, which moves no text while those are few."""
+    key, spans = fresh(docs, "secret_key"), fresh(docs, "secret_spans")
+    found = checkpoint(found_in(docs, text_col, repo_col).filter(F.size("found") > 0))
+    judged = judged_spans(found, max_owners=max_owners, max_repos=max_repos).filter(F.exists("spans", lambda s: s["live"]))
+    judged = table_bound(checkpoint(judged.select(F.col("text_key").alias(key), F.col("spans").alias(spans))), BROADCAST_ROWS)
+    keyed = docs.withColumn(key, F.md5(F.col(text_col).cast("binary"))).join(judged, key, "left")
+    return keyed.withColumn(text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col(spans), mark))).select(*docs.columns)
