@@ -1,4 +1,7 @@
 """Every query of the library by name, with its SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from spanledger.queries import catalog, streams, texts
+
+MODULES = (texts, catalog, streams)
+QUERIES: dict = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+SQL: dict = {k: v for m in MODULES for k, v in m.SQL.items()}
