@@ -20,11 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, held_out, slices
+from .common import arrow, bounded_sample, held_out, slices
 from .decontaminate import words
 from .quality import SAMPLE_TEXT, labelled_sample
 
 POSITIVES, UNLABELLED, FEATURES = 1500, 6000, 2000
+#: A word is a feature if so large a share of the positives has it, and so many deviations more than the unlabelled texts.
+LEAST_SHARE, LEAST_Z, FLOOR, RIDGE = 0.02, 6.0, 1e-5, 1e-4
+#: Bytes of the beginnings.
+BEGINNINGS = (4, 5, 6)
 
 
 def unlabelled_sample(docs: DataFrame, *, id_col: str, text_col: str, rows: int, longest: int = SAMPLE_TEXT) -> list[bytes]:
@@ -35,19 +39,25 @@ def unlabelled_sample(docs: DataFrame, *, id_col: str, text_col: str, rows: int,
     return [bytes(r["text"]) for r in sorted(found, key=lambda r: r["id"])]
 
 
+def marks(text: bytes | None) -> set[bytes]:
+    """Words, and the beginnings of longer ones, so that inflected forms share a feature."""
+    found = set(words(text))
+    return found.union(w[:k] + b"*" for k in BEGINNINGS for w in found if len(w) > k)
+
+
 class NonNegative:
     """Word weights and an offset."""
 
     def __init__(self, positive: list[bytes], unlabelled: list[bytes], prior: float, features: int = FEATURES, steps: int = 400):
         self.weights: dict[bytes, float] = {}
         self.offset = float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
-        p, u = [set(words(t)) for t in positive], [set(words(t)) for t in unlabelled]
+        p, u = [marks(t) for t in positive], [marks(t) for t in unlabelled]
         if not p or not u:
             return
         in_p, in_u = Counter(w for s in p for w in s), Counter(w for s in u for w in s)
-        share_p = {w: (c + 0.5) / (len(p) + 1) for w, c in in_p.items() if c >= max(3, len(p) // 200)}
-        shift = {w: (s - (r := (in_u[w] + 0.5) / (len(u) + 1))) / np.sqrt(r * (1 - r) / len(p) + 1e-4) for w, s in share_p.items()}
-        chosen = sorted(shift, key=lambda w: (-abs(shift[w]), w))[:features]
+        share_p = {w: (c + 0.5) / (len(p) + 1) for w, c in in_p.items() if c >= max(3, LEAST_SHARE * len(p))}
+        shift = {w: (s - (r := (in_u[w] + 0.5) / (len(u) + 1))) / np.sqrt(r * (1 - r) / len(p) + FLOOR) for w, s in share_p.items()}
+        chosen = sorted((w for w in shift if shift[w] >= LEAST_Z), key=lambda w: (-shift[w], w))[:features]
         place = {w: i for i, w in enumerate(chosen)}
         xp, xu = (self.matrix(s, place) for s in (p, u))
         w, b, m, v = np.zeros(len(chosen)), self.offset, np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
@@ -59,7 +69,7 @@ class NonNegative:
             negative, slope = soft_u.mean() - prior * soft_p.mean(), down_u - prior * down_p
             up = turned(xp, (gp - 1) / len(p), len(w)) * prior
             step = up + slope if negative >= 0 else -slope
-            step = step + np.append(1e-4 * w, 0)
+            step = step + np.append(RIDGE * w, 0)
             m, v = 0.9 * m + 0.1 * step, 0.999 * v + 0.001 * step**2
             move = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
             w, b = w - move[:-1], b - move[-1]
@@ -74,7 +84,7 @@ class NonNegative:
 
     def score(self, text: bytes | None) -> float:
         get = self.weights.get
-        z = self.offset + sum(get(w) for w in sorted(self.weights.keys() & set(words(text))))
+        z = self.offset + sum(get(w) for w in sorted(self.weights.keys() & marks(text)))
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -100,4 +110,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
         for texts in parts:
             yield pa.array([by.score(t) for held in slices(texts) for t in held], pa.float64())
 
-    return docs.withColumn(into, F.arrow_udf(score, "double")(F.col(text_col).cast("binary")))
+    return docs.withColumn(into, arrow(score, "double")(F.col(text_col).cast("binary")))
