@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, fresh, slices, table_bound
+from .common import arrow, checkpoint, fresh, slices, table_bound
 from .components import Linked, components
 
 WORDS, PERCENT = 5, 80
@@ -280,10 +280,10 @@ CLASSES = "node binary, root binary, part binary, other binary, least_id bigint"
 
 def candidate_groups(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     """node, root of nodes that may have a link. Buckets are counted before their rows are dealt, wide ones over many tasks."""
-    keyed = nodes.select(F.explode("bands").alias("key"), "node", "n", "sketch")
+    keyed = nodes.select(F.explode("bands").alias("key"), "node")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("low")).filter(F.col("many") > 1)
     salt = F.when(F.col("many") > BUCKET, F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / BUCKET))).otherwise(0)
-    held = keyed.join(shared, "key").withColumn("salt", salt)
+    held = keyed.join(shared, "key").withColumn("salt", salt).join(nodes.select("node", "n", "sketch"), "node")
     return components(in_groups(held, sketch_links(scheme), "a binary, b binary", "key", "salt"))
 
 
@@ -335,7 +335,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """id, text_key, n_shingles, component_id, kept: one row per document."""
     scheme = Scheme(words, percent)
     raw = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    signed = raw.select("id", F.unhex(F.md5(F.coalesce("text", F.lit(b"")))).alias("text_key"), F.arrow_udf(sign(scheme), SIGNATURE)("text").alias("s"))
+    signed = raw.select("id", F.unhex(F.md5(F.coalesce("text", F.lit(b"")))).alias("text_key"), arrow(sign(scheme), SIGNATURE)("text").alias("s"))
     signed = checkpoint(signed.select("id", "text_key", "s.*"))
     some = signed.filter(F.col("n") > 0)
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "n", "bands", "sketch")).alias("m")
