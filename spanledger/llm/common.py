@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +33,23 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: Rows of one Arrow batch: with texts of a few KB some MB, which JVM and Python each hold once or twice per task.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batch size to BATCH_ROWS; a smaller one stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def arrow(f: Callable, kind: str) -> Callable:
+    """f over Arrow arrays as a function of columns."""
+    small_batches(SparkSession.active())
+    return F.arrow_udf(f, kind)
+
+
 def slices(values: pa.Array, max_bytes: int = 4 << 20) -> Iterator[list]:
     """The values of a binary or string array as lists of at most about max_bytes, so that no batch of long texts is held twice."""
     out, held = [], 0

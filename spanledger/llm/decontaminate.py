@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, fresh, slices
+from .common import arrow, checkpoint, fresh, slices
 
 N = 13
 #: UTF-8 bytes of benchmark text in one broadcast block.
@@ -134,7 +134,7 @@ def scan(index, clean: bool):
                     at += 1
             yield pa.array(out, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string())), ("cleaned", pa.string())]))
 
-    return F.arrow_udf(hits, RESULT)
+    return arrow(hits, RESULT)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = N, clean: bool = False, into: str = "hits", block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import arrow, slices
 from .decontaminate import words
 
 LEAST = 0.85
@@ -131,4 +131,4 @@ def license_matches(docs: DataFrame, *, text_col: str = "text", templates: tuple
         for texts in parts:
             yield pa.array([scan(t) for held in slices(texts) for t in held], pa.struct([("n_words", pa.int64()), ("matches", pa.list_(MATCH))]))
 
-    return docs.withColumn(into, F.arrow_udf(run, FOUND)(F.col(text_col).cast("binary")))
+    return docs.withColumn(into, arrow(run, FOUND)(F.col(text_col).cast("binary")))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, fresh, slices, table_bound
+from .common import arrow, checkpoint, fresh, slices, table_bound
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -79,7 +79,7 @@ def judged_spans(found: DataFrame, *, max_owners: int, max_repos: int) -> DataFr
 
 def found_in(docs: DataFrame, text_col: str, repo_col: str, *keep: str) -> DataFrame:
     text = F.col(text_col)
-    return docs.select(*keep, F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("text_key"), F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"), F.arrow_udf(scan, FOUND)(F.when(text.rlike(ANY), text)).alias("found"))
+    return docs.select(*keep, F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("text_key"), F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"), arrow(scan, FOUND)(F.when(text.rlike(ANY), text)).alias("found"))
 
 
 def secret_spans(docs: DataFrame, *, text_col: str = "text", repo_col: str = "source", id_col: str = "doc_id", max_owners: int = 2, max_repos: int = 3) -> DataFrame:

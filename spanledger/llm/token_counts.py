@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import arrow, slices
 
 #: Pre-tokens whose counts a worker remembers; beyond that it starts anew.
 REMEMBERED = 400_000
@@ -152,4 +152,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text"
             yield pa.array([n for held in slices(texts) for n in bpe.of(held)], pa.int64())
 
     size, tokens, over = names
-    return docs.withColumn(size, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint")).withColumn(tokens, F.arrow_udf(count, "bigint")(F.col(text_col))).withColumn(over, F.col(tokens) > limit)
+    return docs.withColumn(size, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint")).withColumn(tokens, arrow(count, "bigint")(F.col(text_col))).withColumn(over, F.col(tokens) > limit)
