@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanledger.functions import text
-from spanledger.operators import annotate, audit, graph, lines, packets, quotes, refs, segment, views
+from spanledger.operators import annotate, audit, decide, graph, lines, packets, quotes, refs, segment, views
 from spanledger.plans.regtext import LINES_SQL, REG_SQL, items, reg_lines, table
 
 big = lambda c: F.col(c).cast("bigint").alias(c)
@@ -288,7 +288,29 @@ def registry_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.registry_row(registry_stats(spark, sf_dir).select("source", "n_docs"), "source")
 
 
-QUERIES = {f.__name__: f for f in (label_left_join, unlabelled_docs, labelled_docs, two_annotator_reconcile, downgrade_pending, coverage_gate, unresolved_counters, label_coercion, verbatim_containment, quote_loose_match, label_distribution, spans_per_doc_histogram, tag_index, subsystem_index, glossary_terms, dangling_edges, valid_edges, cycle_members, parent_chain, edge_grouping_sets, per_doc_rollup, first_wins_edges, adjudicated_edges, cross_refs, scope_triage, longest_prefix, atomic_map_fanout, first_n_examples, pending_packet, packet_validation, claim_overlap, merge_first_wins, dedupe_exact_text, highlight_depth, chunk_batches, next_numbers, registry_stats, catalog_sections, registry_json)}
+def outside_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Modal verbs in lines that bear nothing; labels go by the line's number."""
+    at = reg_lines(spark, sf_dir).filter("line LIKE '(%'")
+    third = F.col("line_no") % 3
+    rows = at.select("doc_id", F.col("line_no").cast("string").alias("span_id"), F.regexp_extract("line", r"\b(shall|must|may)\b", 1).alias("verb"), F.when(third == 0, "requirement_bearing").when(third == 1, "source_note").otherwise("definition").alias("final_label"), F.when(F.col("line_no") % 7 == 0, F.array(F.lit("requirement_bearing"))).otherwise(F.array().cast("array<string>")).alias("final_embedded"))
+    rows = graph.cut(rows)
+    return decide.outside_hits(rows, rows.drop("verb")).select("doc_id", "span_id", F.array_join("verbs", ",").alias("verbs"))
+
+
+def claims_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claims = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("stage"), F.col("o_orderstatus").alias("status"), (F.col("o_custkey") % 5).alias("item_count"))
+    return packets.claims_summary(claims)
+
+
+def adjudicated_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("S"), "doc_id").alias("span_id"), "text")
+    st = statements(spark, sf_dir).withColumn("ambiguous", F.lit(True))
+    d = spans.filter("doc_id % 3 = 0 OR doc_id % 5 = 0").select(F.concat(F.lit("R"), "doc_id").alias("req_id"), F.lit(1).alias("seq"), F.when(F.col("doc_id") % 3 == 0, "drop").otherwise("edit").alias("decision"), F.when(F.col("doc_id") % 2 == 0, F.substring("text", 1, 5)).otherwise("~nowhere~").alias("quote"))
+    out = decide.adjudicate_statements(st, spans, d)
+    return out.select("doc_id", "req_id", F.md5("verbatim_quote").alias("quote_md5"), "ambiguous")
+
+
+QUERIES = {f.__name__: f for f in (outside_hits, claims_summary, adjudicated_statements, label_left_join, unlabelled_docs, labelled_docs, two_annotator_reconcile, downgrade_pending, coverage_gate, unresolved_counters, label_coercion, verbatim_containment, quote_loose_match, label_distribution, spans_per_doc_histogram, tag_index, subsystem_index, glossary_terms, dangling_edges, valid_edges, cycle_members, parent_chain, edge_grouping_sets, per_doc_rollup, first_wins_edges, adjudicated_edges, cross_refs, scope_triage, longest_prefix, atomic_map_fanout, first_n_examples, pending_packet, packet_validation, claim_overlap, merge_first_wins, dedupe_exact_text, highlight_depth, chunk_batches, next_numbers, registry_stats, catalog_sections, registry_json)}
 
 EDGES = "edges AS (SELECT DISTINCT l_suppkey AS src, l_partkey % 131 AS dst FROM lineitem)"
 REGSPANS = f"""{REG_SQL}, regspans AS (SELECT doc_id, line_no AS seq, line, line LIKE '§%' AS header, last_value(CASE WHEN line LIKE '§%' THEN regexp_extract(line, '^§ (\\d+\\.\\d+)', 1) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no) AS section FROM reg WHERE line <> '' AND line NOT LIKE 'PART %' AND line NOT LIKE 'page %')"""
@@ -355,4 +377,9 @@ SQL = {
       l AS (SELECT doc_id, num, 0 AS seq, '## ' || title AS line FROM s UNION ALL SELECT doc_id, CAST(string_split(section, '.')[2] AS BIGINT), seq, '- ' || CASE WHEN length(line) > 60 THEN line[1:57] || '...' ELSE line END FROM regspans WHERE NOT header)
       SELECT doc_id, count(*) AS n_lines, sha256(string_agg(line, chr(10) ORDER BY num, seq, line)) AS sha256 FROM l GROUP BY 1""",
     "registry_json": "SELECT count(*) AS n_rows, sha256('[' || string_agg('{\"source\":\"' || source || '\",\"n_docs\":' || n || '}', ',' ORDER BY source) || ']') AS sha256 FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1)",
+    "outside_hits": f"""WITH {REG_SQL}, h AS (SELECT doc_id, line_no, regexp_extract(line, '\\b(shall|must|may)\\b', 1) AS verb FROM reg WHERE line LIKE '(%')
+      SELECT doc_id, CAST(line_no AS VARCHAR) AS span_id, verb AS verbs FROM h WHERE line_no % 3 <> 0 AND line_no % 7 <> 0 AND (verb <> 'may' OR line_no % 3 <> 1)""",
+    "claims_summary": "SELECT o_orderpriority AS stage, o_orderstatus AS status, count(*) AS n_claims, CAST(sum(o_custkey % 5) AS BIGINT) AS n_items FROM orders GROUP BY ROLLUP (1, 2)",
+    "adjudicated_statements": f"""WITH {LINES_SQL}, st AS (SELECT l.doc_id, CASE WHEN l.doc_id % 4 = 0 THEN line || '  x' ELSE line END AS quote, text FROM docl l JOIN documents USING (doc_id) WHERE line_no = 0 AND l.doc_id % 10 NOT IN (4, 7) AND l.doc_id % 3 <> 0)
+      SELECT doc_id, 'R' || doc_id AS req_id, md5(CASE WHEN doc_id % 10 = 0 THEN text[1:5] ELSE quote END) AS quote_md5, doc_id % 10 <> 0 AS ambiguous FROM st""",
 }
