@@ -25,9 +25,10 @@ SPACED_SQL = LINES_SQL.replace("string_split(text, chr(10))", "string_split(repl
 
 
 def doc_coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = lines.with_offsets(doc_lines(spark, sf_dir))
-    sizes = at.groupBy("doc_id").agg(F.max("byte_end").alias("total_bytes"))
-    return audit.coverage(at, sizes)
+    """Line spans against the size that the text itself has, with a line feed at its end."""
+    d = table(spark, sf_dir, "documents")
+    total = F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.octet_length("text") + F.when(F.endswith("text", F.lit("\n")), 0).otherwise(1))
+    return audit.coverage(lines.with_offsets(lines.split_lines(d)), d.select("doc_id", total.cast("bigint").alias("total_bytes")))
 
 
 def line_byte_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +186,7 @@ kept AS (SELECT * FROM (SELECT *, lag(line, 1, '') OVER (PARTITION BY doc_id ORD
 joined AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) || chr(10) AS text FROM kept GROUP BY doc_id)"""
 
 SQL = {
-    "doc_coverage_audit": f"WITH {LINES_SQL}, {offsets_sql('docl')}, spans AS (SELECT * FROM off), sizes AS (SELECT doc_id, max(byte_end) AS total_bytes FROM off GROUP BY doc_id), {COVER}",
+    "doc_coverage_audit": f"WITH {LINES_SQL}, {offsets_sql('docl')}, spans AS (SELECT * FROM off), sizes AS (SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE strlen(text) + CASE WHEN text[-1] = chr(10) THEN 0 ELSE 1 END END AS total_bytes FROM documents), {COVER}",
     "line_byte_offsets": f"WITH {LINES_SQL}, {offsets_sql('docl')} SELECT doc_id, line_no, byte_start, byte_end FROM off",
     "canonical_digest": f"WITH {SPACED_SQL}, {COLLAPSED.format('docl')} SELECT doc_id, sha256(text) AS sha256, strlen(text) AS byte_count FROM joined",
     "boilerplate_rule_counts": f"""WITH {LINES_SQL}, tagged AS (SELECT doc_id, CASE WHEN regexp_matches(line, 'licensed under|Released under the|All rights reserved') THEN 'LICENSE_LINE' WHEN line LIKE 'Licensed under%' THEN 'LICENSED_LINE'
