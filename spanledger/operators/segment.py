@@ -153,24 +153,28 @@ def paragraph_paths(markers: DataFrame) -> DataFrame:
     A fold over the markers of a section keeps the open markers per level. A single letter that is also a roman digit
     is roman only if it goes on a roman list under an open number: the value after the last one, or i as the first.
     """
-    rows = markers.groupBy("doc_id", "section_line").agg(F.array_sort(F.collect_list(F.struct("line_no", "marker"))).alias("rows"))
+    m = F.col("marker")
+    plain = F.when(m.rlike(r"^\d+$"), 2).when(m.rlike("^[A-Z]$"), 4).when(m.rlike("^[ivxlcdm]{2,}$"), 3).when(m.rlike("^[ivxlcdm]$"), 0).otherwise(1)
+    told = markers.withColumn("value", F.when(plain.isin(0, 3), F.coalesce(from_roman(m), F.lit(0))).otherwise(0)).withColumn("plain", plain)
+    rows = told.groupBy("doc_id", "section_line").agg(F.array_sort(F.collect_list(F.struct("line_no", "marker", "value", "plain"))).alias("rows"))
     kind = "struct<line_no:int,level:int,path:array<string>>"
-    start = F.struct(F.array().cast(f"array<{kind}>").alias("out"), F.lit(None).cast("string").alias("l1"), F.lit(None).cast("string").alias("l2"), F.lit(None).cast("string").alias("l3"), F.lit(0).alias("roman"), F.lit(0).alias("deep"))
+    none = F.lit(None).cast("string")
+    start = F.struct(F.array().cast(f"array<{kind}>").alias("out"), none.alias("l1"), none.alias("l2"), none.alias("l3"), F.lit(0).alias("roman"), F.lit(0).alias("deep"))
 
-    def step(s: Column, x: Column) -> Column:
+    def opened(s: Column, x: Column, level: Column) -> Column:
         m = x["marker"]
-        value = F.coalesce(from_roman(m), F.lit(0))
-        goes_on = F.when(s["l2"].isNotNull() & (s["roman"] > 0), value == s["roman"] + 1).otherwise(s["l2"].isNotNull() & (s["deep"] == 2) & (m == "i"))
-        level = F.when(m.rlike(r"^\d+$"), 2).when(m.rlike("^[A-Z]$"), 4).when(m.rlike("^[ivxlcdm]{2,}$"), 3).when(m.rlike("^[ivxlcdm]$") & goes_on, 3).otherwise(1)
-        none = F.lit(None).cast("string")
         l1 = F.when(level == 1, m).otherwise(s["l1"])
         l2 = F.when(level == 1, none).when(level == 2, m).otherwise(s["l2"])
         l3 = F.when(level <= 2, none).when(level == 3, m).otherwise(s["l3"])
-        path = F.array_compact(F.array(l1, l2, l3, F.when(level == 4, m)))
-        roman = F.when(level <= 2, 0).when(level == 3, value).otherwise(s["roman"])
-        row = F.struct(x["line_no"].cast("int").alias("line_no"), level.alias("level"), path.alias("path"))
+        roman = F.when(level <= 2, 0).when(level == 3, x["value"]).otherwise(s["roman"])
+        row = F.struct(x["line_no"].cast("int").alias("line_no"), level.alias("level"), F.array_compact(F.array(l1, l2, l3, F.when(level == 4, m))).alias("path"))
         return F.struct(F.array_append(s["out"], row).alias("out"), l1.alias("l1"), l2.alias("l2"), l3.alias("l3"), roman.alias("roman"), level.alias("deep"))
 
+    def step(s: Column, x: Column) -> Column:
+        goes_on = F.when(s["roman"] > 0, x["value"] == s["roman"] + 1).otherwise((s["deep"] == 2) & (x["marker"] == "i"))
+        level = F.when(x["plain"] > 0, x["plain"]).when(s["l2"].isNotNull() & goes_on, 3).otherwise(1)
+        return F.get(F.transform(F.array(level), lambda lv: opened(s, x, lv)), 0)  # binds the level once
+
     folded = rows.select("doc_id", "section_line", F.explode(F.aggregate("rows", start, step, lambda s: s["out"])).alias("r"))
     return folded.select("doc_id", "section_line", "r.line_no", "r.level", "r.path")
 
