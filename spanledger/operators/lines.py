@@ -18,8 +18,9 @@ def before(*order: str | Column) -> Window:
     return by_doc(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def after(*order: str | Column) -> Window:
-    return by_doc(*order).rowsBetween(1, Window.unboundedFollowing)
+def after(*order: str) -> Window:
+    """All rows behind the current one, the nearest last. In falling order, since Spark works a frame that ends in unbounded following out anew for every row."""
+    return by_doc(*(F.col(c).desc() for c in order)).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -44,7 +45,7 @@ def collapse_blanks(lines: DataFrame) -> DataFrame:
     """Lines trimmed, runs of blank ones made one, leading and trailing ones dropped, numbered anew."""
     t = lines.withColumn("line", trim_unicode(F.col("line"))).withColumn("blank", F.col("line") == "")
     t = t.withColumn("prior", F.lag("blank", 1, True).over(by_doc("line_no"))).filter(~(F.col("blank") & F.col("prior")))
-    t = t.withColumn("more", F.max(~F.col("blank")).over(by_doc("line_no").rowsBetween(0, Window.unboundedFollowing))).filter("more")
+    t = t.withColumn("more", ~F.col("blank") | F.coalesce(F.max(~F.col("blank")).over(after("line_no")), F.lit(False))).filter("more")
     return t.select("doc_id", (F.row_number().over(by_doc("line_no")) - 1).alias("line_no"), "line")
 
 

@@ -124,7 +124,7 @@ def regulation_lines(lines: DataFrame, default_part: Column) -> DataFrame:
     # a section line whose next structural line is one too belongs to a table of contents
     tail = F.col("class").isin("blank", "inside_note") | (F.col("class") == "prose") & F.col("text").rlike(r"^\p{Ll}")
     structural = F.col("class").isin("section", "subpart", "part_header") | F.startswith("text", F.lit("Appendix"))
-    following = F.first(F.when(~tail, structural), True).over(after("line_no"))
+    following = F.last(F.when(~tail, structural), True).over(after("line_no"))
     foreign = (F.substring_index("number", ".", 1) != F.col("home")) | F.regexp_extract("text", rules.SECTION, 2).rlike(r"^\p{Ll}")
     at = at.withColumn("next_structural", F.coalesce(following, F.lit(False))).withColumn("foreign", F.coalesce(foreign, F.lit(False)))
     c = F.col("class")
