@@ -24,7 +24,7 @@ from .common import arrow, bounded_sample, held_out, slices
 from .decontaminate import words
 from .quality import SAMPLE_TEXT, labelled_sample
 
-POSITIVES, UNLABELLED, FEATURES = 1500, 6000, 2000
+POSITIVES, UNLABELLED, FEATURES = 1000, 3000, 2000
 #: A word is a feature if so large a share of the positives has it, and so many deviations more than the unlabelled texts.
 LEAST_SHARE, LEAST_Z, FLOOR, RIDGE = 0.02, 6.0, 1e-5, 1e-4
 #: Bytes of the beginnings.
