@@ -2,11 +2,12 @@
 
 A table turns unit vectors by three rounds of random signs and a fast Hadamard transform and takes the nearest signed
 axis as the bucket. A query probes the PROBES nearest axes of each of TABLES tables; the vectors met there are ranked
-exactly, in double precision, on the original values. Vectors of unequal length get one more coordinate that makes all
-equally long, so that the largest inner product is the nearest direction; queries have 0 there.
+exactly, in double precision, on the original values. Vectors of unequal length are split into bands, each of lengths
+within a factor STEP, so that in a band the largest inner product is nearly the nearest direction; a query asks every
+band, and bands of at most EXACT vectors are ranked exactly, unhashed.
 
-The share of axes probed falls with the logarithm of the number of vectors, as the nearest get nearer. Buckets above
-BLOCK rows are cut in blocks of vectors and of queries, each block pair a task's group; nothing is capped.
+The share of axes probed falls with the logarithm of the number of vectors of the band, as the nearest get nearer.
+Buckets above BLOCK rows are cut in blocks of vectors and of queries, each block pair a task's group; nothing is capped.
 
 Defined cases: null ids, and vectors that are null, empty, zero or hold null or non-finite components, take no part;
 vectors of different dimension do not meet; rows that share an id count as one (a pair's score is the larger); a query
@@ -27,7 +28,9 @@ from .common import arrow, checkpoint, table_bound
 from .neardup import grouped
 
 TABLES, PROBES, BLOCK = 5, 1.5, 4096
-HASHED = "struct<vector:binary,codes:array<int>>"
+STEP, EXACT = 1.25, BLOCK
+UNHASHED = -1
+HASHED = "struct<vector:binary,codes:array<bigint>>"
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -39,31 +42,33 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / math.sqrt(n)
 
 
-def axes(vectors: np.ndarray, longest: float | None, query: bool, probes: float, tables: int, count: int, seed: int) -> np.ndarray:
-    """Codes of the nearest signed axes, rows x (tables * probes); longest: the length that all are brought to."""
-    size = np.linalg.norm(vectors, axis=1, keepdims=True)
-    if longest is None or query:
-        unit, more = vectors / size, np.zeros_like(size)
-    else:
-        unit, more = vectors / longest, np.sqrt(np.maximum(0, 1 - (size / longest) ** 2))
-    dim = 1 << max(0, vectors.shape[1] + (longest is not None) - 1).bit_length()
+def axes(vectors: np.ndarray, takes: list[int], tables: int, seed: int) -> list[np.ndarray]:
+    """For each number in takes: the codes of so many nearest signed axes of the directions, rows x (tables * axes)."""
+    dim = 1 << max(0, vectors.shape[1] - 1).bit_length()
     wide = np.zeros((len(vectors), dim))
-    wide[:, : vectors.shape[1]] = unit
-    if longest is not None:
-        wide[:, vectors.shape[1]] = more[:, 0]
-    take = min(2 * dim, math.ceil(2 * dim * probes / max(1.0, math.log(max(count, 2))))) if query else 1
-    out, rng = [], np.random.default_rng(seed)
-    for _ in range(tables):
+    unit = vectors / np.abs(vectors).max(1, keepdims=True)
+    wide[:, : vectors.shape[1]] = unit / np.linalg.norm(unit, axis=1, keepdims=True)
+    takes, rng = [min(2 * dim, t) for t in takes], np.random.default_rng(seed)
+    out: list[list] = [[] for _ in takes]
+    for table in range(tables):
         turned = wide
         for _ in range(3):
             turned = hadamard(turned * rng.choice([-1.0, 1.0], dim))
         signed = np.stack([turned, -turned], 2).reshape(len(turned), -1)
-        out.append(np.argsort(-signed, axis=1, kind="stable")[:, :take] if take > 1 else signed.argmax(1)[:, None])
-    return np.concatenate(out, 1)
+        order = np.argsort(-signed, axis=1, kind="stable") if max(takes) > 1 else signed.argmax(1)[:, None]
+        for codes, take in zip(out, takes, strict=True):
+            codes.append(order[:, :take] + (table << 24))
+    return [np.concatenate(codes, 1) for codes in out]
 
 
-def hashing(query: bool, probes: float, tables: int, sizes: dict[int, tuple[int, float | None]], seed: int) -> Callable:
-    """sizes: by dimension the number of vectors and, if their lengths differ, the longest."""
+def bands(vectors: np.ndarray, longest: float) -> np.ndarray:
+    """Bands of length, 0 the longest; longest: the logarithm of the greatest length."""
+    most = np.abs(vectors).max(1)
+    return np.floor(np.maximum(0, longest - np.log(most) - np.log(np.linalg.norm(vectors / most[:, None], axis=1))) / math.log(STEP)).astype(np.int64)
+
+
+def hashing(query: bool, probes: float, tables: int, sizes: dict[int, tuple[float | None, dict[int, int]]], seed: int) -> Callable:
+    """sizes: by dimension the logarithm of the greatest length (none if all are equal), and the number of vectors of each hashed band."""
 
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for vectors in parts:
@@ -71,13 +76,18 @@ def hashing(query: bool, probes: float, tables: int, sizes: dict[int, tuple[int,
             for dim in {len(r) for r in rows}:
                 at = [i for i, r in enumerate(rows) if len(r) == dim]
                 x = np.array([rows[i] for i in at], np.float64)
-                count, longest = sizes[dim]
-                codes = axes(x, longest, query, probes, tables, count, seed)
-                each = codes.shape[1] // tables
-                codes = codes + (np.repeat(np.arange(tables), each) << 24)
-                for i, v, c in zip(at, x, codes.tolist(), strict=True):
+                longest, hashed = sizes[dim]
+                if query:
+                    takes = [math.ceil((2 << max(0, dim - 1).bit_length()) * probes / max(1.0, math.log(max(n, 2)))) for n in hashed.values()]
+                    found = [c + (b << 32) for b, c in zip(hashed, axes(x, takes, tables, seed), strict=True)] if hashed else []
+                    codes = np.concatenate([*found, np.full((len(x), 1), UNHASHED)] if longest is not None or not hashed else found, 1).tolist()
+                else:
+                    band = bands(x, longest) if longest is not None else np.zeros(len(x), np.int64)
+                    codes = (axes(x, [1], tables, seed)[0] + (band[:, None] << 32)).tolist() if hashed else [[UNHASHED]] * len(x)
+                    codes = [c if b in hashed else [UNHASHED] for b, c in zip(band.tolist(), codes, strict=True)]
+                for i, v, c in zip(at, x, codes, strict=True):
                     out[i] = {"vector": v.tobytes(), "codes": c}
-            yield pa.array(out, pa.struct([("vector", pa.binary()), ("codes", pa.list_(pa.int32()))]))
+            yield pa.array(out, pa.struct([("vector", pa.binary()), ("codes", pa.list_(pa.int64()))]))
 
     return run
 
@@ -122,15 +132,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return vectors.select(F.col(id_col).cast("bigint").alias("id"), x.alias("x")).filter(F.col("id").isNotNull() & F.col("x").isNotNull() & finite & F.exists("x", lambda c: c != 0))
 
 
-def search(queries: DataFrame, vectors: DataFrame, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: float = PROBES, seed: int = 3) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest vectors found for each query."""
-    base, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
-    length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, c: a + c * c))
-    known = base.groupBy(F.size("x").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.min(length).alias("short"), F.max(length).alias("long")).collect()
-    sizes = {r["dim"]: (r["n"], r["long"] if r["short"] < 0.999 * r["long"] else None) for r in known}
-    here: Column = F.size("x").isin(*sizes)
-    hashed = lambda df, query: df.select("id", F.size("x").alias("dim"), arrow(hashing(query, probes, tables, sizes, seed), HASHED)("x").alias("h")).select("id", "dim", "h.vector", F.explode("h.codes").alias("code"))
-    stored, probed = checkpoint(hashed(base, False)), checkpoint(hashed(asked.filter(here), True))
+def met(stored: DataFrame, probed: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score: the k best of the vectors that share a code with the query."""
     count = lambda df, name: df.groupBy("dim", "code").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
     grid = table_bound(checkpoint(count(stored, "blocks").join(count(probed, "query_blocks"), ["dim", "code"])), 100_000)
     own = lambda of: F.pmod(F.xxhash64("id"), F.col(of)).cast("int")
@@ -142,3 +145,20 @@ def search(queries: DataFrame, vectors: DataFrame, *, k: int = 20, id_col: str =
     best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def search(queries: DataFrame, vectors: DataFrame, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: float = PROBES, seed: int = 3, exact_rows: int = EXACT) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest vectors found for each query."""
+    base, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
+    most = F.array_max(F.transform("x", F.abs))
+    length = F.log(most) + F.log(F.aggregate(F.transform("x", lambda c: c / most), F.lit(0.0), lambda a, c: a + c * c)) / 2
+    known = base.groupBy(F.size("x").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.min(length).alias("short"), F.max(length).alias("long")).collect()
+    equal = {r["dim"]: r["n"] for r in known if r["short"] >= r["long"] + math.log(0.999)}
+    longest = {r["dim"]: r["long"] for r in known if r["dim"] not in equal}
+    sizes: dict[int, tuple[float | None, dict[int, int]]] = {d: (None, {0: n}) for d, n in equal.items()} | {d: (x, {}) for d, x in longest.items()}
+    for d, x in longest.items():
+        band = F.floor(F.greatest(F.lit(0.0), F.lit(x) - length) / math.log(STEP)).alias("band")
+        sizes[d][1].update((r["band"], r["n"]) for r in base.filter(F.size("x") == d).groupBy(band).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > exact_rows).orderBy("band").collect())
+    here: Column = F.size("x").isin(*sizes)
+    hashed = lambda df, query, of: df.select("id", F.size("x").alias("dim"), arrow(hashing(query, probes, tables, of, seed), HASHED)("x").alias("h")).select("id", "dim", "h.vector", F.explode("h.codes").alias("code"))
+    return met(checkpoint(hashed(base, False, sizes)), checkpoint(hashed(asked.filter(here), True, sizes)), k)

@@ -166,6 +166,21 @@ def test_search_against_brute_force(spark):
         assert hit >= 0.9 * 300
 
 
+@pytest.mark.parametrize("case", ["one long", "lognormal"])
+def test_search_recall_with_unequal_lengths(spark, case):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= np.exp(0.5 * rng.standard_normal((2000, 1))) if case == "lognormal" else 1
+    x[7] *= 10 if case == "one long" else 1
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in ann.search(d.filter("vec_id % 20 = 0"), d, exact_rows=100).collect()}
+    score = x[::20] @ x.T
+    score[np.arange(100), np.arange(0, 2000, 20)] = -np.inf
+    want = {(20 * q, int(v)) for q, row in enumerate(np.argsort(-score, axis=1)[:, :20]) for v in row}
+    assert len(got) == 2000 and len(got & want) >= 0.93 * 2000
+
+
 def test_search_leaves_out_what_is_no_vector(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]), (8, [1.0, 0.0, 0.0]), (9, [0.5, 0.5]), (20, [float("inf"), 0.0]), (1, [0.5, 0.5])]
