@@ -4,7 +4,8 @@ A table turns unit vectors by three rounds of random signs and a fast Hadamard t
 axis as the bucket. A query probes the PROBES nearest axes of each of TABLES tables; the vectors met there are ranked
 exactly, in double precision, on the original values. Vectors of unequal length are split into bands, each of lengths
 within a factor STEP, so that in a band the largest inner product is nearly the nearest direction; a query asks every
-band, and bands of at most EXACT vectors are ranked exactly, unhashed.
+band, and bands of at most EXACT vectors are ranked exactly, unhashed. A query that met fewer than k vectors is ranked
+exactly against all.
 
 The share of axes probed falls with the logarithm of the number of vectors of the band, as the nearest get nearer.
 Buckets above BLOCK rows are cut in blocks of vectors and of queries, each block pair a task's group; nothing is capped.
@@ -161,4 +162,10 @@ def search(queries: DataFrame, vectors: DataFrame, *, k: int = 20, id_col: str =
         sizes[d][1].update((r["band"], r["n"]) for r in base.filter(F.size("x") == d).groupBy(band).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > exact_rows).orderBy("band").collect())
     here: Column = F.size("x").isin(*sizes)
     hashed = lambda df, query, of: df.select("id", F.size("x").alias("dim"), arrow(hashing(query, probes, tables, of, seed), HASHED)("x").alias("h")).select("id", "dim", "h.vector", F.explode("h.codes").alias("code"))
-    return met(checkpoint(hashed(base, False, sizes)), checkpoint(hashed(asked.filter(here), True, sizes)), k)
+    found = checkpoint(met(checkpoint(hashed(base, False, sizes)), checkpoint(hashed(asked.filter(here), True, sizes)), k))
+    short = checkpoint(asked.filter(here).join(found.filter(F.col("rank") == k).select(F.col("query_id").alias("id")), "id", "left_anti"))
+    if not short.head(1):
+        return found
+    unhashed = {d: (None, {}) for d in sizes}
+    rest = met(checkpoint(hashed(base, False, unhashed)), checkpoint(hashed(short, True, unhashed)), k)
+    return found.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(rest)

@@ -181,6 +181,14 @@ def test_search_recall_with_unequal_lengths(spark, case):
     assert len(got) == 2000 and len(got & want) >= 0.93 * 2000
 
 
+def test_search_gives_all_candidates_of_small_tables(spark):
+    x = np.random.default_rng(8).normal(size=(18, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1] = -x[0]
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    assert {(r.query_id, r.vec_id) for r in ann.search(d, d).collect()} == {(q, v) for q in range(18) for v in range(18) if q != v}
+
+
 def test_search_leaves_out_what_is_no_vector(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]), (8, [1.0, 0.0, 0.0]), (9, [0.5, 0.5]), (20, [float("inf"), 0.0]), (1, [0.5, 0.5])]
