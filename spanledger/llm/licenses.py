@@ -2,8 +2,9 @@
 
 A text is aligned with each license template around the places of the template's rarest words: anchors are words that
 occur once in both, the longest increasing run of anchors is kept, and the gaps between them are aligned in the same
-way. The share of template words so matched is the coverage. Rare words are chosen so many that a text which covers
-LEAST of a template must hold one of them, so no place is missed.
+way. The share of template words so matched is the coverage.
+A phrase that tells a license from its neighbours must be held word for word and is the place looked for; for templates
+without one, rare words are chosen so many that a text which covers LEAST must hold one of them, so no place is missed.
 
 Defined cases: null or empty text holds no license; several licenses are all listed, the one of most coverage (then of
 most words, then of first name) is the best; repeated rows are scanned row by row; other columns stay.
@@ -12,6 +13,7 @@ most words, then of first name) is the best; repeated rows are scanned row by ro
 from __future__ import annotations
 
 import bisect
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,17 +26,47 @@ from .decontaminate import words
 
 LEAST = 0.85
 
-# Short public license notices and permission texts, by SPDX name.
+GNU = (("GPL-2.0", "GNU General Public License", "2"), ("GPL-3.0", "GNU General Public License", "3"), ("LGPL-2.0", "GNU Library General Public License", "2"), ("LGPL-2.1", "GNU Lesser General Public License", "2.1"), ("LGPL-3.0", "GNU Lesser General Public License", "3"), ("AGPL-3.0", "GNU Affero General Public License", "3"))
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+CLAUSES = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials",
+    "the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+)
+CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+SPDX = ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "EPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "0BSD", "Zlib", "BSL-1.0", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0")
+
+# Public license notices, title lines and permission texts, by SPDX name. What stands in braces tells a license from
+# its neighbours: a text must hold it word for word, with no other word between.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Licensed under the {Apache License}, {Version 2.0}."),
+    ("Apache-2.0", "{Apache License Version 2.0, January 2004}"),
     ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    *((name, f"This work is licensed under the {{{title}}}, {{version {version}}}.") for name, title, version in GNU),
+    *((name, f"This program is free software: you can redistribute it and/or modify it under the terms of the {{{title}}} as published by the Free Software Foundation, either {{version {version} of the License}}, or (at your option) any later version.") for name, title, version in GNU),
+    *((name, f"This program is free software; you can redistribute it and/or modify it under the terms of the {{{title}}} as published by the Free Software Foundation; {{version {version} of the License}}.") for name, title, version in GNU),
+    *((name, f"{{{title} Version {version}, {date}}}") for (name, title, version), date in zip(GNU, ("June 1991", "29 June 2007", "June 1991", "February 1999", "29 June 2007", "19 November 2007"), strict=True)),
+    ("MPL-2.0", "Licensed under the {Mozilla Public License}, {version 2.0}."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the {Mozilla Public License, v. 2.0}. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "{Mozilla Public License Version 2.0} 1. Definitions"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the {Eclipse Public License} {2.0}"),
+    ("LicenseRef-BSD", BSD),
+    ("BSD-2-Clause", f"{BSD} {CLAUSES[0]} {CLAUSES[1]} {{provided with the distribution. THIS SOFTWARE IS PROVIDED BY}}"),
+    ("BSD-3-Clause", f"{BSD} {CLAUSES[0]} {CLAUSES[1]} {{provided with the distribution. Neither the name of}} {CLAUSES[2]}"),
+    ("BSD-3-Clause", f"{BSD} 1. {CLAUSES[0]} 2. {CLAUSES[1]} {{provided with the distribution. 3. Neither the name of}} {CLAUSES[2]}"),
+    ("ISC", "{Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that} the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "{Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that} the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", "{Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED}"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("BSL-1.0", "{Boost Software License} {Version 1.0}"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "{CC0 1.0} Universal"),
+    ("CC0-1.0", "{Creative Commons Zero} {1.0} Universal"),
+    *((f"CC-{kind}-{version}", f"Licensed under {{CC {kind} {version}}}.") for kind in CC for version in ("4.0", "3.0")),
+    *((f"CC-{kind}-{version}", f"Licensed under a {{Creative Commons {name} {version}}}") for kind, name in CC.items() for version in ("4.0", "3.0")),
+    *((name, f"{{SPDX-License-Identifier: {name}}}") for name in SPDX),
     ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
 )
 FOUND = "struct<n_words:bigint,matches:array<struct<license:string,coverage:double,matched:bigint,first:bigint,last:bigint>>>"
@@ -80,45 +112,81 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+class Template:
+    """A template's tokens (a phrase in braces is one token), their places and, as seeds, those of which a covering text must hold one."""
+
+    def __init__(self, name: str, text: str):
+        self.name, self.tokens, self.places, self.phrases = name, [], [], []
+        for k, part in enumerate(re.split(r"[{}]", text)):
+            found = words(part.encode())
+            for token in [tuple(found)] if k % 2 else [(w,) for w in found]:
+                self.places.append(sum(map(len, self.tokens)))
+                self.tokens.append(token)
+            self.phrases += [tuple(found)] if k % 2 else []
+        self.n, self.counts = sum(map(len, self.tokens)), Counter(self.tokens)
+        self.held = [b" %s " % b" ".join(p) for p in self.phrases]
+        self.need = frozenset(w for p in self.phrases for w in p)
+        self.words = frozenset(w for t in self.tokens for w in t)
+        self.seeds: set[tuple] = set()
+
+    def folded(self, tokens: list[bytes], lo: int, hi: int) -> tuple[list[tuple], list[int]]:
+        """The words of a window with the phrases made one token each, and their places."""
+        out, at, i = [], [], lo
+        while i < min(hi, len(tokens)):
+            whole = next((p for p in self.phrases if tokens[i] == p[0] and tuple(tokens[i : i + len(p)]) == p), (tokens[i],))
+            out.append(whole)
+            at.append(i)
+            i += len(whole)
+        return out, at
+
+
 class Templates:
-    """The templates' words and, for each, the rare words of which a covering text must hold one."""
+    """The templates, each with its seeds: one phrase, or so many rare words that a covering text must hold one."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = LEAST):
-        self.least, self.all = least, []
-        texts = [(name, words(text.encode())) for name, text in templates]
-        common = Counter(w for _, t in texts for w in set(t))
-        for name, t in texts:
-            order = sorted(set(t), key=lambda w: (common[w], -len(w), w))
-            seeds, held = set(), 0
-            for w in order:
-                seeds.add(w)
-                held += t.count(w)
-                if held > (1 - least) * len(t):
+        self.least, self.all = least, [Template(name, text) for name, text in templates]
+        common = Counter(w for t in self.all for w in t.words)
+        for t in self.all:
+            held = 0
+            for token in [max(t.phrases, key=len)] if t.phrases else sorted(set(t.tokens), key=lambda w: (common[w[0]], -len(w[0]), w)):
+                t.seeds.add(token)
+                held += t.counts[token]
+                if held > (1 - least) * t.n:
                     break
-            self.all.append((name, t, seeds, {w: [i for i, x in enumerate(t) if x == w] for w in seeds}))
 
     def scan(self, text: bytes | None) -> dict:
         tokens = words(text)
         have, best = set(tokens), {}
-        for name, t, seeds, places in self.all:
-            if not seeds & have or sum(w in have for w in set(t)) < (self.least - 0.5) * len(set(t)):
+        joined = b" %s " % b" ".join(tokens)
+        places: dict[bytes, list[int]] = {}
+        for t in self.all:
+            if not t.need <= have or not any(s[0] in have for s in t.seeds) or len(t.words & have) < (self.least - 0.5) * len(t.words) or not all(p in joined for p in t.held):
                 continue
-            slack, windows = max(4, len(t) // 2), []
-            for at, w in enumerate(tokens):
-                if w in seeds:
-                    for i in places[w]:
-                        lo, hi = max(0, at - i - slack), at - i + len(t) + slack
-                        if windows and windows[-1][0] <= lo <= windows[-1][0] + slack // 2:
-                            windows[-1][1] = max(windows[-1][1], hi)
-                        else:
-                            windows.append([lo, hi])
+            if not places:
+                for at, w in enumerate(tokens):
+                    places.setdefault(w, []).append(at)
+            starts = sorted((at, i) for s in t.seeds for at in places.get(s[0], ()) if len(s) == 1 or tuple(tokens[at : at + len(s)]) == s for i, x in zip(t.places, t.tokens, strict=True) if x == s)
+            slack, windows = max(4, t.n // 2), []
+            for at, i in starts:
+                lo, hi = max(0, at - i - slack), at - i + t.n + slack
+                if windows and windows[-1][0] <= lo <= windows[-1][0] + slack // 2:
+                    windows[-1][1] = max(windows[-1][1], hi)
+                else:
+                    windows.append([lo, hi])
             for lo, hi in windows:
-                pairs = patience(t, tokens[lo:hi])
-                cover = len(pairs) / len(t)
-                if cover >= self.least:
-                    found = (cover, len(pairs), -(lo + pairs[0][1]), lo + pairs[-1][1] + 1)
-                    best[name] = max(best.get(name, found), found)
-        matches = [{"license": k, "coverage": c, "matched": n, "first": -first, "last": last} for k, (c, n, first, last) in best.items()]
+                seen, at = t.folded(tokens, lo, hi)
+                if sum(len(x) * n for x, n in (t.counts & Counter(seen)).items()) < self.least * t.n or not all(p in seen for p in t.phrases):
+                    continue
+                pairs = patience(t.tokens, seen)
+                matched = sum(len(t.tokens[i]) for i, _ in pairs)
+                if matched < self.least * t.n or Counter(t.tokens[i] for i, _ in pairs if t.tokens[i] in t.phrases) != Counter(t.phrases):
+                    continue
+                first, last = at[pairs[0][1]], at[pairs[-1][1]] + len(seen[pairs[-1][1]])
+                found = (matched / t.n, matched, first - last, -first)
+                best[t.name] = max(best.get(t.name, found), found)
+        if any(name.startswith("BSD-") for name in best):
+            best.pop("LicenseRef-BSD", None)
+        matches = [{"license": k, "coverage": c, "matched": n, "first": -first, "last": -first - wide} for k, (c, n, wide, first) in best.items()]
         return {"n_words": len(tokens), "matches": sorted(matches, key=lambda x: (-x["coverage"], -x["matched"], x["license"]))}
 
 

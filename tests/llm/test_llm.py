@@ -143,6 +143,34 @@ def test_licenses(spark):
     assert (got[0].found.matches[0].first, got[0].found.matches[0].coverage) == (500, 1.0)
 
 
+def found_in(text):
+    return [m["license"] for m in licenses.Templates().scan(text.encode())["matches"]]
+
+
+@pytest.mark.parametrize("kind, version, name", [("", "2", "GPL-2.0"), ("", "3", "GPL-3.0"), ("Library ", "2", "LGPL-2.0"), ("Lesser ", "2.1", "LGPL-2.1"), ("Lesser ", "3", "LGPL-3.0"), ("Affero ", "3", "AGPL-3.0")])
+def test_gnu_licenses_are_told_apart(kind, version, name):
+    text = f"This program is free software; you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+    assert found_in(f"a b {text} c d") == [name]
+
+
+@pytest.mark.parametrize("kind", ["BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"])
+def test_creative_commons_licenses_are_told_apart(kind):
+    assert found_in(f"a b Licensed under CC {kind} 4.0. c d") == [f"CC-{kind}-4.0"]
+
+
+def test_bsd_licenses_are_told_apart():
+    head = f"{licenses.BSD} {licenses.CLAUSES[0]} {licenses.CLAUSES[1]} provided with the distribution."
+    end = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"
+    assert found_in(f"{head} {end}") == ["BSD-2-Clause"]
+    assert found_in(f"{head} Neither the name of {licenses.CLAUSES[2]} {end}") == ["BSD-3-Clause"]
+    assert found_in(licenses.BSD) == ["LicenseRef-BSD"]
+
+
+def test_every_template_finds_its_own_license_alone():
+    for name, text in licenses.TEMPLATES:
+        assert found_in("a b " + text.replace("{", "").replace("}", "") + " c d") == [name]
+
+
 # 5
 
 
