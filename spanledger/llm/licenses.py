@@ -2,7 +2,8 @@
 
 A text is aligned with each license template around the places of the template's rarest words: anchors are words that
 occur once in both, the longest increasing run of anchors is kept, and the gaps between them are aligned in the same
-way. The share of template words so matched is the coverage.
+way. The share of template words so matched is the coverage. Where that does not give one unbroken run, as where a
+notice is repeated closely and its words are no anchors, the window is aligned by weight and the narrowest place is taken.
 A phrase that tells a license from its neighbours must be held word for word and is the place looked for; for templates
 without one, rare words are chosen so many that a text which covers LEAST must hold one of them, so no place is missed.
 
@@ -112,6 +113,29 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def compact(a: list, b: list, weights: list[int]) -> list[tuple[int, int]]:
+    """Matched places of a and b, in order, of the most weight and, of those, over the fewest places of b."""
+    table = [[(0, j) for j in range(len(b) + 1)]]
+    for x, w in zip(a, weights, strict=True):
+        above, row = table[-1], [(0, 0)]
+        for j, y in enumerate(b):
+            best = max(above[j + 1], row[j])
+            if x == y:
+                best = max(best, (above[j][0] + w, above[j][1] if above[j][0] else j))
+            row.append(best if best[0] else (0, j + 1))
+        table.append(row)
+    i, j, out = len(a), max(range(len(b) + 1), key=lambda j: (table[-1][j][0], table[-1][j][1] - j)), []
+    while i and j and table[i][j][0]:
+        if table[i][j] == table[i - 1][j]:
+            i -= 1
+        elif table[i][j] == table[i][j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+    return out[::-1]
+
+
 class Template:
     """A template's tokens (a phrase in braces is one token), their places and, as seeds, those of which a covering text must hold one."""
 
@@ -127,6 +151,7 @@ class Template:
         self.held = [b" %s " % b" ".join(p) for p in self.phrases]
         self.need = frozenset(w for p in self.phrases for w in p)
         self.words = frozenset(w for t in self.tokens for w in t)
+        self.weights = [1000 * len(t) if t in self.phrases else 1 for t in self.tokens]
         self.seeds: set[tuple] = set()
 
     def folded(self, tokens: list[bytes], lo: int, hi: int) -> tuple[list[tuple], list[int]]:
@@ -177,13 +202,16 @@ class Templates:
                 seen, at = t.folded(tokens, lo, hi)
                 if sum(len(x) * n for x, n in (t.counts & Counter(seen)).items()) < self.least * t.n or not all(p in seen for p in t.phrases):
                     continue
-                pairs = patience(t.tokens, seen)
-                matched = sum(len(t.tokens[i]) for i, _ in pairs)
-                if matched < self.least * t.n or Counter(t.tokens[i] for i, _ in pairs if t.tokens[i] in t.phrases) != Counter(t.phrases):
-                    continue
-                first, last = at[pairs[0][1]], at[pairs[-1][1]] + len(seen[pairs[-1][1]])
-                found = (matched / t.n, matched, first - last, -first)
-                best[t.name] = max(best.get(t.name, found), found)
+                for align in (patience, compact):
+                    pairs = align(t.tokens, seen) if align is patience else compact(t.tokens, seen, t.weights)
+                    matched = sum(len(t.tokens[i]) for i, _ in pairs)
+                    if matched < self.least * t.n or Counter(t.tokens[i] for i, _ in pairs if t.tokens[i] in t.phrases) != Counter(t.phrases):
+                        continue
+                    first, last = at[pairs[0][1]], at[pairs[-1][1]] + len(seen[pairs[-1][1]])
+                    found = (matched / t.n, matched, first - last, -first)
+                    best[t.name] = max(best.get(t.name, found), found)
+                    if last - first == matched:
+                        break
         if any(name.startswith("BSD-") for name in best):
             best.pop("LicenseRef-BSD", None)
         matches = [{"license": k, "coverage": c, "matched": n, "first": -first, "last": -first - wide} for k, (c, n, wide, first) in best.items()]

@@ -171,6 +171,14 @@ def test_every_template_finds_its_own_license_alone():
         assert found_in("a b " + text.replace("{", "").replace("}", "") + " c d") == [name]
 
 
+def test_licenses_repeated_closely():
+    scan = licenses.Templates().scan
+    texts = {"x y all rights reserved all rights reserved z w": (2, 5), "Foo Released under the MIT License. Released under the MIT License. bar": (1, 6)}
+    for text, place in texts.items():
+        (m,) = scan(text.encode())["matches"]
+        assert m["coverage"] == 1.0 and (m["first"], m["last"]) in (place, (place[1], 2 * place[1] - place[0]))
+
+
 # 5
 
 
