@@ -90,14 +90,23 @@ def verbatim_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quote_loose_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes of the first two lines; quote_loose_match_whole takes all."""
+    return loose_match(lines.split_lines(table(spark, sf_dir, "documents")).filter("line_no < 2"))
+
+
+def loose_match(d: DataFrame) -> DataFrame:
     """Quotes with their commas lost and spaces doubled, brought back to what the text says."""
-    d = lines.split_lines(table(spark, sf_dir, "documents")).filter("line_no < 2")
     whole = d.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("text"))
     quote = F.replace(F.replace(F.replace("text", F.lit(","), F.lit("")), F.lit("\n"), F.lit(" ")), F.lit(" "), F.lit("  "))
     back = text.canonical_quote(quote, F.col("text"))
     return whole.select("doc_id", (back == text.trim_unicode(F.rtrim(F.regexp_replace("text", ",$", "")))).alias("restored"), text.loose_contains(F.col("text"), F.replace(F.col("text"), F.lit(" "), F.lit("   "))).alias("loose"))
 
 
+def quote_loose_match_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """quote_loose_match over all lines of each text."""
+    return loose_match(lines.split_lines(table(spark, sf_dir, "documents")))
+
+
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = annotate.reconcile(annotations(spark, sf_dir))
     d = table(spark, sf_dir, "documents").select((F.col("doc_id") % 20).alias("group"), F.concat(F.lit("S"), "doc_id").alias("span_id"), "lang", "doc_id")
@@ -310,7 +319,7 @@ def adjudicated_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "req_id", F.md5("verbatim_quote").alias("quote_md5"), "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (outside_hits, claims_summary, adjudicated_statements, label_left_join, unlabelled_docs, labelled_docs, two_annotator_reconcile, downgrade_pending, coverage_gate, unresolved_counters, label_coercion, verbatim_containment, quote_loose_match, label_distribution, spans_per_doc_histogram, tag_index, subsystem_index, glossary_terms, dangling_edges, valid_edges, cycle_members, parent_chain, edge_grouping_sets, per_doc_rollup, first_wins_edges, adjudicated_edges, cross_refs, scope_triage, longest_prefix, atomic_map_fanout, first_n_examples, pending_packet, packet_validation, claim_overlap, merge_first_wins, dedupe_exact_text, highlight_depth, chunk_batches, next_numbers, registry_stats, catalog_sections, registry_json)}
+QUERIES = {f.__name__: f for f in (outside_hits, claims_summary, adjudicated_statements, label_left_join, unlabelled_docs, labelled_docs, two_annotator_reconcile, downgrade_pending, coverage_gate, unresolved_counters, label_coercion, verbatim_containment, quote_loose_match, quote_loose_match_whole, label_distribution, spans_per_doc_histogram, tag_index, subsystem_index, glossary_terms, dangling_edges, valid_edges, cycle_members, parent_chain, edge_grouping_sets, per_doc_rollup, first_wins_edges, adjudicated_edges, cross_refs, scope_triage, longest_prefix, atomic_map_fanout, first_n_examples, pending_packet, packet_validation, claim_overlap, merge_first_wins, dedupe_exact_text, highlight_depth, chunk_batches, next_numbers, registry_stats, catalog_sections, registry_json)}
 
 EDGES = "edges AS (SELECT DISTINCT l_suppkey AS src, l_partkey % 131 AS dst FROM lineitem)"
 REGSPANS = f"""{REG_SQL}, regspans AS (SELECT doc_id, line_no AS seq, line, line LIKE '§%' AS header, last_value(CASE WHEN line LIKE '§%' THEN regexp_extract(line, '^§ (\\d+\\.\\d+)', 1) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no) AS section FROM reg WHERE line <> '' AND line NOT LIKE 'PART %' AND line NOT LIKE 'page %')"""
@@ -336,6 +345,7 @@ SQL = {
     "label_coercion": "SELECT ['requirement_bearing', 'scope_exclusion', 'structural', 'definition', 'source_note', NULL, 'requirement_bearing'][o_orderkey % 7 + 1] AS label, ['shall', 'may', 'unspecified', 'unspecified'][o_orderkey % 4 + 1] AS modality, count(*) AS n FROM orders GROUP BY 1, 2",
     "verbatim_containment": "SELECT item_id, doc_id, CAST(strpos(d.text, b.text) - 1 AS BIGINT) AS start FROM benchmark b JOIN documents d ON contains(d.text, b.text)",
     "quote_loose_match": f"WITH {LINES_SQL} SELECT doc_id, NOT regexp_matches(string_agg(line, chr(10) ORDER BY line_no), '[,;]\\S') AS restored, true AS loose FROM docl WHERE line_no < 2 GROUP BY doc_id",
+    "quote_loose_match_whole": f"WITH {LINES_SQL} SELECT doc_id, NOT regexp_matches(string_agg(line, chr(10) ORDER BY line_no), '[,;]\\S') AS restored, true AS loose FROM docl GROUP BY doc_id",
     "label_distribution": f"WITH {ANNOTATED_SQL} SELECT d.doc_id % 20 AS group, coalesce(final_label, lang) AS label, count(*) AS n FROM documents d LEFT JOIN classes USING (doc_id) GROUP BY 1, 2",
     "spans_per_doc_histogram": f"WITH {LINES_SQL}, p AS (SELECT doc_id, count(*) AS n_spans FROM docl GROUP BY 1) SELECT n_spans, count(*) AS n_docs, min(doc_id) AS first_doc FROM p GROUP BY 1",
     "tag_index": "SELECT tag, count(*) AS n_docs, sha256(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id)) AS ids_sha256 FROM (SELECT doc_id, lang AS tag FROM documents UNION SELECT doc_id, source FROM documents) GROUP BY tag",

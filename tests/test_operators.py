@@ -1,9 +1,12 @@
 """Operators on small hand-written tables."""
 
+import tempfile
+
 from pyspark.sql import functions as F
 
 from spanledger.functions import signals, text
 from spanledger.operators import annotate, audit, graph, lines, packets, refs, segment
+from spanledger.queries import catalog
 from spanledger.sources import readers, sinks
 
 
@@ -98,6 +101,14 @@ def test_scalars(spark):
     assert column(spark, dense, text.is_degenerate) and not column(spark, dense[:-1], text.is_degenerate) and not column(spark, ("x" * 8 + " " * 12) * 20, text.is_degenerate)
 
 
+def test_loose_match_takes_all_lines(spark):
+    texts = ["\n".join(f"line {i}, of; many words" for i in range(12)), "one\ntwo\nthree,four here"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    d.write.mode("overwrite").parquet(f"{(folder := tempfile.mkdtemp(prefix='spark-'))}/documents.parquet")
+    got = {r.doc_id: (r.restored, r.loose) for r in catalog.quote_loose_match_whole(spark, folder).collect()}
+    assert got == {0: (True, True), 1: (False, True)}
+
+
 def test_quotes(spark):
     rows = [("shall be FDA- regulated", "It shall be FDA-\nregulated now"), ("a, b c", "x a b,\n c"), ("gone", "text"), ("", "text"), (" ".join(f"w{i}" for i in range(200)), "\n".join(f"w{i}," for i in range(200)))]
     out = spark.createDataFrame(rows, "q string, t string").select(text.canonical_quote(F.col("q"), F.col("t")).alias("r")).collect()
