@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from spanledger.functions import signals, text
-from spanledger.operators import annotate, audit, graph, lines, packets, refs, segment
+from spanledger.operators import annotate, audit, graph, lines, packets, quotes, refs, segment
 from spanledger.queries import catalog
 from spanledger.sources import readers, sinks
 
@@ -116,6 +116,20 @@ def test_quotes(spark):
     assert out[1].r == "a b,\n c" and out[2].r == "gone" and out[3].r == "" and out[4].r.startswith("w0,\nw1,")
 
 
+def test_many_short_quotes_are_not_listed_in_one_row(spark):
+    texts = ["to be, or not to be", "", "ab-cd été 7", None, "--- x"]
+    asked = ["be", "b", "not to", "---", "té", "cd été", "zz", "e, o", "", "7", "to be, or not", None]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    q = spark.createDataFrame(list(enumerate(asked)), "item_id bigint, text string")
+    want = {(i, k, t.index(a)) for i, a in enumerate(asked) if a is not None for k, t in enumerate(texts) if t is not None and a in t}
+    listed, looked_up = quotes.containment(d, q), quotes.containment(d, q, most_bytes=0)
+    for df in (listed, looked_up):
+        rows = [tuple(r) for r in df.select("item_id", "doc_id", "start").collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == want
+    plan = looked_up._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+
+
 def test_signals(spark):
     def found(t):
         return [(h["pattern_id"], h["start"]) for h in column(spark, t, signals.signals)]
