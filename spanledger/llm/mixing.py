@@ -5,8 +5,9 @@ A document's count inverts the Poisson distribution of that mean at a uniform nu
 is the same on every run. Each document is exploded by its count; a hash of seed, id and copy deals and orders all rows.
 
 Defined cases: a null source is a source of its own; a null id counts as one id; a source without bytes keeps rate 1;
-with given weights, sources that have none are left out; repeated rows get the same count; null and empty texts are
-copied like others; an empty table gives no rows. Means above PIECE are sums of independent smaller ones.
+with given weights, sources that have none are left out; repeated rows get the same count and ties of order stay as they
+fall; null, empty and very long texts are copied like others; an empty table gives no rows; a column of the replica's name
+stays, the replica then gets underscores. Means above PIECE are sums of independent smaller ones.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from .common import checkpoint, fresh
 
 #: The largest mean that is inverted in one step.
 PIECE = 256
-#: Sources up to which the table of rates is broadcast; a row is below 6 KB.
+#: The sources of most documents, whose rates are broadcast; a row is below 6 KB. Of what is left no source has many documents.
 BROADCAST_SOURCES = 2000
 
 
@@ -41,8 +42,8 @@ def cumulated(mean: Column) -> Column:
 
 
 def rates(docs: DataFrame, *, source_col: str = "source", text_col: str = "text", weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0) -> DataFrame:
-    """source, bytes, rate. Targets are the given weights, or else bytes to the given power, scaled to sum 1."""
-    sizes = docs.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0))).alias("bytes"))
+    """source, bytes, docs, rate. Targets are the given weights, or else bytes to the given power, scaled to sum 1."""
+    sizes = docs.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0))).alias("bytes"), F.count(F.lit(1)).alias("docs"))
     if weights is None:
         weight = F.pow(F.col("bytes").cast("double"), F.lit(power))
     else:
@@ -52,7 +53,7 @@ def rates(docs: DataFrame, *, source_col: str = "source", text_col: str = "text"
     total = sizes.agg(F.sum("bytes").alias("all_bytes"), F.sum("weight").alias("all_weight")).first()
     factor = epochs * (total["all_bytes"] or 0) / total["all_weight"] if total["all_weight"] else 0.0
     rate = F.when(F.col("bytes") > 0, F.col("weight") * F.lit(factor) / F.col("bytes")).otherwise(F.lit(1.0) if weights is None else F.when(F.col("weight") > 0, 1.0).otherwise(0.0))
-    return sizes.select("source", "bytes", rate.alias("rate"))
+    return sizes.select("source", "bytes", "docs", rate.alias("rate"))
 
 
 def mix(docs: DataFrame, *, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id", seed: int = 7, replica_col: str = "replica", **targets) -> DataFrame:
@@ -60,12 +61,21 @@ def mix(docs: DataFrame, *, source_col: str = "source", text_col: str = "text",
     by = checkpoint(rates(docs, source_col=source_col, text_col=text_col, **targets))
     pieces = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int")
     key, cdf, many, count, order = (fresh(docs, x) for x in ("mix_source", "mix_cdf", "mix_pieces", "mix_count", "mix_order"))
-    table = by.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias(key), pieces.alias(many), cumulated(F.col("rate") / pieces).alias(cdf))
-    table = F.broadcast(table) if by.count() <= BROADCAST_SOURCES else table
+    named = lambda source: F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+    curves = lambda rows: rows.select(named(F.col("source")).alias(key), pieces.alias(many), cumulated(F.col("rate") / pieces).alias(cdf))
+    keyed = docs.withColumn(key, named(F.col(source_col).cast("string")))
+    if by.count() <= BROADCAST_SOURCES:
+        rows = keyed.join(F.broadcast(curves(by)), key)
+    else:
+        hot = checkpoint(by.orderBy(F.col("docs").desc(), "source").limit(BROADCAST_SOURCES))
+        names = F.broadcast(hot.select(named(F.col("source")).alias(key)))
+        rest = by.join(F.broadcast(hot.select("source")), by["source"].eqNullSafe(hot["source"]), "left_anti")
+        rows = keyed.join(F.broadcast(curves(hot)), key).unionByName(keyed.join(names, key, "left_anti").join(curves(rest), key))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    each = lambda j: F.size(F.filter(F.col(cdf), lambda c: c <= uniform(F.lit(seed), name, j)))
-    drawn = F.aggregate(F.sequence(F.lit(1), F.col(many)), F.lit(0), lambda n, j: n + each(j))
-    rows = docs.withColumn(key, F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))).join(table, key).withColumn(count, drawn).filter(F.col(count) > 0)
-    copies = rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(count))).alias(replica_col))
-    dealt = copies.withColumn(order, F.md5(F.concat_ws("|", F.lit(str(seed)), name, F.col(replica_col).cast("string")).cast("binary")))
+    numbers = F.transform(F.sequence(F.lit(1), F.col(many)), lambda j: uniform(F.lit(seed), name, j))
+    total = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter(F.col(cdf), lambda c: c <= u)))
+    copies = rows.withColumn(count, total).filter(F.col(count) > 0)
+    replica = fresh(docs, replica_col)
+    copies = copies.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(count))).alias(replica))
+    dealt = copies.withColumn(order, F.md5(F.concat_ws("|", F.lit(str(seed)), name, F.col(replica).cast("string")).cast("binary")))
     return dealt.repartition(order).sortWithinPartitions(order).drop(order)

@@ -11,10 +11,11 @@
 
 There are as many bands as it takes for a pair at the threshold to share no key with probability MISS at most.
 
-Defined cases: null or empty texts, or without words, have an empty set and are linked with nothing; fewer words than a
-shingle are one shingle; null ids come after all others (a group of null ids only has the component null); documents
-that repeat an id are judged by their own text, and the class takes the id; an empty table gives no rows; other columns
-are not used.
+Defined cases: null or empty texts, or without words, have an empty set and are linked with nothing; very long texts are
+cut and compared whole; fewer words than a shingle are one shingle; ids may be of any type with an order (numbers, texts,
+dates); null ids come after all others (a group of null ids only has the component null); ties, that is equal sets, are
+one class; documents that repeat an id are judged by their own text, and the class takes the id; an empty table gives no
+rows; other columns, whatever their names, are not used.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, checkpoint, fresh, slices, table_bound
+from .common import arrow, checkpoint, fresh, hot_join, slices, table_bound
 from .components import Linked, components
 
 WORDS, PERCENT = 5, 80
@@ -38,8 +39,6 @@ BUCKET = 512
 #: Nodes and shingles of a group, or chunk, that one task solves.
 GROUP_NODES, GROUP_SHINGLES = 750, 1_000_000
 PIVOTS = 16
-#: Rows up to which a table of nodes (about 100 bytes each) is broadcast.
-BROADCAST_ROWS = 250_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SPACES = np.zeros(256, bool)
 SPACES[[32, *range(9, 14)]] = True
@@ -231,9 +230,6 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-SOLVED = pa.schema([("node", pa.binary()), ("root", pa.binary()), ("part", pa.binary()), ("other", pa.binary()), ("least_id", pa.int64())])
-
-
 def solve(scheme: Scheme, *keys: str) -> Callable:
     """Confirmed classes of each group: (node, root, least_id) for the nodes of a class of two or more, root being its least node, least_id its least id.
 
@@ -266,7 +262,8 @@ def solve(scheme: Scheme, *keys: str) -> Callable:
                     least[r] = min(least.get(r, own), own)
             out = [(nodes[i], nodes[r], part[i], part[r], least.get(r)) for i, r in enumerate(root) if many[r] > 1]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), SOLVED, strict=True)], schema=SOLVED)
+                kinds = [pa.binary()] * 4 + [table.schema.field("own").type]
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)], ["node", "root", "part", "other", "least_id"])
 
     return run
 
@@ -275,7 +272,9 @@ def in_groups(rows: DataFrame, solver: Callable, schema: str, *keys: str) -> Dat
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(solver, schema)
 
 
-CLASSES = "node binary, root binary, part binary, other binary, least_id bigint"
+def classes_of(rows: DataFrame, scheme: Scheme, *keys: str) -> DataFrame:
+    """node, root, part, other, least_id of the groups of rows."""
+    return in_groups(rows, solve(scheme, *keys), f"node binary, root binary, part binary, other binary, least_id {rows.schema['own'].dataType.simpleString()}", *keys)
 
 
 def candidate_groups(nodes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -293,10 +292,10 @@ def exact_classes(docs: DataFrame, nodes: DataFrame, scheme: Scheme, *, id_col:
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("shingles"))
     chunks = F.greatest(F.ceil(F.col("many") / GROUP_NODES), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("bigint")
     members = checkpoint(members.join(sizes.select("root", chunks.alias("chunks")), "root"))
-    small = table_bound(members.select("root", "node", "chunks", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("text_key")), BROADCAST_ROWS)
+    small = table_bound(members.select("root", "node", "chunks", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("text_key")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
-    one = texts.join(small, (texts["id"].eqNullSafe(small["rep_id"])) & (texts["text_key"] == small["text_key"])).select("root", "node", "chunks", F.col("rep_id").cast("bigint").alias("own"), "text")
-    few = in_groups(one.filter(F.col("chunks") == 1).select("root", "node", "own", "text"), solve(scheme, "root"), CLASSES, "root").select("node", "least_id")
+    one = texts.join(small, (texts["id"].eqNullSafe(small["rep_id"])) & (texts["text_key"] == small["text_key"])).select("root", "node", "chunks", F.col("rep_id").alias("own"), "text")
+    few = classes_of(one.filter(F.col("chunks") == 1).select("root", "node", "own", "text"), scheme, "root").select("node", "least_id")
     if not members.filter(F.col("chunks") > 1).head(1):
         return few
     large = checkpoint(one.filter(F.col("chunks") > 1))
@@ -310,7 +309,7 @@ def large_classes(rows: DataFrame, scheme: Scheme) -> DataFrame:
     large = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
     pivots = large.filter(F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks") * max(1, GROUP_NODES // PIVOTS)) == 0).withColumn("chunk", numbers)
     first = large.unionByName(pivots).select("root", "node", "own", "text", "chunk")
-    found = in_groups(first, solve(scheme, "root", "chunk"), CLASSES, "root", "chunk").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    found = classes_of(first, scheme, "root", "chunk").select(F.col("node").alias("a"), F.col("root").alias("b"))
     parts = components(found).withColumnRenamed("root", "part")
     cut = checkpoint(large.drop("text", "own").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")))
     counted = cut.groupBy("root", "part").agg(F.count(F.lit(1)).alias("many"))
@@ -323,7 +322,7 @@ def large_classes(rows: DataFrame, scheme: Scheme) -> DataFrame:
     left = told.filter(F.col("part") != F.col("main")).withColumn("chunk", numbers)
     right = told.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)))
     columns = ["root", "chunk", "piece", "node", "own", "part", "text"]
-    last = in_groups(left.select(columns).unionByName(right.select(columns)), solve(scheme, "root", "chunk", "piece"), CLASSES, "root", "chunk", "piece")
+    last = classes_of(left.select(columns).unionByName(right.select(columns)), scheme, "root", "chunk", "piece")
     joins = checkpoint(last.filter(F.col("part") != F.col("other")).select(F.col("part").alias("a"), F.col("other").alias("b")).distinct())
     if not joins.head(1):
         return cut.select("node", F.col("part").alias("root"))
@@ -343,8 +342,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     nodes = checkpoint(once.select("node", "m.n", F.struct("m.id", "m.text_key").alias("rep"), "m.bands", "m.sketch"))
     classes = exact_classes(docs, nodes, scheme, id_col=id_col, text_col=text_col)
     own = nodes.select("node", F.col("rep.id").alias("own"))
-    of_node = own.join(classes, "node", "left").select("node", F.coalesce("least_id", "own").alias("component_id"))
-    full = some.select("id", "text_key", "n", "node").join(of_node, "node").select("id", "text_key", "n", "component_id")
+    of_node = checkpoint(own.join(classes, "node", "left").select("node", F.coalesce("least_id", "own").alias("component_id")))
+    full = hot_join(some.select("id", "text_key", "n", "node"), of_node, "node").select("id", "text_key", "n", "component_id")
     empty = signed.filter(F.col("n") == 0).select("id", "text_key", "n", F.col("id").alias("component_id"))
     return full.unionByName(empty).select("id", "text_key", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
@@ -354,7 +353,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     found = checkpoint(near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, percent=percent))
     told = found.groupBy("id", "text_key").agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("many")).filter(~F.col("stays") | (F.col("many") > 1))
     key, rest = fresh(docs, "dedup_key"), fresh(docs, "dedup_stays")
-    told = table_bound(checkpoint(told.select(F.col("id").alias(key + "_id"), F.col("text_key").alias(key), F.col("stays").alias(rest))), 4 * BROADCAST_ROWS)
+    told = table_bound(checkpoint(told.select(F.col("id").alias(key + "_id"), F.col("text_key").alias(key), F.col("stays").alias(rest))))
     keyed = docs.withColumn(key, F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
     joined = keyed.join(told, F.col(id_col).eqNullSafe(F.col(key + "_id")) & (keyed[key] == told[key]), "left").select(*(keyed[c] for c in docs.columns), keyed[key], told[rest])
     single = joined.filter(F.col(rest).isNull()).select(docs.columns)

@@ -4,8 +4,10 @@ Base patterns find assignments, access keys and hex runs; wider candidates (long
 Each candidate's hash is counted over distinct repositories and owners of the whole corpus. A value of few owners looks
 live; one that many share is a copied example. A wide candidate becomes a span only if it looks live; base spans stay.
 
-Defined cases: null or empty text has no spans; a null repository is one repository without owner; repeated documents
-are scanned row by row; equal spans of one kind cannot arise. Offsets are code points, ends exclusive.
+Defined cases: null or empty text has no spans; very long texts are scanned whole, each once; a null repository is one
+repository without owner; repeated documents are scanned row by row and count once per repository and owner; ties of
+start are ordered by kind, and equal spans of one kind cannot arise; an empty table gives no rows; columns of clashing
+names stay as they are in redact, and secret_spans returns none but its own. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, checkpoint, fresh, slices, table_bound
+from .common import arrow, checkpoint, fresh, hot_join, slices, table_bound
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -50,8 +52,6 @@ def scan(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 FOUND = "array<struct<start:bigint,kind:tinyint,end:bigint,hash:bigint>>"
 JUDGED = "array<struct<start:bigint,kind:tinyint,end:bigint,n_repos:bigint,n_owners:bigint,live:boolean>>"
-#: Texts with live secrets up to which their spans (some 100 bytes each) are broadcast.
-BROADCAST_ROWS = 100_000
 #: What any text with a candidate matches; it only spares the others their way to Python.
 ANY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA|[0-9a-f]{16}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20}"""
 
@@ -71,8 +71,8 @@ def ownership(found: DataFrame) -> DataFrame:
 def judged_spans(found: DataFrame, *, max_owners: int, max_repos: int) -> DataFrame:
     """text_key, spans from rows (text_key, repo, found). Spans depend on the text and the corpus alone, so copies share a row here."""
     each = found.filter(F.size("found") > 0).select("text_key", "repo", F.substring_index("repo", "/", 1).alias("owner"), F.explode("found").alias("s"))
-    owned = ownership(each.select(F.col("s.hash").alias("hash"), "repo", "owner"))
-    judged = each.select("text_key", "s.*").distinct().join(owned, "hash").withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
+    owned = checkpoint(ownership(each.select(F.col("s.hash").alias("hash"), "repo", "owner")))
+    judged = hot_join(checkpoint(each.select("text_key", "s.*").distinct()), owned, "hash").withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
     judged = judged.filter((F.col("kind") < 3) | F.col("live"))
     return judged.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "n_repos", "n_owners", "live"))).alias("spans"))
 
@@ -89,9 +89,9 @@ def secret_spans(docs: DataFrame, *, text_col: str = "text", repo_col: str = "so
     on the few rows with candidates.
     """
     found = checkpoint(found_in(docs, text_col, repo_col, F.col(id_col).alias("id")))
-    spans = judged_spans(found, max_owners=max_owners, max_repos=max_repos)
+    spans = checkpoint(judged_spans(found, max_owners=max_owners, max_repos=max_repos))
     none = found.filter(F.size("found") == 0).select("id", F.array().cast(JUDGED).alias("spans"))
-    some = found.filter(F.size("found") > 0).select("id", "text_key").join(spans, "text_key", "left").select("id", F.coalesce("spans", F.array().cast(JUDGED)).alias("spans"))
+    some = hot_join(found.filter(F.size("found") > 0).select("id", "text_key"), spans, "text_key", "left").select("id", F.coalesce("spans", F.array().cast(JUDGED)).alias("spans"))
     return none.unionByName(some).withColumnRenamed("id", id_col)
 
 
@@ -113,6 +113,6 @@ def redact(docs: DataFrame, *, text_col: str = "text", repo_col: str = "source",
     key, spans = fresh(docs, "secret_key"), fresh(docs, "secret_spans")
     found = checkpoint(found_in(docs, text_col, repo_col).filter(F.size("found") > 0))
     judged = judged_spans(found, max_owners=max_owners, max_repos=max_repos).filter(F.exists("spans", lambda s: s["live"]))
-    judged = table_bound(checkpoint(judged.select(F.col("text_key").alias(key), F.col("spans").alias(spans))), BROADCAST_ROWS)
+    judged = table_bound(checkpoint(judged.select(F.col("text_key").alias(key), F.col("spans").alias(spans))))
     keyed = docs.withColumn(key, F.md5(F.col(text_col).cast("binary"))).join(judged, key, "left")
     return keyed.withColumn(text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col(spans), mark))).select(*docs.columns)
