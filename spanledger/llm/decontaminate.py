@@ -3,30 +3,37 @@
 A word is a run of digits, letters and non-ASCII characters after A-Z are lowered. An item's windows are its runs of
 n words; an item of fewer words, but not none, is one window. Every document word inside an occurrence is hit.
 
-Defined cases: null or empty text has no words, so it is never hit; a null item text has no window; an item with a null
-id marks words but is not listed; repeated items count once; repeated documents are judged row by row; other columns,
-whatever their names, stay. The benchmark is taken in blocks of bounded size, one broadcast each.
+The benchmark is taken in blocks of bounded size. A block's index is flat arrays, some six bytes for each byte of its
+text: sorted window hashes, where each window stands, and its items. All blocks of PASS_BYTES are broadcast at once and
+held against each text in one pass; a larger benchmark takes more passes, which leave only the places that were hit.
+
+Defined cases: null or empty text has no words, so it is never hit; very long texts are scanned whole; a null item text
+has no window; an item with a null id marks words but is not listed; repeated items count once; repeated documents are
+judged row by row; an empty table of documents gives no rows, an empty benchmark no hits; a column of the output's name
+stays, the output then gets underscores; other columns, whatever their names, stay.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, checkpoint, fresh, slices
+from .common import arrow, fresh, slices, table_bound, written
+from .neardup import mixed, word_hashes
 
 N = 13
-#: UTF-8 bytes of benchmark text in one broadcast block.
-BLOCK_BYTES = 8 << 20
+#: UTF-8 bytes of benchmark text in one block, and in the blocks of one pass.
+BLOCK_BYTES, PASS_BYTES = 8 << 20, 32 << 20
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-P = np.uint64(0x9E3779B97F4A7C15)
+P = 0x9E3779B97F4A7C15
 RESULT = "struct<n_words:bigint,n_hit:bigint,spans:array<bigint>,items:array<string>,cleaned:string>"
 
 
@@ -34,58 +41,78 @@ def words(text: bytes | None) -> list[bytes]:
     return text.translate(FOLD).split() if text else []
 
 
-def powers(n: int) -> np.ndarray:
-    return np.cumprod(np.full(n, P, np.uint64))
+class Hashed:
+    """The words of some texts, joined, and sums by which any window's hash is had at once."""
+
+    def __init__(self, texts: list[bytes | None], seed: int = 0):
+        folded = [(t or b"").translate(FOLD) for t in texts]
+        self.joined = b" ".join([b"", *folded, b" " * 8])
+        data = np.frombuffer(self.joined, np.uint8)
+        word = np.append(data != 32, False)
+        self.start = np.flatnonzero(word[1:] & ~word[:-1]) + 1
+        self.end = np.flatnonzero(~word[1:] & word[:-1]) + 1
+        self.first = np.searchsorted(self.start, np.cumsum([1, *(len(t) + 1 for t in folded)]))
+        hashes = mixed(word_hashes(data, self.start, self.end) ^ np.uint64(seed))
+        power = lambda p: np.cumprod(np.append(np.ones(1, np.uint64), np.full(len(hashes), p, np.uint64)), dtype=np.uint64)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power(P)[:-1], dtype=np.uint64)])
+        self.back = power(pow(P, -1, 1 << 64))
+
+    def windows(self, at: np.ndarray, length: int) -> np.ndarray:
+        """The hashes of the windows of so many words that begin at words at."""
+        return mixed((self.sums[at + length] - self.sums[at]) * self.back[at])
+
+    def text(self, at: int, length: int) -> bytes:
+        return b" ".join(self.joined[self.start[at] : self.end[at + length - 1]].split())
 
 
 class Windows:
-    """The windows of a block of items, by length: sorted hashes, word ids for the verification, and their items."""
+    """The windows of a block of items: for each length their sorted hashes, their places in the joined items, and their items."""
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], n: int = N):
-        self.vocab: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            ids = tuple(self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(text))
-            for i in range(max(1, len(ids) - n + 1) if ids else 0):
-                found.setdefault(ids[i : i + n], set()).update([item] * (item is not None))
-        for seed in range(1, 99):  # another seed in case two windows share a hash
-            self.codes = np.random.default_rng(seed).integers(1, 2**63, len(self.vocab) + 1, dtype=np.uint64)
-            self.by_length = []
-            for length in sorted({len(w) for w in found}):
-                grams = [w for w in found if len(w) == length]
-                ids = np.array(grams, np.int64).reshape(len(grams), length)
-                hashes = (self.codes[ids] * powers(length)).sum(1, dtype=np.uint64)
-                order = np.argsort(hashes)
-                bits = np.zeros(1 << 20, bool)
-                bits[(hashes >> np.uint64(44)).astype(np.int64)] = True
-                self.by_length.append((length, hashes[order], ids[order], [sorted(found[grams[k]]) for k in order], bits))
-            if all(len(np.unique(x[1])) == len(x[1]) for x in self.by_length):
+        self.items = [item for item, _ in items]
+        told = [b" ".join(words(text)) for _, text in items]
+        for self.seed in range(99):  # another seed in case two windows share a hash
+            of, self.by_length = Hashed(told, self.seed), []
+            self.joined, size = of.joined, np.diff(of.first)
+            for length in np.unique(np.minimum(size[size > 0], n)).tolist():
+                here = np.flatnonzero(size >= n if length == n else size == length)
+                many = size[here] - length + 1
+                owner = np.repeat(here, many)
+                at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(of.first[here], many)
+                hashes = of.windows(at, length)
+                order = np.argsort(hashes, kind="stable")
+                hashes, at, owner = hashes[order], at[order], owner[order].astype(np.int32)
+                new = np.append(True, hashes[1:] != hashes[:-1])
+                head = np.flatnonzero(new)[np.cumsum(new) - 1]
+                if any(of.text(at[i], length) != of.text(at[head[i]], length) for i in np.flatnonzero(~new)):
+                    break
+                whole = np.flatnonzero(new)
+                self.by_length.append((length, hashes[whole], of.start[at[whole]].astype(np.int32), of.end[at[whole] + length - 1].astype(np.int32), np.append(whole, len(owner)).astype(np.int32), owner))
+            else:
                 break
-
-    def hits(self, tokens: list[bytes]) -> tuple[np.ndarray, set[str]]:
-        """Which words are hit, and by which items."""
-        ids = np.fromiter(map(self.vocab.get, tokens, repeat(0)), np.int64, len(tokens))
-        edge, items = np.zeros(len(tokens) + 1, np.int64), set()
-        known = np.concatenate([[0], np.cumsum(ids != 0)])
-        codes = self.codes[ids]
-        for length, hashes, grams, owners, bits in self.by_length:
-            at = np.flatnonzero(known[length:] - known[:-length] == length) if len(tokens) >= length else []
-            if not len(at):
-                continue
-            rolled = np.zeros(len(at), np.uint64)
-            for j, p in enumerate(powers(length)):
-                rolled += codes[at + j] * p
-            maybe = np.flatnonzero(bits[(rolled >> np.uint64(44)).astype(np.int64)])
-            at, rolled = at[maybe], rolled[maybe]
-            k = np.minimum(np.searchsorted(hashes, rolled), len(hashes) - 1)
-            same = hashes[k] == rolled
-            at, k = at[same], k[same]
-            true = (ids[at[:, None] + np.arange(length)] == grams[k]).all(1)
-            np.add.at(edge, at[true], 1)
-            np.add.at(edge, at[true] + length, -1)
-            for g in np.unique(k[true]):
-                items.update(owners[g])
-        return np.cumsum(edge[:-1]) > 0, items
+        else:
+            raise ValueError("windows share hashes under every seed")
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+    def hits(self, of: Hashed) -> Iterator[tuple[int, int, list[int]]]:
+        """First word, length and items (by number) of each window of a text that is one of these."""
+        if not hasattr(self, "_seen"):
+            self._seen = []
+            for _, hashes, *_ in self.by_length:
+                bits = np.zeros(1 << min(24, max(16, len(hashes).bit_length() + 3)), bool)
+                bits[(hashes & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+                self._seen.append(bits)
+        for (length, hashes, start, end, group, owner), bits in zip(self.by_length, self._seen, strict=True):
+            at = np.concatenate([np.arange(a, b - length + 1) for a, b in zip(of.first[:-1], of.first[1:], strict=True) if b - a >= length] or [np.zeros(0, np.int64)])
+            own = of.windows(at, length)
+            maybe = np.flatnonzero(bits[(own & np.uint64(len(bits) - 1)).astype(np.int64)])
+            at, own = at[maybe], own[maybe]
+            k = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+            for i, j in zip(at[hashes[k] == own].tolist(), k[hashes[k] == own].tolist(), strict=True):
+                if of.text(i, length) == self.joined[start[j] : end[j]]:
+                    yield i, length, owner[group[j] : group[j + 1]].tolist()
 
 
 def ranges(hit: np.ndarray) -> np.ndarray:
@@ -115,41 +142,58 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -
         yield held
 
 
-def scan(index, clean: bool):
-    """The Arrow function for one block; index is a broadcast Windows."""
+KIND = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string())), ("cleaned", pa.string())])
+
+
+def scan(blocks: list[Broadcast], clean: bool) -> Callable:
+    """The Arrow function of one pass over (text, spans and items of earlier passes)."""
 
     def hits(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        windows = index.value
+        index = [b.value for b in blocks]
         for texts, spans, items in parts:
             out, at = [], 0
-            for held in slices(texts):
-                for text in held:
-                    tokens = words(text)
-                    hit, by = windows.hits(tokens)
-                    for a, b in zip(*[iter(spans[at].as_py() or [])] * 2, strict=True):
-                        hit[a:b] = True
-                    run = ranges(hit).tolist()
-                    by.update(items[at].as_py() or [])
-                    out.append({"n_words": len(tokens), "n_hit": int(hit.sum()), "spans": run, "items": sorted(by), "cleaned": cut(text, run) if clean and run else None})
+            for held in slices(texts, 1 << 20):
+                by_seed: dict[int, Hashed] = {}
+                edges: np.ndarray | None = None
+                found: list[set] = [set() for _ in held]
+                for windows in index or [Windows([])]:
+                    of = by_seed.setdefault(windows.seed, None) or Hashed(held, windows.seed)
+                    by_seed[windows.seed] = of
+                    edges = np.zeros(len(of.start) + 1, np.int64) if edges is None else edges
+                    for i, length, owners in windows.hits(of):
+                        edges[i] += 1
+                        edges[i + length] -= 1
+                        found[np.searchsorted(of.first, i, side="right") - 1].update(windows.items[o] for o in owners)
+                hit = np.cumsum(edges[:-1]) > 0
+                for text, a, b, by in zip(held, of.first[:-1], of.first[1:], found, strict=True):
+                    own = hit[a:b]
+                    for lo, hi in zip(*[iter(spans[at].as_py() or [])] * 2, strict=True):
+                        own[lo:hi] = True
+                    run = ranges(own).tolist()
+                    by = sorted((by | set(items[at].as_py() or [])) - {None})
+                    out.append({"n_words": b - a, "n_hit": int(own.sum()), "spans": run, "items": by, "cleaned": cut(text, run) if clean and run else None})
                     at += 1
-            yield pa.array(out, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string())), ("cleaned", pa.string())]))
+            yield pa.array(out, KIND)
 
     return arrow(hits, RESULT)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = N, clean: bool = False, into: str = "hits", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = N, clean: bool = False, into: str = "hits", block_bytes: int = BLOCK_BYTES, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """docs with a struct column into: n_words, n_hit, spans (word ranges, flat), items, and, if clean, the text without hit spans (null: no hit)."""
-    none = F.struct(F.lit(None).cast("array<bigint>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-    done, held = docs, []
+    text, key, spans, items = F.col(text_col).cast("binary"), *(fresh(docs, x) for x in ("hit_key", "hit_spans", "hit_items"))
+    nothing = F.lit(None).cast("array<bigint>"), F.lit(None).cast("array<string>")
+    index, earlier = [], []
     for block in blocks(benchmark, item_col, item_text_col, block_bytes):
-        if held:  # a benchmark of several blocks: each pass ends before the next block is sent out
-            done = checkpoint(done)
-        held = [docs.sparkSession.sparkContext.broadcast(Windows(block, n))]
-        prior = F.col(into) if into in done.columns and done is not docs else none
-        done = done.withColumn(into, scan(held[0], clean)(F.col(text_col).cast("binary"), prior["spans"], prior["items"]))
-    if not held:
-        done = docs.withColumn(into, scan(docs.sparkSession.sparkContext.broadcast(Windows([], n)), clean)(F.col(text_col).cast("binary"), none["spans"], none["items"]))
-    return done
+        if len(index) >= max(1, pass_bytes // block_bytes):  # a pass of its own: hit texts by their digest, each once
+            hit = docs.select(F.md5(text).alias(key), scan(index, False)(text, *nothing).alias("h")).filter(F.col("h.n_hit") > 0)
+            earlier.append(written(hit.groupBy(key).agg(F.min(F.struct("h.spans", "h.items")).alias("h")).select(key, F.col("h.spans").alias(spans), F.col("h.items").alias(items))))
+            index = []
+        index.append(docs.sparkSession.sparkContext.broadcast(Windows(block, n)))
+    if not earlier:
+        return docs.withColumn(fresh(docs, into), scan(index, clean)(text, *nothing))
+    both = reduce(DataFrame.unionByName, earlier).groupBy(key).agg(F.flatten(F.collect_list(spans)).alias(spans), F.flatten(F.collect_list(items)).alias(items))
+    told = docs.withColumn(key, F.md5(text)).join(table_bound(written(both)), key, "left")
+    return told.withColumn(fresh(docs, into), scan(index, clean)(text, F.col(spans), F.col(items))).drop(key, spans, items)
 
 
 def contaminated(hits: Column) -> Column:

@@ -7,8 +7,12 @@ notice is repeated closely and its words are no anchors, the window is aligned b
 A phrase that tells a license from its neighbours must be held word for word and is the place looked for; for templates
 without one, rare words are chosen so many that a text which covers LEAST must hold one of them, so no place is missed.
 
-Defined cases: null or empty text holds no license; several licenses are all listed, the one of most coverage (then of
-most words, then of first name) is the best; repeated rows are scanned row by row; other columns stay.
+A match may not be stretched: its words, from the first to the last, are at most WIDEST times those matched.
+
+Defined cases: null or empty text holds no license; very long texts are scanned whole; several licenses are all listed,
+the one of most coverage (then of most words, then of first name) is the best, and of equal places of a license the
+tightest, then the first; an empty table gives no rows; repeated rows are scanned row by row; a column of the output's
+name stays, the output then gets underscores; other columns stay.
 """
 
 from __future__ import annotations
@@ -22,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, slices
+from .common import arrow, fresh, slices
 from .decontaminate import words
 
-LEAST = 0.85
+LEAST, WIDEST = 0.85, 1.25
 
 GNU = (("GPL-2.0", "GNU General Public License", "2"), ("GPL-3.0", "GNU General Public License", "3"), ("LGPL-2.0", "GNU Library General Public License", "2"), ("LGPL-2.1", "GNU Lesser General Public License", "2.1"), ("LGPL-3.0", "GNU Lesser General Public License", "3"), ("AGPL-3.0", "GNU Affero General Public License", "3"))
 BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
@@ -35,13 +39,18 @@ CLAUSES = (
     "the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
 )
 CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+WARRANTY = 'IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
+MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'
+ZLIB = "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"
+UNLICENSE = "This is free and unencumbered software released into the public domain."
 SPDX = ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "EPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "0BSD", "Zlib", "BSL-1.0", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0")
 
 # Public license notices, title lines and permission texts, by SPDX name. What stands in braces tells a license from
 # its neighbours: a text must hold it word for word, with no other word between.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MIT", MIT),
+    ("MIT", f"{MIT} The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE {WARRANTY}"),
     ("Apache-2.0", "Licensed under the {Apache License}, {Version 2.0}."),
     ("Apache-2.0", "{Apache License Version 2.0, January 2004}"),
     ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
@@ -60,9 +69,23 @@ TEMPLATES = (
     ("ISC", "{Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that} the above copyright notice and this permission notice appear in all copies."),
     ("ISC", "{Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that} the above copyright notice and this permission notice appear in all copies."),
     ("0BSD", "{Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED}"),
-    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("Zlib", ZLIB),
+    ("Zlib", f"This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. {ZLIB} 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
     ("BSL-1.0", "{Boost Software License} {Version 1.0}"),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", UNLICENSE),
+    ("Unlicense", f"{UNLICENSE} Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("Artistic-2.0", "{The Artistic License 2.0}"),
+    ("OFL-1.1", "{SIL Open Font License}, {Version 1.1}"),
+    ("MPL-1.1", "{Mozilla Public License Version 1.1}"),
+    ("EPL-1.0", "{Eclipse Public License} {v1.0}"),
+    ("EUPL-1.2", "{European Union Public Licence} {v. 1.2}"),
+    ("CDDL-1.0", "{Common Development and Distribution License} {Version 1.0}"),
+    ("GFDL-1.3", "{GNU Free Documentation License}, {Version 1.3}"),
+    ("WTFPL", "{Do What The Fuck You Want To Public License}"),
+    ("AFL-3.0", "Licensed under the {Academic Free License version 3.0}"),
+    ("MS-PL", "{Microsoft Public License} {MS PL}"),
+    ("ODbL-1.0", "{Open Database License} {v1.0}"),
+    ("PostgreSQL", "{Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted}, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies."),
     ("CC0-1.0", "{CC0 1.0} Universal"),
     ("CC0-1.0", "{Creative Commons Zero} {1.0} Universal"),
     *((f"CC-{kind}-{version}", f"Licensed under {{CC {kind} {version}}}.") for kind in CC for version in ("4.0", "3.0")),
@@ -208,6 +231,8 @@ class Templates:
                     if matched < self.least * t.n or Counter(t.tokens[i] for i, _ in pairs if t.tokens[i] in t.phrases) != Counter(t.phrases):
                         continue
                     first, last = at[pairs[0][1]], at[pairs[-1][1]] + len(seen[pairs[-1][1]])
+                    if last - first > WIDEST * matched:
+                        continue
                     found = (matched / t.n, matched, first - last, -first)
                     best[t.name] = max(best.get(t.name, found), found)
                     if last - first == matched:
@@ -227,4 +252,4 @@ def license_matches(docs: DataFrame, *, text_col: str = "text", templates: tuple
         for texts in parts:
             yield pa.array([scan(t) for held in slices(texts) for t in held], pa.struct([("n_words", pa.int64()), ("matches", pa.list_(MATCH))]))
 
-    return docs.withColumn(into, arrow(run, FOUND)(F.col(text_col).cast("binary")))
+    return docs.withColumn(fresh(docs, into), arrow(run, FOUND)(F.col(text_col).cast("binary")))

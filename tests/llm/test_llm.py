@@ -59,8 +59,8 @@ def test_contamination_is_that_of_brute_force(spark):
     items = [(i, " ".join(word() for _ in range(rng.choice([0, 1, 3, 12, 13, 14, 20])))) for i in range(25)] + [(None, "unlisted words stand here"), (3, None), (7, "repeat me"), (7, "repeat me")]
     texts = [None, "", " .,", "A" * 200_000] + [" ".join([word() for _ in range(rng.randint(0, 40))] + (rng.choice(items)[1] or "").split() + [word() for _ in range(20)]) for _ in range(60)] + ["unlisted, WORDS stand\nhere"] * 2
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id bigint, text string, spans string")
-    for size in (8 << 20, 60):  # one block, and many
-        got = decontaminate.contamination(odd(spark, texts), bench, into="found", block_bytes=size).orderBy("doc_id").collect()
+    for size, whole in ((8 << 20, 32 << 20), (60, 32 << 20), (400, 1200)):  # one block; many; several passes
+        got = decontaminate.contamination(odd(spark, texts), bench, into="found", block_bytes=size, pass_bytes=whole).orderBy("doc_id").collect()
         assert [(r.found.n_words, r.found.n_hit, sorted(r.found["items"])) for r in got] == brute_contamination(texts, items)
         assert got[0].spans == "a" and got[0].hits == "b"
 
@@ -135,7 +135,7 @@ def test_patience_alignment():
 
 
 def test_licenses(spark):
-    mit = licenses.TEMPLATES[1][1]
+    mit = licenses.MIT
     texts = ["x " * 500 + "Licensed under the Apache License, Version 2.0. y", mit.replace("free of charge", "gratis, free of any charge"), "The license was lost under the bed, version unknown.", None, "", "All rights reserved. Released under the MIT License.", mit[:200], "z" * 300_000]
     got = licenses.license_matches(odd(spark, texts), into="found").orderBy("doc_id").collect()
     names = [[m.license for m in r.found.matches] for r in got]
@@ -158,6 +158,36 @@ def test_creative_commons_licenses_are_told_apart(kind):
     assert found_in(f"a b Licensed under CC {kind} 4.0. c d") == [f"CC-{kind}-4.0"]
 
 
+def test_stretched_words_are_no_license():
+    assert found_in("All of our human rights were reserved for later.") == [] and found_in("ALL RIGHTS, RESERVED") == ["LicenseRef-All-Rights-Reserved"]
+
+
+def longest(a, b):
+    """The longest common subsequence, by the plain table."""
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_licenses_of_random_templates_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(150):
+        template = [rng.choice("abcdefghijkl") for _ in range(rng.randint(6, 16))]
+        notice = list(template)
+        if rng.random() < 0.5:
+            notice[rng.randrange(len(notice))] = "z"
+        noise = lambda: [rng.choice("abcdxyz") for _ in range(rng.randint(0, 12))]
+        text = noise() + (notice if rng.random() < 0.7 else noise()) + noise()
+        found = licenses.Templates((("T", " ".join(template)),)).scan(" ".join(text).encode())["matches"]
+        fits = [(i, j) for i in range(len(text)) for j in range(i + 1, len(text) + 1) if (k := longest(template, text[i:j])) >= 0.85 * len(template) and j - i <= 1.25 * k]
+        if found:
+            (m,) = found
+            assert m["matched"] <= longest(template, text[m["first"] : m["last"]]) and m["coverage"] == m["matched"] / len(template) >= 0.85
+        assert bool(found) <= bool(fits) and (found or not any(text[i : i + len(template)] == template for i in range(len(text))))
+
+
 def test_bsd_licenses_are_told_apart():
     head = f"{licenses.BSD} {licenses.CLAUSES[0]} {licenses.CLAUSES[1]} provided with the distribution."
     end = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"
@@ -225,6 +255,16 @@ def test_search_gives_all_candidates_of_small_tables(spark):
     assert {(r.query_id, r.vec_id) for r in ann.search(d, d).collect()} == {(q, v) for q in range(18) for v in range(18) if q != v}
 
 
+def test_search_fills_up_and_bears_extreme_lengths(spark):
+    x = np.random.default_rng(11).normal(size=(22, 3))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    assert sorted((r.query_id, r.rank) for r in ann.search(d.filter("vec_id % 20 = 0"), d).collect()) == [(q, k) for q in (0, 20) for k in range(1, 21)]
+    for size in (1e200, 1e-170):
+        rows = [(0, [size, 0.0]), (1, [0.9 * size, 0.1 * size]), (2, [0.5 * size, 0.0]), (3, [-size, size])]
+        got = ann.search(spark.createDataFrame(rows[:1], "vec_id bigint, embedding array<double>"), spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).orderBy("rank").collect()
+        assert [r.vec_id for r in got] == [1, 2, 3] and len({r.score for r in got}) == (2 if size > 1 else 1)
+
+
 def test_search_leaves_out_what_is_no_vector(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]), (8, [1.0, 0.0, 0.0]), (9, [0.5, 0.5]), (20, [float("inf"), 0.0]), (1, [0.5, 0.5])]
@@ -280,6 +320,23 @@ def test_toxicity_on_held_out_rows(spark, larger):
     assert (caught + clean) / 2 > 0.93
 
 
+def test_conflicting_labels_teach_nothing(spark):
+    some = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, None), (3, 1), (4, 0)], "doc_id bigint, toxic int")
+    assert {(r.id, r.label) for r in quality.known_labels(some, "toxic", "doc_id").collect()} == {(i, y) for i, y in ((2, 1), (3, 1), (4, 0)) if not spark.range(i, i + 1).filter(held_out(F.col("id"))).count()}
+
+
+def test_outputs_leave_columns_of_their_names(spark):
+    d = spark.createDataFrame([(1, "a b", "mine", "mine", "mine")], "doc_id bigint, text string, score string, Hits string, N_TOKENS string")
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert quality.quality_scores(d, none).columns == [*d.columns, "score_"] and toxicity.toxicity_scores(d, none).columns == [*d.columns, "score_"]
+    bench = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontaminate.contamination(d, bench).columns == [*d.columns, "hits_"]
+    counted = token_counts.token_counts(d, public_tokenizers.path("word_bpe_49k.json")).first()
+    assert (counted.N_TOKENS, counted["n_tokens_"], counted.n_bytes, counted.over_limit) == ("mine", 2, 3, False)
+    r = mixing.mix(d.withColumn("source", F.lit("s")).withColumn("replica", F.lit("mine"))).first()
+    assert r is None or r.replica == "mine"
+
+
 @pytest.mark.parametrize("scores", [quality.quality_scores, toxicity.toxicity_scores])
 def test_scores_of_odd_rows(spark, scores):
     texts = [None, "", "x" * 300_000, "plain text", "plain text"]
@@ -345,6 +402,15 @@ def test_near_duplicates_are_those_of_brute_force(spark, monkeypatch, n, percent
     assert order(got) == order(brute_groups(rows, n, percent))
 
 
+def test_near_duplicates_with_text_ids_and_hot_copies(spark, monkeypatch):
+    monkeypatch.setattr("spanledger.llm.common.HOT_ROWS", 5)
+    rows = [(f"id{i:03}" if i else None, "same words stand in all of these") for i in range(40)] + [("z", "quite other words are here"), ("y", None)]
+    d = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.id: (r.component_id, r.kept) for r in neardup.near_duplicates(d).collect()}
+    assert all(got[i] == ("id001", i == "id001") for i, _ in rows[:40]) and got["z"] == ("z", True) and got["y"] == ("y", True)
+    assert sorted(r.doc_id for r in neardup.deduplicate(d).collect()) == ["id001", "y", "z"]
+
+
 def test_deduplicate_leaves_one_of_each(spark):
     rows = [(1, "a b c d e f g"), (2, "A b c d e f g"), (2, "A b c d e f g"), (3, "other words stand here now ok"), (4, None), (5, None), (6, ""), (3, "other words stand here now ok")]
     d = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id bigint, text string, dedup_key string, id string")
