@@ -85,7 +85,7 @@ def canonical_quote(quote: Column, text: Column) -> Column:
     plain = squeeze(F.regexp_replace(quote, "[,;]", ""))
     tokens = F.transform(F.split(plain, " "), lambda t: F.replace(F.regexp_replace(t, r"([\\\[\](){}.*+?^$|])", r"\\$1"), F.lit("-"), F.lit(r"-\s*")))
     exact, long = (quote == "") | F.contains(text, quote) | (plain == ""), F.size(tokens) > LONG_QUOTE
-    found = F.when(~exact & ~long, F.regexp_substr(text, F.array_join(tokens, r"[,;]?\s+[,;]?\s*")))
+    found = F.when(~exact & ~long, F.regexp_substr(text, F.concat(F.lit("(?U)"), F.array_join(tokens, r"[,;]?\s+[,;]?\s*"))))
     wide = F.arrow_udf(long_quotes, "string")(F.when(~exact & long, quote), F.when(~exact & long, text))
     return F.coalesce(found, wide, quote)
 
@@ -96,6 +96,20 @@ def defined_term(text: Column) -> Column:
     return F.when((term != "") & (F.length(term) <= 80), term)
 
 
+def definition_parts(text: Column) -> tuple[Column, Column]:
+    """Term and body of "(1) X means ...": what stands before " means ", after a first closing bracket, and the rest; without it no term and the whole text."""
+    has, whole = F.contains(text, F.lit(" means ")), trim_unicode(text)
+    head = F.substring_index(whole, " means ", 1)
+    term = F.when(F.contains(head, F.lit(")")), F.substring(head, F.instr(head, F.lit(")")) + 1, F.length(head))).otherwise(head)
+    body = F.substring(whole, F.length(head) + 2, F.length(whole))
+    return F.when(has, trim_unicode(term)).otherwise(""), F.when(has, trim_unicode(body)).otherwise(whole)
+
+
+def doc_part(slug: Column) -> Column:
+    """The part that a slug such as 21-cfr-part-11 ends in; null for others."""
+    return F.nullif(F.regexp_extract(slug, r"21-cfr-part-(\d+)$", 1), F.lit(""))
+
+
 def cited_part(citation: Column) -> Column:
     """The part of a citation: after "21 CFR", after "part", or before the dot of a section."""
     first = lambda rx: F.nullif(F.regexp_extract(citation, rx, 1), F.lit(""))

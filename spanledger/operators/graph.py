@@ -28,40 +28,85 @@ def edge_failures(edges: DataFrame, nodes: DataFrame, node: str) -> DataFrame:
     return t.withColumn("failure", why).filter("failure IS NOT NULL").drop("has_src", "has_dst")
 
 
-def cycle_edges(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """Edges (src, dst) that lie on a cycle, loops included.
-
-    Most of what cannot lie on one is peeled off: edges whose source has no incoming edge or whose target has no outgoing one;
-    of what is left, an edge is on a cycle if its target reaches its source. Reachability doubles the path length per
-    round and is kept to the peeled rest.
-    """
-    core = edges.select("src", "dst").distinct()
-    before = None
+def peeled(edges: DataFrame, rounds: int) -> DataFrame:
+    """edges without those whose source has no incoming or whose target no outgoing one, until little is left to peel."""
+    core, before = edges, None
     for _ in range(rounds):
         n = core.count()
-        if before is not None and n > 0.9 * before:  # what hangs on in long tails is left to the doubling
+        if before is not None and n > 0.9 * before:
             break
         before = n
-        kept = core.join(core.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(core.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
-        core = cut(kept.select("src", "dst"))
-    reach, before = core, None
+        core = cut(core.join(core.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(core.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"))
+    return core
+
+
+def spread(state: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
+    """state (node, colour): each node takes the greatest colour that reaches it along edges (src, dst)."""
     for _ in range(rounds):
-        n = reach.count()
-        if n == before:
-            break
+        sent = edges.join(state, edges["src"] == state["node"]).select(F.col("dst").alias("node"), "colour")
+        new = cut(state.unionByName(sent).groupBy("node").agg(F.max("colour").alias("colour")))
+        moved = new.join(state, ["node", "colour"], "left_anti").head(1)
+        state = new
+        if not moved:
+            return state
+    raise RuntimeError(f"colours did not settle in {rounds} rounds")
+
+
+def closed(core: DataFrame) -> DataFrame:
+    """Edges of core whose target reaches their source, by paths that double in length each round: few rounds, but pairs of nodes."""
+    reach, before = core, None
+    while (n := reach.count()) != before:
         before = n
         more = reach.alias("a").join(reach.alias("b"), F.col("a.dst") == F.col("b.src")).select("a.src", "b.dst")
         reach = cut(reach.union(more).distinct())
     return core.join(reach.select(F.col("dst").alias("src"), F.col("src").alias("dst")), ["src", "dst"], "left_semi")
 
 
+#: Edges of a core up to which paths are doubled; a core has at most as many nodes.
+DOUBLED = 1000
+
+
+def cycle_edges(edges: DataFrame, rounds: int = 10_000) -> DataFrame:
+    """Edges (src, dst) that lie on a cycle, loops included: those inside a strongly connected part.
+
+    What cannot lie on a cycle is peeled off. A small rest is closed by doubling. Of a large one, every node takes the greatest node that reaches it; those of a
+    colour that also reach the colour's own node form a part with it and leave, until nothing is left. A round moves one
+    row per edge and no pairs of nodes are made; there are as many rounds as the longest shortest path.
+    """
+    all_edges = edges.select("src", "dst").distinct()
+    core, found = peeled(cut(all_edges), 64), []
+    while n := core.count():
+        if n <= DOUBLED:
+            found.append(closed(core))
+            break
+        nodes = core.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+        colours = spread(nodes.withColumn("colour", F.col("node")), core, rounds)
+        same = core.join(colours.select(F.col("node").alias("src"), "colour"), "src").join(colours.select(F.col("node").alias("dst"), F.col("colour").alias("other")), "dst").filter("colour = other").select("src", "dst", "colour")
+        same = cut(same)
+        # backwards from the colour's own node, within the colour
+        back = same.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+        roots = same.select(F.col("colour").alias("node")).distinct().withColumn("colour", F.lit(1))
+        reach = spread(roots, back, rounds).select("node")
+        whole = cut(same.join(reach.select(F.col("node").alias("src")), "src", "left_semi").join(reach.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst"))
+        found.append(whole)
+        gone = reach
+        core = peeled(cut(core.join(gone.select(F.col("node").alias("src")), "src", "left_anti").join(gone.select(F.col("node").alias("dst")), "dst", "left_anti")), 64)
+    out = all_edges.limit(0)
+    for part in found:
+        out = out.unionByName(part)
+    return out
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Ends the lineage by a checkpoint in the shared folder of the session; sets a folder only where none is set."""
+    """Ends the lineage by a checkpoint in the folder of spark.checkpoint.dir. Where none is set, a temporary one is set in local mode alone: on a cluster, executors would not share it."""
     import tempfile
 
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 
@@ -109,6 +154,4 @@ def adjudicate_edges(edges: DataFrame, decisions: DataFrame) -> DataFrame:
 
 def scoped_counts(edges: DataFrame) -> DataFrame:
     """scope, type, src_doc, dst_doc, n: three groupings of edges in one pass."""
-    view = f"edges_{id(edges)}"
-    edges.createOrReplaceTempView(view)
-    return edges.sparkSession.sql(f"SELECT scope, type, src_doc, dst_doc, count(*) AS n FROM {view} GROUP BY GROUPING SETS ((scope), (type), (src_doc, dst_doc))")
+    return edges.groupingSets([["scope"], ["type"], ["src_doc", "dst_doc"]], "scope", "type", "src_doc", "dst_doc").agg(F.count(F.lit(1)).alias("n"))

@@ -71,8 +71,8 @@ def cross_refs(cites: DataFrame, spans: DataFrame, part_docs: DataFrame) -> Data
     return once.unionByName(parts).unionByName(bag).select(F.col("doc_id").alias("source_doc"), F.col("span_id").alias("source_span"), "target_doc", "target_span", "ref_type", "part", "citation", "auto_resolved")
 
 
-def triage(refs: DataFrame, processed: DataFrame, domains: DataFrame | None = None, core: tuple = (), exclude: tuple = (), min_docs: int = 2, min_refs: int = 5) -> DataFrame:
-    """part, n_refs, n_docs, decision, reason of unresolved references; domains (part, domain) is optional configuration."""
+def triage(refs: DataFrame, processed: DataFrame, domains: DataFrame | None = None, core: tuple = (), exclude: tuple = (), defer: tuple = (), min_docs: int = 2, min_refs: int = 5) -> DataFrame:
+    """part, n_refs, n_docs, decision, reason of unresolved references; domains (part, domain) is optional configuration, core, exclude and defer name domains."""
     from spanledger.functions.text import cited_part
 
     stats = refs.filter(~F.col("auto_resolved")).withColumn("part", cited_part(F.col("citation"))).filter("part IS NOT NULL").groupBy("part").agg(F.count(F.lit(1)).alias("n_refs"), F.countDistinct("source_doc").alias("n_docs"))
@@ -82,7 +82,7 @@ def triage(refs: DataFrame, processed: DataFrame, domains: DataFrame | None = No
     domain = F.coalesce("domain", F.lit("unknown"))
     often = (F.col("n_docs") >= min_docs) & (F.col("n_refs") >= min_refs)
     decision = F.when(F.col("done"), "already_processed").when(domain.isin(*exclude) if exclude else F.lit(False), "exclude").when(domain.isin(*core) if core else F.lit(False), "process").otherwise("defer")
-    reason = F.when(F.col("done"), "processed").when(decision != "defer", domain).when(often, "cited often").otherwise("low context")
+    reason = F.when(F.col("done"), "processed").when(decision != "defer", domain).when(domain.isin(*defer) if defer else F.lit(False), "peripheral").when(often, "cited often").otherwise("low context")
     return t.select("part", "n_refs", "n_docs", decision.alias("decision"), reason.alias("reason"))
 
 
@@ -92,10 +92,19 @@ def first_examples(rows: DataFrame, key: str, order: list, n: int = 5) -> DataFr
     return rows.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
 
 
-def fan_out(refs: DataFrame, statements: DataFrame) -> DataFrame:
-    """Edges between all statements of both spans of a reference, first of each pair: src, dst, scope, type."""
+def fan_out(refs: DataFrame, statements: DataFrame, intra: DataFrame | None = None) -> DataFrame:
+    """Edges src, dst, scope, type, src_doc, dst_doc, each once: intra (the same columns), then those between all statements of both spans of a reference."""
     of = statements.select("doc_id", "source_span_id", F.concat_ws(":", "doc_id", "req_id").alias("id"))
     left = of.select(F.col("doc_id").alias("source_doc"), F.col("source_span_id").alias("source_span"), F.col("id").alias("src"))
     right = of.select(F.col("doc_id").alias("target_doc"), F.col("source_span_id").alias("target_span"), F.col("id").alias("dst"))
     pairs = refs.filter("auto_resolved AND target_span IS NOT NULL").join(left, ["source_doc", "source_span"]).join(right, ["target_doc", "target_span"])
-    return pairs.select("src", "dst", F.lit("cross").alias("scope"), F.lit("references").alias("type"), F.col("source_doc").alias("src_doc"), F.col("target_doc").alias("dst_doc")).distinct()
+    made = pairs.select("src", "dst", F.lit("cross").alias("scope"), F.lit("references").alias("type"), F.col("source_doc").alias("src_doc"), F.col("target_doc").alias("dst_doc")).distinct()
+    return made if intra is None else intra.select(made.columns).distinct().unionByName(made)
+
+
+def atomic_map(refs: DataFrame, statements: DataFrame, intra: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """nodes (id, doc_id), edges and stats (n_nodes, n_edges, n_intra, n_cross) of the map over all documents."""
+    nodes = statements.select(F.concat_ws(":", "doc_id", "req_id").alias("id"), "doc_id")
+    edges = fan_out(refs, statements, intra)
+    counted = edges.agg(F.count(F.lit(1)).alias("n_edges"), F.count_if(F.col("scope") == "intra").alias("n_intra"), F.count_if(F.col("scope") == "cross").alias("n_cross"))
+    return nodes, edges, nodes.agg(F.count(F.lit(1)).alias("n_nodes")).crossJoin(counted)

@@ -12,7 +12,7 @@ from .graph import cut
 from .lines import after, before, by_doc, is_blank, with_offsets
 
 
-def close_spans(starts: DataFrame, lines: DataFrame, pin_first: bool) -> DataFrame:
+def close_spans(starts: DataFrame, lines: DataFrame, pin_first: bool, keep_line: bool = False) -> DataFrame:
     """Spans from rows that open one (doc_id, line_no, byte_start, ...): each ends where the next starts, the last at the end.
 
     pin_first moves the first span to byte 0; without it, text before the first span stays a gap.
@@ -23,7 +23,8 @@ def close_spans(starts: DataFrame, lines: DataFrame, pin_first: bool) -> DataFra
     if pin_first:
         numbered = numbered.withColumn("byte_start", F.when(F.col("seq") == 1, F.lit(0).cast("bigint")).otherwise(F.col("byte_start")))
     spans = numbered.join(total, "doc_id").withColumn("byte_end", F.coalesce(F.lead("byte_start").over(w), F.col("byte_count")))
-    return spans.withColumn("span_id", F.format_string("S%04d", "seq")).drop("byte_count", "line_no")
+    spans = spans.withColumn("span_id", F.format_string("S%04d", "seq")).drop("byte_count")
+    return spans if keep_line else spans.drop("line_no")
 
 
 def line_spans(lines: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def generic_spans(lines: DataFrame) -> DataFrame:
 
 
 def guideline_spans(lines: DataFrame) -> DataFrame:
-    """Decimal sections under roman or named parts; the first prose line of a part opens its chapeau."""
+    """Decimal sections under roman or named parts; the first prose line of a part opens its chapeau. parent_span_id: the longest dotted prefix seen before in the part, else the part's header; a chapeau's is the header."""
     at = with_offsets(lines)
     text = trim_unicode(F.col("line"))
     roman_title = F.regexp_extract(text, rules.ROMAN_HEADER, 2)
@@ -63,7 +64,12 @@ def guideline_spans(lines: DataFrame) -> DataFrame:
     chapeau = (F.col("kind") == "prose") & (F.col("part_no") > 0) & (F.lag("kind").over(w) != "prose")
     starts = body.filter((F.col("kind") != "prose")).unionByName(body.withColumn("open", chapeau).filter("open").drop("open").withColumn("kind", F.lit("section_chapeau")))
     starts = starts.withColumn("section", F.when(F.col("kind") == "decimal", F.regexp_extract("text", rules.DECIMAL, 1)))
-    return close_spans(starts.select("doc_id", "line_no", "byte_start", "kind", "section", "part_no"), at, pin_first=True)
+    spans = cut(close_spans(starts.select("doc_id", "line_no", "byte_start", "kind", "section", "part_no"), at, pin_first=True))
+    above = decimal_parents(spans.filter("section IS NOT NULL").select("doc_id", "part_no", "seq", "section")).select("doc_id", "seq", "parent_seq")
+    header = F.last(F.when(F.col("kind") == "part_header", F.col("seq")), True).over(before("seq"))
+    told = spans.withColumn("header", header).join(above, ["doc_id", "seq"], "left")
+    parent = F.when(F.col("kind").isin("decimal", "section_chapeau"), F.coalesce("parent_seq", "header"))
+    return told.withColumn("parent_span_id", F.format_string("S%04d", parent)).withColumn("parent_span_id", F.when(parent.isNotNull(), F.col("parent_span_id"))).drop("header", "parent_seq")
 
 
 def decimal_parents(decimals: DataFrame) -> DataFrame:
@@ -111,11 +117,12 @@ def regulation_lines(lines: DataFrame, default_part: Column) -> DataFrame:
     now = w.rowsBetween(Window.unboundedPreceding, 0)
     section = F.regexp_extract("text", rules.SECTION, 1)
     at = at.withColumn("number", F.when(F.col("class") == "section", section))
-    # an amendment note swallows the lines up to its closing bracket
-    opens = (F.col("class") == "amended") & ~F.contains("text", F.lit("]"))
-    at = at.withColumn("note", F.last(F.when(opens, F.col("line_no")), True).over(now))
-    at = at.withColumn("closed", F.last(F.when(F.contains("text", F.lit("]")), F.col("line_no")), True).over(before("line_no")))
-    inside = F.col("note").isNotNull() & (F.col("line_no") > F.col("note")) & (F.col("closed").isNull() | (F.col("closed") < F.col("note")))
+    # an amendment note that does not end in its bracket takes in the lines up to the next one with a bracket, if there is one
+    bracket = F.when(F.contains("text", F.lit("]")), F.col("line_no"))
+    opens = (F.col("class") == "amended") & ~F.col("text").rlike(rules.AMENDED)
+    at = at.withColumn("note", F.last(F.when(opens, F.col("line_no")), True).over(before("line_no")))
+    at = at.withColumn("closed", F.last(bracket, True).over(before("line_no"))).withColumn("closes", F.first(bracket, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    inside = F.coalesce((F.coalesce("closed", F.lit(-1)) <= F.col("note")) & F.col("closes").isNotNull(), F.lit(False))
     at = at.withColumn("class", F.when(inside, "inside_note").otherwise(F.col("class"))).withColumn("number", F.when(~inside, F.col("number")))
     # the body starts at a part header, or where a section number is seen for the second time
     sighting = F.row_number().over(Window.partitionBy("doc_id", "number").orderBy("line_no"))
@@ -133,7 +140,7 @@ def regulation_lines(lines: DataFrame, default_part: Column) -> DataFrame:
     role = role.when(c == "subpart", F.when(F.col("body"), "subpart_header").otherwise("prose")).when(c == "amended", "source_note").otherwise(c)
     at = at.withColumn("role", role)
     first = F.row_number().over(Window.partitionBy("doc_id", "role", "number").orderBy("line_no")) == 1
-    return at.withColumn("role", F.when((F.col("role") == "section_header") & ~first, "prose").otherwise(F.col("role"))).drop("note", "closed")
+    return at.withColumn("role", F.when((F.col("role") == "section_header") & ~first, "prose").otherwise(F.col("role"))).drop("note", "closed", "closes")
 
 
 def in_force(lines: DataFrame) -> DataFrame:
@@ -144,30 +151,34 @@ def in_force(lines: DataFrame) -> DataFrame:
     out = out.withColumn("section", F.last(F.when(r == "section_header", F.col("number")).when(r.isin("part_header", "subpart_header"), ""), True).over(now))
     subpart = F.when(r == "subpart_header", F.regexp_extract("text", rules.SUBPART, 1)).when(r == "part_header", "")
     out = out.withColumn("subpart", F.nullif(F.last(subpart, True).over(now), F.lit("")))
+    subpart_line = F.last(F.when(r == "subpart_header", F.col("line_no")).when(r == "part_header", -1), True).over(now)
+    out = out.withColumn("subpart_line", subpart_line).withColumn("subpart_line", F.when(F.col("subpart_line") >= 0, F.col("subpart_line")))
     return out.withColumn("section", F.nullif("section", F.lit(""))).withColumn("section_line", F.when(F.col("section_line") >= 0, F.col("section_line")))
 
 
 def paragraph_paths(markers: DataFrame) -> DataFrame:
-    """markers (doc_id, section_line, line_no, marker) with level and path.
+    """markers (doc_id, section_line, line_no, marker) with level, path and parent_line, the line of the paragraph above (none: the section).
 
     A fold over the markers of a section keeps the open markers per level. A single letter that is also a roman digit
-    is roman only if it goes on a roman list under an open number: the value after the last one, or i as the first.
+    is roman only if it goes on a roman list under an open number: the value after the last one, or i as the first. A
+    marker that is no numeral, as (iiii), does not count in that list.
     """
     m = F.col("marker")
     plain = F.when(m.rlike(r"^\d+$"), 2).when(m.rlike("^[A-Z]$"), 4).when(m.rlike("^[ivxlcdm]{2,}$"), 3).when(m.rlike("^[ivxlcdm]$"), 0).otherwise(1)
     told = markers.withColumn("value", F.when(plain.isin(0, 3), F.coalesce(from_roman(m), F.lit(0))).otherwise(0)).withColumn("plain", plain)
     rows = told.groupBy("doc_id", "section_line").agg(F.array_sort(F.collect_list(F.struct("line_no", "marker", "value", "plain"))).alias("rows"))
-    kind = "struct<line_no:int,level:int,path:array<string>>"
-    none = F.lit(None).cast("string")
+    kind = "struct<line_no:int,level:int,path:array<string>,parent_line:int>"
+    none = F.lit(None).cast("struct<line:int,marker:string>")
     start = F.struct(F.array().cast(f"array<{kind}>").alias("out"), none.alias("l1"), none.alias("l2"), none.alias("l3"), F.lit(0).alias("roman"), F.lit(0).alias("deep"))
 
     def opened(s: Column, x: Column, level: Column) -> Column:
-        m = x["marker"]
+        m = F.struct(x["line_no"].cast("int").alias("line"), x["marker"].alias("marker"))
         l1 = F.when(level == 1, m).otherwise(s["l1"])
         l2 = F.when(level == 1, none).when(level == 2, m).otherwise(s["l2"])
         l3 = F.when(level <= 2, none).when(level == 3, m).otherwise(s["l3"])
-        roman = F.when(level <= 2, 0).when(level == 3, x["value"]).otherwise(s["roman"])
-        row = F.struct(x["line_no"].cast("int").alias("line_no"), level.alias("level"), F.array_compact(F.array(l1, l2, l3, F.when(level == 4, m))).alias("path"))
+        roman = F.when(level <= 2, 0).when((level == 3) & (x["value"] > 0), x["value"]).otherwise(s["roman"])
+        above = F.coalesce(F.when(level > 3, l3["line"]), F.when(level > 2, l2["line"]), F.when(level > 1, l1["line"]))
+        row = F.struct(m["line"].alias("line_no"), level.alias("level"), F.array_compact(F.array(l1["marker"], l2["marker"], l3["marker"], F.when(level == 4, x["marker"]))).alias("path"), above.alias("parent_line"))
         return F.struct(F.array_append(s["out"], row).alias("out"), l1.alias("l1"), l2.alias("l2"), l3.alias("l3"), roman.alias("roman"), level.alias("deep"))
 
     def step(s: Column, x: Column) -> Column:
@@ -176,27 +187,51 @@ def paragraph_paths(markers: DataFrame) -> DataFrame:
         return F.get(F.transform(F.array(level), lambda lv: opened(s, x, lv)), 0)  # binds the level once
 
     folded = rows.select("doc_id", "section_line", F.explode(F.aggregate("rows", start, step, lambda s: s["out"])).alias("r"))
-    return folded.select("doc_id", "section_line", "r.line_no", "r.level", "r.path")
+    return folded.select("doc_id", "section_line", "r.line_no", "r.level", "r.path", "r.parent_line")
 
 
 def render_citation(section: Column, path: Column) -> Column:
     return F.concat(F.lit("§ "), section, F.array_join(F.transform(path, lambda p: F.concat(F.lit("("), p, F.lit(")"))), ""))
 
 
-def regulation_spans(lines: DataFrame, default_part: Column) -> DataFrame:
-    """doc_id, seq, span_id, kind, section, subpart, path, citation, byte_start, byte_end; text before the first span stays a gap."""
+def with_parents(spans: DataFrame) -> DataFrame:
+    """spans with parent_span_id in place of parent_line, the line on which the parent opens, and line_no."""
+    of = spans.select("doc_id", F.col("line_no").alias("parent_line"), F.col("span_id").alias("parent_span_id"))
+    return spans.join(of, ["doc_id", "parent_line"], "left").drop("parent_line", "line_no")
+
+
+def regulation_spans(lines: DataFrame, default_part: Column, title: str = "21") -> DataFrame:
+    """doc_id, seq, span_id, kind, section, subpart, path, citation, byte_start, byte_end, parent_span_id, cite; text before the first span stays a gap.
+
+    cite is the citation record: title, part, section, paragraphs, subpart, raw. A paragraph's parent is the paragraph
+    above it or the section header; chapeaus and amendment notes hang under the section, sections under the subpart.
+    """
     at = cut(in_force(regulation_lines(lines, default_part)))
     marker = F.regexp_extract("text", r"^\(([a-z]|\d+|[ivxlcdm]+|[A-Z])\)", 1)
     marked = at.filter((F.col("role") == "marker") & F.col("section_line").isNotNull()).select("doc_id", "section_line", "line_no", marker.alias("marker"))
-    at = at.join(paragraph_paths(marked).select("doc_id", "line_no", "level", "path"), ["doc_id", "line_no"], "left")
-    under = Window.partitionBy("doc_id", "section_line").orderBy("line_no")
-    earlier = F.count(F.when(F.col("level").isNotNull() | (F.col("role") == "prose"), 1)).over(under.rowsBetween(Window.unboundedPreceding, -1))
-    chapeau = (F.col("role") == "prose") & F.col("section_line").isNotNull() & (earlier == 0)
+    at = at.join(paragraph_paths(marked).select("doc_id", "line_no", "level", "path", "parent_line"), ["doc_id", "line_no"], "left")
+    under = Window.partitionBy("doc_id", "section_line").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    role = F.col("role")
+    # prose before any paragraph opens a chapeau, again after a note, and goes on with one that is open
+    last_role = F.last(F.when(~role.isin("blank", "inside_note"), role), True).over(under)
+    chapeau = (role == "prose") & F.col("section_line").isNotNull() & (F.count("level").over(under) == 0) & (last_role != "prose")
     at = at.withColumn("chapeau", chapeau)
-    kind = F.when(F.col("role").isin("document_title", "toc_entry", "part_header", "authority", "source_note", "subpart_header", "section_header"), F.col("role"))
+    kind = F.when(role.isin("document_title", "toc_entry", "part_header", "authority", "source_note", "subpart_header", "section_header"), role)
     kind = kind.when(F.col("level").isNotNull(), "paragraph").when(F.col("chapeau"), "section_chapeau")
     path = F.coalesce("path", F.array().cast("array<string>"))
     starts = at.withColumn("kind", kind).filter(F.col("kind").isNotNull()).withColumn("path", path)
-    number = F.coalesce("number", "section")
-    starts = starts.select("doc_id", "line_no", "byte_start", "kind", F.when(F.col("kind") != "document_title", number).alias("section"), "subpart", "path", F.coalesce(render_citation(number, F.col("path")), F.substring("text", 1, 60)).alias("citation"))
-    return close_spans(starts, at, pin_first=False)
+    number, kind, c = F.coalesce("number", "section"), F.col("kind"), F.col("class")
+    amended, sectioned = c == "amended", kind.isin("section_header", "section_chapeau", "paragraph") | (kind == "toc_entry") & (c == "section")
+    parent = F.when(kind == "paragraph", F.coalesce("parent_line", "section_line")).when((kind == "section_chapeau") | amended, F.col("section_line")).when(sectioned, F.col("subpart_line"))
+    part = F.when(sectioned, F.coalesce(F.nullif(F.substring_index(number, ".", 1), F.lit("")), F.col("home"))).when(kind == "subpart_header", F.col("home"))
+    part = part.when(kind == "part_header", F.regexp_extract("text", rules.PART_HEADER, 1)).when(c == "part_toc", F.regexp_extract("text", rules.PART_TOC, 1))
+    raw = F.when(kind == "paragraph", render_citation(F.col("section"), F.col("path"))).when(kind == "section_chapeau", F.concat(F.lit("§ "), "section", F.lit(" chapeau"))).when(sectioned, F.concat(F.lit("§ "), number))
+    raw = raw.when(amended, "amendment_note").when(kind == "subpart_header", F.concat(F.lit("Subpart "), "subpart")).when(kind == "part_header", F.concat(F.lit("PART "), part)).when(kind == "authority", "Authority").when(kind == "source_note", "Source").otherwise(F.col("text"))
+    toc_subpart = F.regexp_extract("text", rules.SUBPART_TOC, 1)
+    cite = F.struct(
+        F.when(sectioned | kind.isin("subpart_header", "part_header"), F.lit(title)).alias("title"), part.alias("part"), F.when(sectioned, number).when(amended, F.col("section")).alias("section"),
+        F.col("path").alias("paragraphs"), F.when(sectioned | (kind == "subpart_header"), F.col("subpart")).when(c == "subpart_toc", toc_subpart).alias("subpart"), raw.alias("raw"),
+    )
+    citation = F.coalesce(render_citation(number, F.col("path")), F.substring("text", 1, 60))
+    starts = starts.select("doc_id", "line_no", "byte_start", "kind", F.when(kind != "document_title", number).alias("section"), "subpart", "path", citation.alias("citation"), parent.alias("parent_line"), cite.alias("cite"))
+    return with_parents(close_spans(starts, at, pin_first=False, keep_line=True))

@@ -44,5 +44,6 @@ def registry_row(rows: DataFrame, order: str) -> DataFrame:
 
 
 def write_lines(rows: DataFrame, path: str) -> None:
-    """One text folder per document, lines in order."""
-    rows.repartition("doc_id").sortWithinPartitions("doc_id", "ord").select("doc_id", F.col("line").alias("value")).write.mode("overwrite").partitionBy("doc_id").text(path)
+    """doc_id and text of each document's lines in order, as Parquet: one row per document, no folder for each."""
+    listed = F.array_sort(F.collect_list(F.struct("ord", "line")))
+    rows.groupBy("doc_id").agg(F.array_join(F.transform(listed, lambda x: x["line"]), "\n").alias("text")).write.mode("overwrite").parquet(path)

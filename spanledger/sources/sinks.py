@@ -15,16 +15,28 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def publish(df: DataFrame, root: str, version: str) -> str:
-    """Writes a new version beside the old ones, then points current at it; readers never see a half-written table."""
-    path = f"{root.rstrip('/')}/v={version}"
+    """Writes a new version beside the old ones. A version counts from the moment its pointer file, of a name of its own, is complete, so readers find the old version or the new one and never neither."""
+    root = root.rstrip("/")
+    path, spark = f"{root}/v={version}", df.sparkSession
+    known = [r["at"] for r in pointers(spark, root).collect()] if exists(spark, f"{root}/current") else []
     df.write.mode("errorifexists").parquet(path)
-    pointer = df.sparkSession.createDataFrame([(version,)], "version STRING")
-    pointer.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/current")
+    pointer = spark.createDataFrame([(version, max(known, default=0) + 1)], "version STRING, at BIGINT")
+    pointer.coalesce(1).write.mode("append").json(f"{root}/current")
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def pointers(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("version STRING, at BIGINT").json(f"{root.rstrip('/')}/current")
+
+
 def read_published(spark: SparkSession, root: str) -> DataFrame:
-    version = spark.read.schema("version STRING").json(f"{root.rstrip('/')}/current").first()["version"]
+    version = pointers(spark, root).orderBy(F.col("at").desc()).first()["version"]
     return spark.read.parquet(f"{root.rstrip('/')}/v={version}")
 
 
