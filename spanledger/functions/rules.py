@@ -22,7 +22,7 @@ GUIDELINE_FURNITURE = (
 CORPUS_FURNITURE = (
     ("LICENSE_LINE", r"licensed under|Released under the|All rights reserved"),
     ("LICENSED_LINE", r"^Licensed under"),
-    ("EMAIL_LINE", r"[a-z0-9.]+@[a-z0-9.]+"),
+    ("EMAIL_LINE", r"[a-z0-9.]@[a-z0-9.]"),
     ("TOKEN_LINE", r"(token|password) ?="),
 )
 

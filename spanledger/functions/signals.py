@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,12 @@ from . import rules
 HIT = "struct<sig_class:string,pattern_id:string,pattern_seq:int,matched_text:string,start:int,end:int>"
 
 
+def needle(rx: str) -> str:
+    """The longest word that every match of a pattern holds, in lower case."""
+    bare = re.sub(r"\(\?[^)]*\)", " ", re.sub(r"\\.", " ", re.sub(r"[a-z]\?", "", rx)))
+    return max(re.findall("[A-Za-z]{3,}", bare), key=len).lower()
+
+
 def blank_dates(text: Column) -> Column:
     """Date phrases replaced by as many # signs, so that offsets stay and no modal stands there."""
     parts = F.regexp_extract_all(text, F.lit(rules.DATE), F.lit(0))
@@ -46,12 +54,13 @@ def signals(text: Column, table: tuple = rules.SIGNALS, drop_dates: bool = True)
 
 
 def counts(rows: DataFrame, key: str, text_col: str, table: tuple = rules.SIGNALS) -> DataFrame:
-    """key, sig_class, pattern_id, n: hits per key. Counting needs no offsets: one pass of regexp_count per pattern."""
+    """key, sig_class, pattern_id, n: hits per key. Counting needs no offsets; a pattern is only run where its longest word stands."""
+    text = rows.select(key, F.col(text_col).alias("text"), F.lower(text_col).alias("low"), blank_dates(F.col(text_col)).alias("dateless"))
     each = []
     for name, kind, rx in table:
-        at = blank_dates(F.col(text_col)) if kind == "modal_permissive" else F.col(text_col)
-        each.append(F.struct(F.lit(kind).alias("sig_class"), F.lit(name).alias("pattern_id"), F.regexp_count(at, F.lit(rx)).alias("n")))
-    hits = rows.select(key, F.explode(F.filter(F.array(*each), lambda h: h["n"] > 0)).alias("h"))
+        n = F.when(F.contains("low", F.lit(needle(rx))), F.regexp_count(F.col("dateless" if kind == "modal_permissive" else "text"), F.lit(rx))).otherwise(0)
+        each.append(F.struct(F.lit(kind).alias("sig_class"), F.lit(name).alias("pattern_id"), n.alias("n")))
+    hits = text.select(key, F.explode(F.filter(F.array(*each), lambda h: h["n"] > 0)).alias("h"))
     return hits.groupBy(key, "h.sig_class", "h.pattern_id").agg(F.sum("h.n").cast("bigint").alias("n"))
 
 

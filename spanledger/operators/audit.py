@@ -83,18 +83,18 @@ def label_counts(spans: DataFrame, classes: DataFrame) -> DataFrame:
     return at.groupBy("doc_id", F.when(F.col("known"), F.coalesce("final_label", F.lit("unclassified"))).otherwise(F.col("kind")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def containing_span(hits: DataFrame, spans: DataFrame) -> DataFrame:
-    """hits (doc_id, at, ...) with the span that holds the byte; null if none.
+def containing_span(hits: DataFrame, spans: DataFrame, *carry: str) -> DataFrame:
+    """hits (doc_id, at, ...) with the span that holds the byte, and its columns named in carry; null if none.
 
     Spans tile their text, so this is an as-of join: starts and hits in one order, the last start carried on. No range
     join, and no key but the document.
     """
     cols = [c for c in hits.columns if c not in ("doc_id", "at")]
-    starts = spans.select("doc_id", F.col("byte_start").alias("at"), F.struct("span_id", "byte_end").alias("start"), *(F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in cols), F.lit(0).alias("side"))
-    asks = hits.select("doc_id", "at", F.lit(None).cast("struct<span_id:string,byte_end:bigint>").alias("start"), *cols, F.lit(1).alias("side"))
+    starts = spans.select("doc_id", F.col("byte_start").alias("at"), F.struct("span_id", F.col("byte_end").cast("bigint").alias("byte_end"), *carry).alias("start"), *(F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in cols), F.lit(0).alias("side"))
+    asks = hits.select("doc_id", "at", F.lit(None).cast(starts.schema["start"].dataType).alias("start"), *cols, F.lit(1).alias("side"))
     w = by_doc("at", "side").rowsBetween(Window.unboundedPreceding, 0)
     held = starts.unionByName(asks).withColumn("start", F.last("start", True).over(w)).filter("side = 1")
-    return held.select("doc_id", "at", *cols, F.when(F.col("at") < F.col("start.byte_end"), F.col("start.span_id")).alias("span_id"))
+    return held.select("doc_id", "at", *cols, *(F.when(F.col("at") < F.col("start.byte_end"), F.col(f"start.{c}")).alias(c) for c in ("span_id", *carry)))
 
 
 def highlight_depth(ranges: DataFrame) -> DataFrame:

@@ -142,7 +142,7 @@ def modal_in_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = graph.cut(segment.regulation_spans(raw, F.col("doc_id") + 100))
     found = at.filter(F.col("line").rlike("shall|must|may")).select("doc_id", "byte_start", "line", F.explode(signals.positions(F.col("line"), r"\b(?:shall|must|may)\b")).alias("h"))
     hits = found.select("doc_id", (F.col("byte_start") + F.octet_length(F.substring("line", F.lit(1), F.col("h.start")))).alias("at"), F.col("h.matched_text").alias("verb"))
-    held = audit.containing_span(hits, spans).join(spans.select("doc_id", "span_id", "kind"), ["doc_id", "span_id"], "left")
+    held = audit.containing_span(hits, spans, "kind")
     return held.groupBy("verb", F.coalesce("kind", F.lit("(no span)")).alias("kind")).agg(F.count(F.lit(1)).alias("n_hits"), F.countDistinct("doc_id").alias("n_docs"))
 
 
