@@ -1,7 +1,7 @@
 """Every query of the library by name, with its SQL."""
 
-from spanledger.queries import catalog, reports, streams, texts
+from spanledger.queries import catalog, forms, reports, streams, texts
 
-MODULES = (texts, catalog, reports, streams)
+MODULES = (texts, catalog, reports, forms, streams)
 QUERIES: dict = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL: dict = {k: v for m in MODULES for k, v in m.SQL.items()}
