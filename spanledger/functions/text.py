@@ -163,8 +163,8 @@ def unfence(c: Column) -> Column:
 
 
 def repair_json(c: Column) -> Column:
-    """Commas before a closing bracket go."""
-    return F.regexp_replace(unfence(c), r",\s*([}\]])", "$1")
+    """A bracket that follows a key's text and closes no list goes, and so do commas before a closing bracket."""
+    return F.regexp_replace(F.regexp_replace(unfence(c), r'(":\s*"[^"]*")\]', "$1"), r",(\s*[}\]])", "$1")
 
 
 def redact_keys(c: Column) -> Column:

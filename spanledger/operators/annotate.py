@@ -59,19 +59,22 @@ def promote_embedded(classes: DataFrame, found: DataFrame) -> DataFrame:
     return t.withColumn("final_embedded", F.when(F.col("hit"), more).otherwise(F.col("final_embedded"))).withColumn("ambiguous", F.col("ambiguous") | F.coalesce("hit", F.lit(False))).drop("hit")
 
 
-def audit_candidates(spans: DataFrame, classes: DataFrame, guard_degenerate: bool = True) -> DataFrame:
-    """Spans that are classified, bear nothing and yet hold a signal; a permissive modal in a source note is none."""
+def audit_candidates(spans: DataFrame, classes: DataFrame, guard_degenerate: bool = True, audited: DataFrame | None = None) -> DataFrame:
+    """Spans that are classified, bear nothing and yet hold a signal; a permissive modal in a source note or a date is none. audited (doc_id, span_id) were asked before."""
     from spanledger.functions import rules
+    from spanledger.functions.signals import blank_dates
     from spanledger.functions.text import is_degenerate
 
     strong = F.lit(False)
     weak = F.lit(False)
     for _, kind, rx in rules.SIGNALS:
         if kind == "modal_permissive":
-            weak = weak | F.col("text").rlike(rx)
+            weak = weak | blank_dates(F.col("text")).rlike(rx)
         else:
             strong = strong | F.col("text").rlike(rx)
     at = spans.join(classes.filter(~is_bearing()), ["doc_id", "span_id"])
+    if audited is not None:
+        at = at.join(audited, ["doc_id", "span_id"], "left_anti")
     at = at.filter(strong | weak & (F.col("final_label") != "source_note"))
     return at.filter(~is_degenerate(F.col("text"))) if guard_degenerate else at
 

@@ -15,14 +15,14 @@ from .graph import first_wins, valid_edges
 EDGE_TYPES = ("refines", "references", "exception_to", "conditional_on", "defined_by", "composed_of")
 
 
-def construct(rows: DataFrame, spans: DataFrame, last: DataFrame | None = None) -> DataFrame:
-    """Statements of rows (doc_id, span_id, seq, verbatim_quote, atomic_statement, modality, tags, conditions, ambiguous): the quote as the span has it, texts trimmed, tags cleaned, numbered on from last (doc_id, last).
+def construct(rows: DataFrame, spans: DataFrame, last: DataFrame | None = None, order: tuple[str, ...] = ("span_id", "seq")) -> DataFrame:
+    """Statements of rows (doc_id, span_id, seq, verbatim_quote, atomic_statement, modality, tags, conditions, ambiguous): the quote as the span has it, texts trimmed, tags cleaned, numbered by order on from last (doc_id, last).
 
     A span without a citation is cited by its id; rows of unknown spans are left out.
     """
     t = rows.join(spans.select("doc_id", "span_id", "text", "citation"), ["doc_id", "span_id"])
     said = lambda c: trim_unicode(F.coalesce(F.col(c), F.lit("")))
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("span_id", "seq"))
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
     if last is not None:
         t = t.join(last.select("doc_id", "last"), "doc_id", "left")
         number = number + F.coalesce("last", F.lit(0))

@@ -31,12 +31,14 @@ def json_lines(spark: SparkSession, path: str, schema: str | StructType, missing
 
 
 def json_lines_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """json_lines, but the first file that holds a line which does not parse raises BadRecords."""
+    """json_lines, but a line which does not parse raises BadRecords with its file and number. Only then is that one file read whole, to count."""
     lines = spark.read.text(path).select(F.input_file_name().alias("file"), "value").filter(F.trim("value") != "")
     parsed = lines.withColumn("row", F.from_json("value", f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     first = parsed.filter("row._corrupt IS NOT NULL").select("file", "value").head(1)
     if first:
-        raise BadRecords(f"{first[0]['file']}: {first[0]['value'][:200]}")
+        file, bad = first[0]["file"], first[0]["value"]
+        at = spark.read.text(file, wholetext=True).select(F.array_position(F.split("value", "\r?\n"), bad).alias("n")).first()["n"]
+        raise BadRecords(f"{file}:{at}: {bad[:200]}")
     return parsed.select("row.*").drop("_corrupt")
 
 
@@ -61,6 +63,14 @@ def catalog(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return at.withColumn("doc_id", F.regexp_extract("file", r"/([^/]+/[^/]+)/meta\.json$", 1)).filter(valid_doc_id(F.col("doc_id"))).drop("file")
 
 
+def bad_metas(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The meta.json files that catalog drops: they do not parse, or their folders name no document (review_site is none)."""
+    doc_id = F.regexp_extract("file", r"/([^/]+/[^/]+)/meta\.json$", 1)
+    found = whole_texts(spark, f"{root.rstrip('/')}/*/*/meta.json").withColumn("doc_id", doc_id).filter(~F.startswith("doc_id", F.lit("review_site/")))
+    row = F.from_json("text", f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return found.withColumn("row", row).filter(F.col("row._corrupt").isNotNull() | F.col("row").isNull() | ~valid_doc_id(F.col("doc_id"))).select("file")
+
+
 def valid_doc_id(doc_id):
     """<jurisdiction>/<slug>; what does not match never becomes part of a path."""
     return doc_id.rlike("^[a-z]+/[a-z0-9][a-z0-9-]{0,119}$")
@@ -70,3 +80,12 @@ def annotator_output(requests: DataFrame, annotations: DataFrame) -> DataFrame:
     """requests (doc_id, span_id, agent) with what annotators said; missing tells which have no answer."""
     t = requests.join(annotations.withColumn("answered", F.lit(True)), ["doc_id", "span_id", "agent"], "left")
     return t.withColumn("missing", F.col("answered").isNull()).drop("answered")
+
+
+def require_answers(requests: DataFrame, annotations: DataFrame) -> DataFrame:
+    """annotator_output, but a request without an answer raises BadRecords and is named."""
+    out = annotator_output(requests, annotations)
+    first = out.filter("missing").select("doc_id", "span_id", "agent").head(1)
+    if first:
+        raise BadRecords("no answer of {2} for {1} of {0}".format(*first[0]))
+    return out.drop("missing")
