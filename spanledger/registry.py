@@ -1,7 +1,7 @@
 """Every query of the library by name, with its SQL."""
 
-from spanledger.queries import catalog, decisions, forms, reports, streams, texts
+from spanledger.queries import catalog, decisions, forms, reports, streams, texts, whole
 
-MODULES = (texts, catalog, reports, forms, decisions, streams)
+MODULES = (texts, catalog, reports, forms, decisions, whole, streams)
 QUERIES: dict = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL: dict = {k: v for m in MODULES for k, v in m.SQL.items()}
