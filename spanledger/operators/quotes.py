@@ -41,7 +41,13 @@ def containment(docs: DataFrame, quotes: DataFrame, most_bytes: int = BROADCAST_
             held = docs.select("doc_id", F.explode(F.array_distinct(words("text"))).alias("word")).select("doc_id", F.explode(grams(F.col("word"))).alias("gram")).distinct()
             found = held.join(own.filter("gram IS NOT NULL").select("gram", "item_id"), "gram").select("doc_id", "item_id").distinct()
             more = found.join(own.drop("gram"), "item_id").join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "item_id", "quote", "text")
-            bare = own.filter("gram IS NULL AND quote IS NOT NULL").select("item_id", "quote")
-            more = more.unionByName(docs.select("doc_id", "text").crossJoin(bare).select("doc_id", "item_id", "quote", "text"))
+            # a quote without a word stands within one run of other characters, and is looked up by its first ones; an empty one is in every text
+            bare = own.filter("gram IS NULL AND quote IS NOT NULL").select("item_id", "quote", F.substring("quote", 1, GRAM).alias("gram"))
+            runs = F.array_distinct(F.filter(F.split("text", r"[\p{L}\p{N}]+"), lambda r: r != ""))
+            gaps = docs.select("doc_id", F.explode(runs).alias("run")).select("doc_id", F.explode(grams(F.col("run"))).alias("gram")).distinct()
+            if bare.filter("quote = ''").head(1):
+                gaps = gaps.unionByName(docs.select("doc_id", F.lit("").alias("gram")))
+            found = gaps.join(bare.select("gram", "item_id"), "gram").select("doc_id", "item_id").distinct()
+            more = more.unionByName(found.join(bare.drop("gram"), "item_id").join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "item_id", "quote", "text"))
         pairs = pairs.unionByName(more)
     return pairs.filter(F.contains("text", "quote")).select("item_id", "doc_id", (F.instr("text", F.col("quote")) - 1).cast("bigint").alias("start"))
