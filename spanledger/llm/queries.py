@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, licenses, mixing, neardup, quality, secrets, token_counts, toxicity
+from . import ann, centroids, chat, decontaminate, lexical, licenses, mixing, neardup, quality, secrets, substrings, token_counts, toxicity
 from .common import held_out, table
 
 
@@ -70,10 +70,51 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_token_counts, op3_secret_scan, op4_license_scan, op5_nearest_neighbours, op6_source_mixing, op7_quality_classifier, op8_toxicity, op9_minhash_neardup, op10_chat_formatting)}
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id").drop("centroid")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_token_counts, op3_secret_scan, op4_license_scan, op5_nearest_neighbours, op6_source_mixing, op7_quality_classifier, op8_toxicity, op9_minhash_neardup, op10_chat_formatting, op11_centroid_clustering, op12_lexical_search, op13_substring_dedup)}
 
 WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+
+
+def clustering_sql(rounds: int = centroids.ROUNDS) -> str:
+    """Lloyd's rounds, one by one: c<i> are the centroids and a<i> the assignments after i rounds."""
+    parts = [
+        "ints AS MATERIALIZED (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings "
+        "WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64)",
+        "parts AS MATERIALIZED (SELECT vec_id, unnest(generate_series(1, 64)) AS d, unnest(v) AS x FROM ints)",
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster, v FROM ints ORDER BY cluster LIMIT 40)",
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"a{i} AS MATERIALIZED (SELECT vec_id, min_by(cluster, gap * 64 + cluster) AS cluster, min(gap) AS distance FROM "
+            f"(SELECT vec_id, cluster, CAST(list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(ints.v, c{i}.v)]) AS BIGINT) AS gap FROM ints, c{i}) GROUP BY vec_id)"
+        )
+        if i < rounds:
+            parts.append(f"s{i} AS MATERIALIZED (SELECT cluster, d, sum(x) AS total, count(*) AS n FROM parts JOIN a{i} USING (vec_id) GROUP BY cluster, d)")
+            mean = "CAST((total - ((total % n) + n) % n) // n AS BIGINT)"
+            parts.append(f"m{i} AS MATERIALIZED (SELECT cluster, list({mean} ORDER BY d) AS v FROM s{i} GROUP BY cluster)")
+            parts.append(f"c{i + 1} AS MATERIALIZED (SELECT cluster, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (cluster))")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+
+
+TERMS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
 SQL = {
     "op1_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
@@ -110,4 +151,24 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
        CAST(sum(15 + length(head) + length(body)) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id""",
+    "op11_centroid_clustering": clustering_sql(),
+    "op12_lexical_search": f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {TERMS.format("coalesce(text, '')")} AS w FROM documents),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+asked AS MATERIALIZED (SELECT DISTINCT item_id, unnest({TERMS.format("coalesce(text, '')")}) AS term FROM benchmark),
+counted AS MATERIALIZED (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), whole),
+parts AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS part FROM counted JOIN weights USING (term), whole),
+scored AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM asked JOIN parts USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+QUALIFY rank <= 10""",
+    "op13_substring_dedup": r"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20)),
+later AS (SELECT doc_id, i FROM starts QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS k FROM later),
+words AS (SELECT doc_id, unnest(generate_series(1, len(w))) AS k, unnest(w) AS word FROM d),
+left_over AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS kept FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)""",
 }
