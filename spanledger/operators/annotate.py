@@ -79,22 +79,6 @@ def audit_candidates(spans: DataFrame, classes: DataFrame, guard_degenerate: boo
     return at.filter(~is_degenerate(F.col("text"))) if guard_degenerate else at
 
 
-def last_decisions(decisions: DataFrame, key: str) -> DataFrame:
-    """The decision in force for each key of decisions (key, seq, decision, ...): the last one, but a drop is final."""
-    rank = F.struct((F.col("decision") == "drop").cast("int"), "seq")
-    rest = [c for c in decisions.columns if c != key]
-    return decisions.groupBy(key).agg(F.max_by(F.struct(*rest), rank).alias("d")).select(key, "d.*")
-
-
-def adjudicate_classes(classes: DataFrame, decisions: DataFrame) -> DataFrame:
-    """classes with new labels; embedded ones lose the primary; a decision clears the ambiguity."""
-    d = last_decisions(decisions, "span_id").select("span_id", F.col("label").alias("new_label"))
-    t = classes.join(d, "span_id", "left")
-    embedded = F.array_sort(F.filter("final_embedded", lambda x: x != F.col("new_label")))
-    has = F.col("new_label").isNotNull()
-    return t.withColumn("final_embedded", F.when(has, embedded).otherwise(F.col("final_embedded"))).withColumn("final_label", F.coalesce("new_label", "final_label")).withColumn("ambiguous", F.col("ambiguous") & ~has).drop("new_label")
-
-
 def unresolved(classes: DataFrame, statements: DataFrame, edges: DataFrame) -> DataFrame:
     """doc_id and the counters that must be zero before a catalog is final."""
     pending: Column = F.coalesce("downgrade_pending", F.lit(False))

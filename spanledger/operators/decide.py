@@ -1,63 +1,17 @@
-"""Decisions on statements and downgrades, and what they lead to: orphans, dangling edges, the catalog's status."""
+"""What decisions lead to: open questions, the catalog's status, obligations outside of bearing spans."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .annotate import last_decisions, mark_pending
 from .audit import BEARING
-from .graph import valid_edges
 
 
 class Unresolved(RuntimeError):
     """A catalog still has open questions."""
 
 
-def adjudicate_statements(statements: DataFrame, spans: DataFrame, decisions: DataFrame) -> DataFrame:
-    """statements after keep, edit and drop (req_id, seq, decision, quote); an edit counts only if the span has its quote. A decision that counts clears the ambiguity."""
-    d = last_decisions(decisions, "req_id").select("req_id", "decision", F.col("quote").alias("new_quote"))
-    text = spans.select("doc_id", F.col("span_id").alias("source_span_id"), "text")
-    t = statements.join(d, "req_id", "left").join(text, ["doc_id", "source_span_id"], "left")
-    found = F.coalesce((F.col("new_quote") != "") & F.contains("text", "new_quote"), F.lit(False))
-    edited = (F.col("decision") == "edit") & found
-    counts = F.coalesce(edited | F.col("decision").isin("keep"), F.lit(False))
-    t = t.filter(F.coalesce("decision", F.lit("keep")) != "drop")
-    t = t.withColumn("verbatim_quote", F.when(edited, F.col("new_quote")).otherwise(F.col("verbatim_quote")))
-    return t.withColumn("ambiguous", F.col("ambiguous") & ~counts).select(*statements.columns)
-
-
-def after_drops(classes: DataFrame, before: DataFrame, after: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes with the spans pending that lost all their statements, and edges without those that now dangle, renumbered."""
-    spans = lambda df: df.select("doc_id", F.col("source_span_id").alias("span_id")).distinct()
-    orphans = spans(before).join(spans(after), ["doc_id", "span_id"], "left_anti")
-    touched = mark_pending(classes.join(orphans, ["doc_id", "span_id"], "left_semi"), after)
-    rest = classes.join(orphans, ["doc_id", "span_id"], "left_anti")
-    kept = valid_edges(edges, after, "req_id")
-    w = Window.partitionBy("doc_id").orderBy("seq", "rel_id")
-    return rest.unionByName(touched, allowMissingColumns=True), kept.withColumn("rel_id", F.format_string("E%04d", F.row_number().over(w)))
-
-
-def adjudicate_downgrades(classes: DataFrame, spans: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pending classes after confirm or extract (span_id, seq, decision, label, quotes), and the statements extracted (doc_id, source_span_id, verbatim_quote).
-
-    A confirmed span takes the label, which must not bear, and its embedded labels lose the bearing one. An extraction
-    counts only if every quote is in the span. Decisions that do not count leave the span pending.
-    """
-    d = last_decisions(decisions, "span_id").select("span_id", "decision", F.col("label").alias("new_label"), "quotes")
-    t = classes.join(d, "span_id", "left").join(spans.select("doc_id", "span_id", "text"), ["doc_id", "span_id"], "left")
-    pending = F.coalesce("downgrade_pending", F.lit(False))
-    whole = (F.size("quotes") > 0) & F.forall("quotes", lambda q: (q != "") & F.contains(F.col("text"), q))
-    confirm = F.coalesce(pending & (F.col("decision") == "confirm") & F.col("new_label").isNotNull() & (F.col("new_label") != BEARING), F.lit(False))
-    extract = F.coalesce(pending & (F.col("decision") == "extract") & whole, F.lit(False))
-    t = t.withColumn("confirmed", confirm).withColumn("extracted", extract)
-    out = t.withColumn("final_label", F.when(F.col("confirmed") & (F.col("final_label") == BEARING), F.col("new_label")).otherwise(F.col("final_label")))
-    out = out.withColumn("final_embedded", F.when(F.col("confirmed"), F.filter("final_embedded", lambda x: x != BEARING)).otherwise(F.col("final_embedded")))
-    out = out.withColumn("downgrade_pending", pending & ~F.col("confirmed") & ~F.col("extracted"))
-    made = t.filter("extracted").select("doc_id", F.col("span_id").alias("source_span_id"), F.explode("quotes").alias("verbatim_quote"))
-    return out.select(*classes.columns), made
-
-
 def require_resolved(counters: DataFrame) -> None:
     """Raises Unresolved with the counters (doc_id, ...) of the first documents that have open ones."""
     names = [c for c in counters.columns if c != "doc_id"]

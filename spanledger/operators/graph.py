@@ -12,22 +12,37 @@ def first_wins(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     return rows.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 
 
+def within(*tables: DataFrame) -> list[str]:
+    """doc_id, if all tables have it: then ids hold within a document."""
+    return ["doc_id"] if all("doc_id" in t.columns for t in tables) else []
+
+
 def valid_edges(edges: DataFrame, nodes: DataFrame, node: str) -> DataFrame:
-    """Edges (src, dst, ...) both of whose ends are nodes."""
-    ids = nodes.select(F.col(node).alias("id")).distinct()
-    return edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    """Edges (src, dst, ...) both of whose ends are nodes, of the same document where both tables name it."""
+    keys = within(edges, nodes)
+    ids = nodes.select(*keys, F.col(node).alias("id")).distinct()
+    end = lambda name: ids.withColumnRenamed("id", name)
+    return edges.join(end("src"), [*keys, "src"], "left_semi").join(end("dst"), [*keys, "dst"], "left_semi")
 
 
 def edge_failures(edges: DataFrame, nodes: DataFrame, node: str) -> DataFrame:
-    """Edges with their failure: a missing end, a loop, or no evidence (a warning)."""
-    ids = nodes.select(F.col(node).alias("id")).distinct()
-    t = edges.join(ids.select(F.col("id").alias("src"), F.lit(True).alias("has_src")), "src", "left").join(ids.select(F.col("id").alias("dst"), F.lit(True).alias("has_dst")), "dst", "left")
+    """Edges with their failure: a missing end, a loop, or no evidence (a warning). Ends are looked for as in valid_edges."""
+    keys = within(edges, nodes)
+    ids = nodes.select(*keys, F.col(node).alias("id")).distinct()
+    end = lambda name: ids.withColumnRenamed("id", name).withColumn(f"has_{name}", F.lit(True))
+    t = edges.join(end("src"), [*keys, "src"], "left").join(end("dst"), [*keys, "dst"], "left")
     why = F.when(F.col("has_src").isNull(), "missing_source").when(F.col("has_dst").isNull(), "missing_target").when(F.col("src") == F.col("dst"), "self_loop")
     if "evidence" in edges.columns:
         why = why.when(F.coalesce(F.trim("evidence"), F.lit("")) == "", "empty_evidence")
     return t.withColumn("failure", why).filter("failure IS NOT NULL").drop("has_src", "has_dst")
 
 
+def numbered_edges(edges: DataFrame) -> DataFrame:
+    """Edges numbered anew within their document, in the order of seq and rel_id."""
+    w = Window.partitionBy("doc_id").orderBy("seq", "rel_id")
+    return edges.withColumn("rel_id", F.format_string("E%04d", F.row_number().over(w)))
+
+
 def peeled(edges: DataFrame, rounds: int) -> DataFrame:
     """edges without those whose source has no incoming or whose target no outgoing one, until little is left to peel."""
     core, before = edges, None
@@ -111,14 +126,21 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def mark_cycles(edges: DataFrame, kinds: tuple[str, ...] = ("refines", "composed_of"), note: str = " [cycle]") -> DataFrame:
-    """edges (src, dst, type, evidence, ambiguous) with those on a cycle of their kind ambiguous and noted, once however often it runs."""
-    out = edges
+    """edges (src, dst, type, evidence, ambiguous) with those on a cycle of their kind ambiguous and noted, once however often it runs. Where the edges name a document, ids hold within it."""
+    keys, out = within(edges), edges
     for kind in kinds:
-        hit = cycle_edges(edges.filter(F.col("type") == kind)).withColumn("type", F.lit(kind)).withColumn("hit", F.lit(True))
-        out = out.join(hit, ["src", "dst", "type"], "left")
+        of = edges.filter(F.col("type") == kind)
+        if keys:
+            node = lambda c: F.struct("doc_id", F.col(c).alias("id")).alias(c)
+            hit = cycle_edges(of.select(node("src"), node("dst"))).select(F.col("src.doc_id").alias("doc_id"), F.col("src.id").alias("src"), F.col("dst.id").alias("dst"))
+        else:
+            hit = cycle_edges(of)
+        hit = hit.withColumn("type", F.lit(kind)).withColumn("hit", F.lit(True))
+        out = out.join(hit, [*keys, "src", "dst", "type"], "left")
         noted = F.when(F.endswith("evidence", F.lit(note)), F.col("evidence")).otherwise(F.concat(F.coalesce("evidence", F.lit("")), F.lit(note)))
-        out = out.withColumn("evidence", F.when(F.col("hit"), noted).otherwise(F.col("evidence"))).withColumn("ambiguous", F.col("ambiguous") | F.coalesce("hit", F.lit(False))).drop("hit")
-    return out
+        out = out.withColumn("evidence", F.when(F.col("hit"), noted).otherwise(F.col("evidence")))
+        out = out.withColumn("ambiguous", F.col("ambiguous") | F.coalesce("hit", F.lit(False))).drop("hit")
+    return out.select(*edges.columns)
 
 
 def parent_chains(rows: DataFrame, key: str, node: str, parent: str, name: str, rounds: int = 20) -> DataFrame:
@@ -139,19 +161,6 @@ def parent_chains(rows: DataFrame, key: str, node: str, parent: str, name: str,
     return state.select(key, node, F.when(F.size(chain) > 0, F.array_join(chain, " > ")).otherwise("(top-level)").alias("chain"))
 
 
-def adjudicate_edges(edges: DataFrame, decisions: DataFrame) -> DataFrame:
-    """edges after keep, edit (type and evidence) and drop decisions; unknown ids are ignored, the rest renumbered."""
-    from .annotate import last_decisions
-
-    d = last_decisions(decisions, "rel_id").select("rel_id", "decision", F.col("type").alias("new_type"), F.col("evidence").alias("new_evidence"))
-    t = edges.join(d, "rel_id", "left").filter(F.coalesce("decision", F.lit("keep")) != "drop")
-    edit = F.col("decision") == "edit"
-    t = t.withColumn("type", F.when(edit, F.coalesce("new_type", "type")).otherwise(F.col("type"))).withColumn("evidence", F.when(edit, F.coalesce("new_evidence", "evidence")).otherwise(F.col("evidence")))
-    t = t.withColumn("ambiguous", F.col("ambiguous") & F.col("decision").isNull())
-    w = Window.partitionBy("doc_id").orderBy("seq", "rel_id")
-    return t.withColumn("rel_id", F.format_string("E%04d", F.row_number().over(w))).drop("decision", "new_type", "new_evidence")
-
-
 def scoped_counts(edges: DataFrame) -> DataFrame:
     """scope, type, src_doc, dst_doc, n: three groupings of edges in one pass."""
     return edges.groupingSets([["scope"], ["type"], ["src_doc", "dst_doc"]], "scope", "type", "src_doc", "dst_doc").agg(F.count(F.lit(1)).alias("n"))

@@ -89,7 +89,7 @@ def gate(c: Corpus, strict: bool = True) -> Corpus:
 
 def relations(c: Corpus) -> Corpus:
     """Valid edges, once each, with cycles marked."""
-    nodes = c.statements.select("req_id")
+    nodes = c.statements.select("doc_id", "req_id")
     once = graph.first_wins(c.edges, ["doc_id", "src", "dst", "type"], ["seq"])
     return c.put(edges=graph.mark_cycles(graph.valid_edges(once, nodes, "req_id").filter("src <> dst")))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanledger.functions import text
-from spanledger.operators import annotate, audit, decide, graph, lines, packets, quotes, refs, segment, views
+from spanledger.operators import annotate, audit, decide, graph, lines, packets, quotes, refs, rulings, segment, views
 from spanledger.plans.regtext import LINES_SQL, REG_SQL, items, reg_lines, table
 
 big = lambda c: F.col(c).cast("bigint").alias(c)
@@ -188,9 +188,9 @@ def first_wins_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def adjudicated_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("doc_id"), F.col("o_orderkey").alias("seq"), F.concat(F.lit("E"), "o_orderkey").alias("rel_id"), F.lit("references").alias("type"), F.col("o_orderstatus").alias("evidence"), F.lit(True).alias("ambiguous"))
-    d = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0").select(F.concat(F.lit("E"), "o_orderkey").alias("rel_id"), F.explode(F.array(F.struct(F.lit(1).alias("seq"), F.when(F.col("o_orderkey") % 2 == 0, "drop").otherwise("keep").alias("decision")), F.struct(F.lit(2).alias("seq"), F.lit("edit").alias("decision")))).alias("d"))
-    decisions = d.select("rel_id", "d.seq", "d.decision", F.lit("refines").alias("type"), F.lit(None).cast("string").alias("evidence"))
-    return graph.adjudicate_edges(o, decisions).select("doc_id", "seq", "rel_id", "type", "ambiguous")
+    d = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0").select((F.col("o_custkey") % 50).alias("doc_id"), F.concat(F.lit("E"), "o_orderkey").alias("rel_id"), F.explode(F.array(F.struct(F.lit(1).alias("seq"), F.when(F.col("o_orderkey") % 2 == 0, "drop").otherwise("keep").alias("decision")), F.struct(F.lit(2).alias("seq"), F.lit("edit").alias("decision")))).alias("d"))
+    decisions = d.select("doc_id", "rel_id", "d.seq", "d.decision", F.lit("refines").alias("type"), F.lit(None).cast("string").alias("evidence"))
+    return rulings.rule_edges(o, decisions)[0].select("doc_id", "seq", "rel_id", "type", "ambiguous")
 
 
 def reg_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,8 +314,8 @@ def claims_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def adjudicated_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("S"), "doc_id").alias("span_id"), "text")
     st = statements(spark, sf_dir).withColumn("ambiguous", F.lit(True))
-    d = spans.filter("doc_id % 3 = 0 OR doc_id % 5 = 0").select(F.concat(F.lit("R"), "doc_id").alias("req_id"), F.lit(1).alias("seq"), F.when(F.col("doc_id") % 3 == 0, "drop").otherwise("edit").alias("decision"), F.when(F.col("doc_id") % 2 == 0, F.substring("text", 1, 5)).otherwise("~nowhere~").alias("quote"))
-    out = decide.adjudicate_statements(st, spans, d)
+    d = spans.filter("doc_id % 3 = 0 OR doc_id % 5 = 0").select("doc_id", F.concat(F.lit("R"), "doc_id").alias("req_id"), F.lit(1).alias("seq"), F.when(F.col("doc_id") % 3 == 0, "drop").otherwise("edit").alias("decision"), F.when(F.col("doc_id") % 2 == 0, F.substring("text", 1, 5)).otherwise("~nowhere~").alias("verbatim_quote"))
+    out, _ = rulings.rule_statements(st, spans, d)
     return out.select("doc_id", "req_id", F.md5("verbatim_quote").alias("quote_md5"), "ambiguous")
 
 
@@ -391,5 +391,5 @@ SQL = {
       SELECT doc_id, CAST(line_no AS VARCHAR) AS span_id, verb AS verbs FROM h WHERE line_no % 3 <> 0 AND line_no % 7 <> 0 AND (verb <> 'may' OR line_no % 3 <> 1)""",
     "claims_summary": "SELECT o_orderpriority AS stage, o_orderstatus AS status, count(*) AS n_claims, CAST(sum(o_custkey % 5) AS BIGINT) AS n_items FROM orders GROUP BY ROLLUP (1, 2)",
     "adjudicated_statements": f"""WITH {LINES_SQL}, st AS (SELECT l.doc_id, CASE WHEN l.doc_id % 4 = 0 THEN line || '  x' ELSE line END AS quote, text FROM docl l JOIN documents USING (doc_id) WHERE line_no = 0 AND l.doc_id % 10 NOT IN (4, 7) AND l.doc_id % 3 <> 0)
-      SELECT doc_id, 'R' || doc_id AS req_id, md5(CASE WHEN doc_id % 10 = 0 THEN text[1:5] ELSE quote END) AS quote_md5, doc_id % 10 <> 0 AS ambiguous FROM st""",
+      SELECT doc_id, 'R' || doc_id AS req_id, md5(CASE WHEN doc_id % 10 = 0 THEN trim(text[1:5], ' ' || chr(9) || chr(10) || chr(13)) ELSE quote END) AS quote_md5, doc_id % 10 <> 0 AS ambiguous FROM st""",
 }

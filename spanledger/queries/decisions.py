@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanledger.functions import text
-from spanledger.operators import annotate, decide, packets
+from spanledger.operators import annotate, decide, packets, rulings
 from spanledger.plans.regtext import table
 
 from .forms import SENTENCES, filled, picked, values_sql
@@ -42,20 +42,27 @@ def promoted_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decided_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes after up to three decisions each, of which the last stands."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("seq")).filter("seq <= o_orderkey % 4")
+    o = o.join(bare_classes(spark, sf_dir).select("doc_id", F.col("at").alias("o_orderkey"), "final_embedded"), "o_orderkey")
     label = F.element_at(F.array(*map(F.lit, ("definition", "requirement_bearing", "administrative"))), (F.col("o_orderkey") + F.col("seq")).cast("int") % 3 + 1)
-    decisions = o.select(F.concat(F.lit("S"), "o_orderkey").alias("span_id"), "seq", F.lit("label").alias("decision"), label.alias("label"))
-    out = annotate.adjudicate_classes(bare_classes(spark, sf_dir), decisions)
+    decisions = o.select("doc_id", F.concat(F.lit("S"), "o_orderkey").alias("span_id"), "seq", label.alias("final_label"), "final_embedded", F.lit(None).cast("string").alias("note"))
+    out, _ = rulings.rule_classes(bare_classes(spark, sf_dir), decisions)
     return out.select("doc_id", "span_id", "final_label", F.array_join("final_embedded", ",").alias("embedded"), "ambiguous")
 
 
+def rows_of(**given: Column) -> Column:
+    """A row of an extraction with these fields, the others null."""
+    kinds = {c: "array<string>" if c in ("tags", "conditions") else "string" for c in rulings.EDITED}
+    return F.struct(*(given.get(c, F.lit(None).cast(kind)).alias(c) for c, kind in kinds.items()))
+
+
 def decided_downgrades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending classes after confirmations and extractions, some of which do not count."""
     waiting = annotate.mark_pending(bare_classes(spark, sf_dir), said(spark, sf_dir))
     decisions = table(spark, sf_dir, "orders").selectExpr(
-        "concat('S', o_orderkey) AS span_id", "1 AS seq", "CASE WHEN o_orderkey % 5 < 2 THEN 'confirm' ELSE 'extract' END AS decision", "CASE o_orderkey % 5 WHEN 0 THEN 'administrative' WHEN 1 THEN 'requirement_bearing' END AS label",
+        "o_custkey % 20 AS doc_id", "concat('S', o_orderkey) AS span_id", "1 AS seq", "CASE WHEN o_orderkey % 5 < 2 THEN 'confirm_downgrade' ELSE 'extract' END AS decision", "CASE o_orderkey % 5 WHEN 0 THEN 'administrative' WHEN 1 THEN 'requirement_bearing' END AS final_label",
         f"CASE o_orderkey % 5 WHEN 2 THEN array('that order', 'as of old.') WHEN 3 THEN array('that order', 'absent') ELSE {NOTHING} END AS quotes", "o_orderkey % 5 AS k",
-    ).filter("k < 4").drop("k")
-    out, made = decide.adjudicate_downgrades(waiting, spans(spark, sf_dir), decisions)
+    ).filter("k < 4").withColumn("rows", F.transform("quotes", lambda q: rows_of(verbatim_quote=q))).drop("k", "quotes")
+    out, made, _ = rulings.rule_downgrades(waiting, spans(spark, sf_dir), said(spark, sf_dir).filter("false"), decisions)
     n = made.groupBy("doc_id", F.col("source_span_id").alias("span_id")).agg(F.count(F.lit(1)).alias("n_made"))
     t = out.join(n, ["doc_id", "span_id"], "left")
     return t.select("doc_id", "span_id", "final_label", F.array_join("final_embedded", ",").alias("embedded"), "downgrade_pending", F.coalesce("n_made", F.lit(0)).cast("bigint").alias("n_made"))
@@ -65,7 +72,8 @@ def dropped_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left per document once the statements of every eighth order are dropped: edges, their last number, spans that wait."""
     before = said(spark, sf_dir)
     edges = before.selectExpr("doc_id", "at AS seq", "'E' AS rel_id", "req_id AS src", "concat('R', l_orderkey, '.', rn + 1) AS dst")
-    classes, kept = decide.after_drops(bare_classes(spark, sf_dir), before, before.filter("l_orderkey % 8 <> 3"), edges)
+    drops = before.filter("l_orderkey % 8 = 3").selectExpr("doc_id", "req_id", "at AS seq", "'drop' AS decision", "CAST(NULL AS STRING) AS rationale")
+    classes, kept = rulings.after_drops(bare_classes(spark, sf_dir), before, before.filter("l_orderkey % 8 <> 3"), edges, drops)
     waits = classes.filter("downgrade_pending").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pending"))
     return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_edges"), F.max(F.struct(F.length("rel_id"), "rel_id"))["rel_id"].alias("last_id")).join(waits, "doc_id", "left").na.fill(0)
 
@@ -155,8 +163,8 @@ SQL = {
     "promoted_classes": f"WITH {SIGNALLED_SQL} SELECT doc_id, span_id, final_label, CASE WHEN embedded OR hit AND o % 9 <> 0 AND o % 2 = 0 THEN 'requirement_bearing' ELSE '' END AS embedded, ambiguous OR (hit AND o % 9 <> 0 AND o % 2 = 0) AS ambiguous FROM hit",
     "decided_classes": f"""WITH {CATALOG_SQL}, d AS (SELECT *, CASE WHEN pos % 4 > 0 THEN ['definition', 'requirement_bearing', 'administrative'][(pos + pos % 4) % 3 + 1] END AS told FROM classes)
       SELECT doc_id, span_id, coalesce(told, final_label) AS final_label, CASE WHEN coalesce(told, '') = embedded THEN '' ELSE embedded END AS embedded, ambiguous AND told IS NULL AS ambiguous FROM d""",
-    "decided_downgrades": f"""WITH {CATALOG_SQL} SELECT doc_id, span_id, CASE WHEN pending AND pos % 5 = 0 AND final_label = 'requirement_bearing' THEN 'administrative' ELSE final_label END AS final_label, CASE WHEN pending AND pos % 5 = 0 THEN '' ELSE embedded END AS embedded,
-      pending AND pos % 5 NOT IN (0, 2) AS downgrade_pending, CAST(CASE WHEN pending AND pos % 5 = 2 THEN 2 ELSE 0 END AS BIGINT) AS n_made FROM classes""",
+    "decided_downgrades": f"""WITH {CATALOG_SQL}, held AS (SELECT *, pending AND (pos % 5 = 0 OR pos % 5 = 1 AND final_label <> 'requirement_bearing') AS confirmed FROM classes) SELECT doc_id, span_id, CASE WHEN pending AND pos % 5 = 0 AND final_label = 'requirement_bearing' THEN 'administrative' ELSE final_label END AS final_label, CASE WHEN confirmed THEN '' ELSE embedded END AS embedded,
+      pending AND NOT confirmed AND pos % 5 <> 2 AS downgrade_pending, CAST(CASE WHEN pending AND pos % 5 = 2 THEN 2 ELSE 0 END AS BIGINT) AS n_made FROM held""",
     "dropped_statements": f"""{BARE}, k AS (SELECT s.doc_id, count(*) AS n FROM said s JOIN said t ON t.l_orderkey = s.l_orderkey AND t.rn = s.rn + 1 WHERE s.l_orderkey % 8 <> 3 GROUP BY s.doc_id), w AS (SELECT doc_id, count(*) AS n_pending FROM classes WHERE bears AND pos % 8 = 3 AND span_id IN (SELECT span_id FROM held) GROUP BY doc_id)
       SELECT doc_id, n AS n_edges, 'E' || lpad(CAST(n AS VARCHAR), CAST(greatest(4, length(CAST(n AS VARCHAR))) AS INTEGER), '0') AS last_id, coalesce(n_pending, 0) AS n_pending FROM k LEFT JOIN w USING (doc_id)""",
     "final_status": f"""WITH {CATALOG_SQL} SELECT DISTINCT doc_id, CASE WHEN doc_id % 3 <> 0 AND NOT (doc_id % 4 = 0 AND doc_id IN (SELECT doc_id FROM classes WHERE ambiguous)) AND NOT (doc_id % 7 = 0 AND doc_id IN (SELECT doc_id FROM said WHERE ambiguous)) THEN 'completed' ELSE 'in_progress' END AS status FROM spans""",

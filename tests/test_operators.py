@@ -172,11 +172,6 @@ def test_parent_chains_end_on_cycles(spark):
     assert out["a"] == "(top-level)" and out["b"] == "A" and out["c"] == "A > B" and out["o"] == "(top-level)"
 
 
-def test_drop_is_final(spark):
-    d = spark.createDataFrame([("E1", 1, "drop"), ("E1", 2, "edit"), ("E2", 1, "edit"), ("E2", 2, "keep")], "rel_id string, seq int, decision string")
-    assert {r.rel_id: r.decision for r in annotate.last_decisions(d, "rel_id").collect()} == {"E1": "drop", "E2": "keep"}
-
-
 def test_cross_refs(spark):
     spans = spark.createDataFrame([(1, 1, "A", "section_header", "50.2", [], "§ 50.2 X"), (1, 2, "B", "paragraph", "50.2", ["a"], "(a) t"), (2, 1, "C", "paragraph", "60.1", ["a"], "see § 50.2(a)(9) and § 50.2(a)(9), § 60.1, part 50, part 77, part 77, §§ 50.2 through 50.9, 21 CFR 50.2")], "doc_id int, seq int, span_id string, kind string, section string, path array<string>, text string")
     parts = spark.createDataFrame([("50", 1), ("60", 2)], "part string, doc_id int")
