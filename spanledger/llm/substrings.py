@@ -71,7 +71,7 @@ class Block:
     starts: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        n, size = len(self.words), self.window // 2
+        n, size = len(self.words), (self.window + 1) // 2
         half = np.zeros(max(n - size + 1, 0), np.uint64)
         for j in range(size):
             half = mixed(half * ODD + self.words[j : j + len(half)])
@@ -85,12 +85,12 @@ class Block:
 
     def standing(self) -> np.ndarray:
         """For each window that fits, the least hash of the half windows in it."""
-        return sliding(self.half, self.window - self.window // 2 + 1, np.minimum)[self.starts]
+        return sliding(self.half, self.window // 2 + 1, np.minimum)[self.starts]
 
     def halves(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct hashes that stand for a window, sorted, and which of them this block has at two places."""
         least = self.standing()
-        spread = self.window - self.window // 2 + 1
+        spread = self.window // 2 + 1
         held = np.zeros(len(self.half) + spread, np.uint64)
         held[self.starts + spread - 1] = least  # no window: 0, which no least hash of a place exceeds
         chosen = np.flatnonzero(sliding(held, spread, np.maximum)[: len(self.half)] == self.half)
@@ -178,7 +178,7 @@ def whole_level(block: Block, halves: np.ndarray) -> Level:
     """The windows whose half window is repeated. halves: of the distinct half windows."""
     values, _ = block.halves()
     at = block.starts[halves[np.searchsorted(values, block.standing())]]
-    size = block.window // 2
+    size = (block.window + 1) // 2
     a, b = block.half[at], block.half[at + block.window - size]
     return level_of(block, at, mixed(mixed(a * ODD + np.uint64(1)) + b), (mixed(mixed(b * ODD + np.uint64(2)) + a) >> np.uint64(32)).astype(np.uint32))
 
