@@ -167,8 +167,21 @@ def repair_json(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(unfence(c), r'(":\s*"[^"]*")\]', "$1"), r",(\s*[}\]])", "$1")
 
 
+# What a refusal for a wrong key says, what stands in its place, and keys inside messages.
+KEY_REFUSED = ("invalid_api_key", "Incorrect API key provided")
+KEY_PATTERNS = ((r"sk-[A-Za-z0-9_-]{8,}", "sk-[redacted]"), (r"(?i)(api[_ -]?key[^:]*:\s*)[^,}\n]+", "$1[redacted]"))
+MESSAGE_CHARS = 1000
+#: Our own, beside those: tokens and authorization headers.
+TOKEN_PATTERN = (r"(?i)((?:api[_-]?key|token|authorization|bearer)[\"':=\s]+)[A-Za-z0-9._-]{8,}", "$1[redacted]")
+
+
 def redact_keys(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?i)((?:api[_-]?key|token|authorization|bearer)[\"':=\s]+)[A-Za-z0-9._-]{8,}", "$1[redacted]")
+    """A message without keys, at most MESSAGE_CHARS long; a refusal for a wrong key is named, and nothing of it kept."""
+    out = c
+    for rx, told in (*KEY_PATTERNS, TOKEN_PATTERN):
+        out = F.regexp_replace(out, rx, told)
+    refused = F.contains(c, F.lit(KEY_REFUSED[0])) | F.contains(c, F.lit(KEY_REFUSED[1]))
+    return F.when(refused, KEY_REFUSED[0]).otherwise(F.substring(out, 1, MESSAGE_CHARS))
 
 
 def roman(n: Column) -> Column:

@@ -79,39 +79,134 @@ def closed(core: DataFrame) -> DataFrame:
 
 #: Edges of a core up to which paths are doubled; a core has at most as many nodes.
 DOUBLED = 1000
+#: Edges down to which nodes with one way out are merged.
+MERGED = 64
 
 
-def cycle_edges(edges: DataFrame, rounds: int = 10_000) -> DataFrame:
-    """Edges (src, dst) that lie on a cycle, loops included: those inside a strongly connected part.
-
-    What cannot lie on a cycle is peeled off. A small rest is closed by doubling. Of a large one, every node takes the greatest node that reaches it; those of a
-    colour that also reach the colour's own node form a part with it and leave, until nothing is left. A round moves one
-    row per edge and no pairs of nodes are made; there are as many rounds as the longest shortest path.
-    """
-    all_edges = edges.select("src", "dst").distinct()
-    core, found = peeled(cut(all_edges), 64), []
+def knotted(core: DataFrame, rounds: int) -> DataFrame:
+    """Edges (src, dst) of a core that lie on a cycle, loops left out. A small core is closed by doubling. Of a large one,
+    every node takes the greatest node that reaches it; those of a colour that also reach the colour's own node form a
+    part with it and leave, until nothing is left: a row per edge and round, as many rounds as the longest shortest path."""
+    found, every = [], core
     while n := core.count():
         if n <= DOUBLED:
             found.append(closed(core))
             break
         nodes = core.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
         colours = spread(nodes.withColumn("colour", F.col("node")), core, rounds)
-        same = core.join(colours.select(F.col("node").alias("src"), "colour"), "src").join(colours.select(F.col("node").alias("dst"), F.col("colour").alias("other")), "dst").filter("colour = other").select("src", "dst", "colour")
-        same = cut(same)
+        end = lambda c, colour: colours.select(F.col("node").alias(c), F.col("colour").alias(colour))
+        same = core.join(end("src", "colour"), "src").join(end("dst", "other"), "dst").filter("colour = other")
+        same = cut(same.select("src", "dst", "colour"))
         # backwards from the colour's own node, within the colour
         back = same.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
         roots = same.select(F.col("colour").alias("node")).distinct().withColumn("colour", F.lit(1))
-        reach = spread(roots, back, rounds).select("node")
-        whole = cut(same.join(reach.select(F.col("node").alias("src")), "src", "left_semi").join(reach.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst"))
-        found.append(whole)
-        gone = reach
-        core = peeled(cut(core.join(gone.select(F.col("node").alias("src")), "src", "left_anti").join(gone.select(F.col("node").alias("dst")), "dst", "left_anti")), 64)
-    out = all_edges.limit(0)
+        gone = spread(roots, back, rounds).select("node")
+        inside = lambda df, how: df.join(gone.withColumnRenamed("node", "src"), "src", how).join(gone.withColumnRenamed("node", "dst"), "dst", how)  # noqa: E731, B023
+        found.append(cut(inside(same, "left_semi").select("src", "dst")))
+        core = peeled(cut(inside(core, "left_anti").select("src", "dst")), 64)
+    out = every.limit(0)
     for part in found:
         out = out.unionByName(part)
     return out
 
 
+def merged(edges: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """One round of contraction of edges (id, src, dst): nodes all of whose edges lead to one other node, and whose coin
+    says so, merge into it. Returns the nodes (node, into) and the edges left, among them loops."""
+    coin = lambda c: F.pmod(F.xxhash64(c, F.lit(turn)), F.lit(2)) == 0
+    only = edges.groupBy("src").agg(F.min("dst").alias("into"), F.max("dst").alias("other"))
+    only = only.filter((F.col("into") == F.col("other")) & (F.col("into") != F.col("src")) & coin("src") & ~coin("into"))
+    nodes = cut(only.select(F.col("src").alias("node"), "into"))
+    left = edges.join(nodes.select(F.col("node").alias("src")), "src", "left_anti")
+    left = left.join(nodes.select(F.col("node").alias("dst"), "into"), "dst", "left")
+    return nodes, cut(left.select("id", "src", F.coalesce("into", "dst").alias("dst")))
+
+
+def cycle_edges(edges: DataFrame, rounds: int = 10_000, turns: int = 200) -> DataFrame:
+    """Edges (src, dst) that lie on a cycle, loops included: those inside a strongly connected part.
+
+    What cannot lie on a cycle is peeled off. While the rest is large, nodes with one way out merge into where it leads:
+    an edge to such a node lies on a cycle just if it does so afterwards, and the node's own edge if any edge to it does.
+    So long rings shrink by a share each round. What has no such nodes goes to knotted; then the merges are undone.
+    """
+    all_edges = edges.select("src", "dst").distinct()
+    loops = all_edges.filter("src = dst")
+    core = peeled(cut(all_edges.filter("src <> dst")), 64).withColumn("id", F.struct("src", "dst"))
+    steps, on, n = [], [], core.count()
+    for turn in range(turns):
+        if n <= MERGED:
+            break
+        nodes, left = merged(core, turn)
+        if nodes.count() < n // 100:
+            break
+        steps.append((core, nodes))
+        on.append(left.filter("src = dst").select("id"))
+        core = left.filter("src <> dst")
+        n = core.count()
+    now = knotted(cut(core.select("src", "dst").distinct()), rounds)
+    known = core.join(now, ["src", "dst"], "left_semi").select("id")
+    for part in on:
+        known = known.unionByName(part)
+    for before, nodes in reversed(steps):
+        into = before.join(known, "id", "left_semi").select(F.col("dst").alias("node")).distinct()
+        back = before.join(nodes.join(into, "node", "left_semi").select(F.col("node").alias("src")), "src", "left_semi")
+        known = cut(known.unionByName(back.select("id")))
+    return loops.unionByName(known.distinct().select("id.src", "id.dst"))
+
+
+def joined_parts(edges: DataFrame, rounds: int = 100) -> DataFrame:
+    """node, part: the least node of its connected part, whatever the direction of edges (src, dst).
+
+    Each round, every node and the node that it points to take the least node that a neighbour's pointer points to, and
+    pointers are doubled; parts that are long need few more rounds than short ones.
+    """
+    both = cut(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
+    state = cut(both.select(F.col("src").alias("node")).distinct().withColumn("part", F.col("node")))
+    for _ in range(rounds):
+        far = state.alias("a").join(state.alias("b"), F.col("a.part") == F.col("b.node")).select("a.node", "a.part", F.col("b.part").alias("far"))
+        near = both.join(far.select(F.col("node").alias("dst"), "far"), "dst").groupBy("src").agg(F.min("far").alias("far"))
+        near = cut(near.join(state.withColumnRenamed("node", "src"), "src").select("src", "part", "far"))
+        told = near.select(F.col("src").alias("node"), "far").union(near.select("part", "far")).union(far.select("node", "far"))
+        new = cut(told.groupBy("node").agg(F.min("far").alias("part")))
+        if not new.join(state, ["node", "part"], "left_anti").head(1):
+            return new
+        state = new
+    raise RuntimeError(f"parts did not settle in {rounds} rounds")
+
+
+def cycle_paths(edges: DataFrame) -> DataFrame:
+    """cycle, at, node: of each strongly connected part of edges (src, dst) one cycle, from its least node on.
+
+    Every node leads on to its least neighbour within the part; the cycle is the one that the part's least node comes to.
+    Steps double each round, so a ring of n nodes takes about twice log2(n) joins; a cycle is as many rows as nodes.
+    """
+    on = cut(cycle_edges(edges))
+    parts = joined_parts(on)
+    step = cut(on.groupBy("src").agg(F.min("dst").alias("dst")))
+    longest = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    here = parts.select("part", F.col("part").alias("node")).distinct()
+    jumps = []
+    for _ in range(longest.bit_length()):  # 1 + 2 + 4 ... steps are as many as there are nodes
+        jumps.append(step)
+        here = cut(here.join(step, F.col("node") == F.col("src")).select("part", F.col("dst").alias("node")))
+        far = step.select(F.col("src").alias("dst"), F.col("dst").alias("far"))
+        step = cut(step.join(far, "dst").select("src", F.col("far").alias("dst")))
+    met = here.withColumn("at", F.lit(0).cast("bigint"))
+    for k, jump in enumerate(jumps):
+        more = met.join(jump, F.col("node") == F.col("src")).select("part", F.col("dst").alias("node"), (F.col("at") + (1 << k)).alias("at"))
+        met = cut(met.unionByName(more).groupBy("part", "node").agg(F.min("at").alias("at")))
+    low = met.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "at")).alias("low"))
+    t = met.join(low, "part")
+    return t.select(F.col("low.node").alias("cycle"), F.pmod(F.col("at") - F.col("low.at"), F.col("n")).alias("at"), "node")
+
+
+def document_cycles(edges: DataFrame, kinds: tuple[str, ...] = ("refines", "composed_of")) -> DataFrame:
+    """doc_id, type, cycle, at, node: a cycle of every strongly connected part of each document's edges of a kind."""
+    node = lambda c: F.struct("doc_id", "type", F.col(c).alias("id")).alias(c)
+    paths = cycle_paths(edges.filter(F.col("type").isin(*kinds)).select(node("src"), node("dst")))
+    return paths.select("node.doc_id", "node.type", F.col("cycle.id").alias("cycle"), "at", F.col("node.id").alias("node"))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Ends the lineage by a checkpoint in the folder of spark.checkpoint.dir. Where none is set, a temporary one is set in local mode alone: on a cluster, executors would not share it."""
     import tempfile

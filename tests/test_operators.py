@@ -97,6 +97,12 @@ def test_scalars(spark):
     assert column(spark, 'x ```json\n{"a": 1,}\n```', text.repair_json) == 'x ```json\n{"a": 1}\n```'
     assert column(spark, '```json\n{"a": [1,],}\n```', text.repair_json) == '{"a": [1]}'
     assert column(spark, "token: abcdefgh123", text.redact_keys) == "token: [redacted]"
+    assert column(spark, "Incorrect API key provided: sk-abcdefgh12345678.", text.redact_keys) == "invalid_api_key"
+    assert column(spark, "code invalid_api_key, sk-abcdefgh1", text.redact_keys) == "invalid_api_key"
+    assert column(spark, "bad sk-abcdefgh_-1, sk-short", text.redact_keys) == "bad sk-[redacted], sk-short"
+    assert column(spark, "{API key used here: ab c, x}", text.redact_keys) == "{API key used here: [redacted], x}"
+    assert column(spark, "{'error': {'api_key': 'q w', 'n': 1}}", text.redact_keys) == "{'error': {'api_key': [redacted], 'n': 1}}"
+    assert column(spark, "x" * 3000, text.redact_keys) == "x" * 1000
     dense = "x" * 160 + " " * 240
     assert column(spark, dense, text.is_degenerate) and not column(spark, dense[:-1], text.is_degenerate) and not column(spark, ("x" * 8 + " " * 12) * 20, text.is_degenerate)
 
