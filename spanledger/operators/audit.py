@@ -102,3 +102,26 @@ def highlight_depth(ranges: DataFrame) -> DataFrame:
     events = ranges.select("doc_id", F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))).alias("e"))
     changes = events.groupBy("doc_id", F.col("e.at").alias("at")).agg(F.sum("e.d").alias("d"))
     return changes.withColumn("depth", F.sum("d").over(by_doc("at").rowsBetween(Window.unboundedPreceding, 0))).select("doc_id", "at", "depth")
+
+
+def active_segments(ranges: DataFrame, lengths: DataFrame) -> DataFrame:
+    """doc_id, start, end, ids, anchor: the pieces into which the ends of ranges (doc_id, start, end, id) cut each text of
+    lengths (doc_id, length), with the sorted ids open over each piece; anchor is the least of them, null where none is.
+
+    Cut points are numbered by one window per document; a range then is a run of piece numbers, exploded, so that what is
+    collected is the ids of one piece alone, never a document's events. Ranges beyond the text are clipped; empty ones cut
+    but open nothing; equal ids count once.
+    """
+    held = ranges.join(lengths, "doc_id")
+    points = held.select("doc_id", "length", F.explode(F.array("start", "end")).alias("at")).filter("at >= 0 AND at <= length").select("doc_id", "at")
+    points = points.union(lengths.select("doc_id", F.explode(F.array(F.lit(0).cast("bigint"), F.col("length").cast("bigint"))).alias("at"))).distinct()
+    w = by_doc("at")
+    numbered = points.withColumn("no", F.row_number().over(w)).withColumn("next", F.lead("at").over(w))
+    at = lambda c, name: numbered.select("doc_id", F.col("at").alias(c), F.col("no").alias(name))
+    clipped = held.select("doc_id", "id", F.greatest("start", F.lit(0)).alias("start"), F.least("end", "length").alias("end")).filter("start < end")
+    runs = clipped.join(at("start", "first"), ["doc_id", "start"]).join(at("end", "last"), ["doc_id", "end"])
+    open_ = runs.select("doc_id", "id", F.explode(F.sequence("first", F.col("last") - 1)).alias("no"))
+    ids = open_.groupBy("doc_id", "no").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+    t = numbered.filter("next IS NOT NULL").join(ids, ["doc_id", "no"], "left")
+    ids = F.coalesce("ids", F.array().cast(ids.schema["ids"].dataType))
+    return t.select("doc_id", F.col("at").alias("start"), F.col("next").alias("end"), ids.alias("ids")).withColumn("anchor", F.get("ids", 0))

@@ -79,9 +79,6 @@ def closed(core: DataFrame) -> DataFrame:
 
 #: Edges of a core up to which paths are doubled; a core has at most as many nodes.
 DOUBLED = 1000
-#: Edges down to which nodes with one way out are merged.
-MERGED = 64
-
 
 def knotted(core: DataFrame, rounds: int) -> DataFrame:
     """Edges (src, dst) of a core that lie on a cycle, loops left out. A small core is closed by doubling. Of a large one,
@@ -134,7 +131,7 @@ def cycle_edges(edges: DataFrame, rounds: int = 10_000, turns: int = 200) -> Dat
     core = peeled(cut(all_edges.filter("src <> dst")), 64).withColumn("id", F.struct("src", "dst"))
     steps, on, n = [], [], core.count()
     for turn in range(turns):
-        if n <= MERGED:
+        if n <= DOUBLED:
             break
         nodes, left = merged(core, turn)
         if nodes.count() < n // 100:
@@ -207,8 +204,8 @@ def document_cycles(edges: DataFrame, kinds: tuple[str, ...] = ("refines", "comp
     return paths.select("node.doc_id", "node.type", F.col("cycle.id").alias("cycle"), "at", F.col("node.id").alias("node"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Ends the lineage by a checkpoint in the folder of spark.checkpoint.dir. Where none is set, a temporary one is set in local mode alone: on a cluster, executors would not share it."""
+def shared_folder(df: DataFrame) -> str:
+    """The folder of spark.checkpoint.dir. Where none is set, a temporary one is set in local mode alone: on a cluster, executors would not share it."""
     import tempfile
 
     sc = df.sparkSession.sparkContext
@@ -217,9 +214,24 @@ def cut(df: DataFrame) -> DataFrame:
         if not named and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Ends the lineage by a checkpoint in the shared folder."""
+    shared_folder(df)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df as Parquet beside the checkpoints: for wide rows that are read again by few columns."""
+    import uuid
+
+    path = f"{shared_folder(df)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def mark_cycles(edges: DataFrame, kinds: tuple[str, ...] = ("refines", "composed_of"), note: str = " [cycle]") -> DataFrame:
     """edges (src, dst, type, evidence, ambiguous) with those on a cycle of their kind ambiguous and noted, once however often it runs. Where the edges name a document, ids hold within it."""
     keys, out = within(edges), edges

@@ -93,3 +93,34 @@ def repeated_lines(lines: DataFrame, least: int = 3) -> DataFrame:
     """line, n_docs, n_lines of lines that stand in so many documents."""
     pairs = lines.groupBy("line", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     return pairs.groupBy("line").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_lines")).filter(F.col("n_docs") >= least)
+
+
+def lead_bytes(c: Column) -> Column:
+    """How many characters start in some bytes of UTF-8: all bytes but those that go on with one."""
+    return F.length(F.regexp_replace(F.hex(c), "[89AB].|(.).", "$1"))
+
+
+#: Bytes of text between two entries of the index.
+PIECE = 256
+
+
+def byte_index(lines: DataFrame) -> DataFrame:
+    """doc_id, byte_start, char_start, piece: every PIECE bytes of each line, its line feed included, with the characters that start before them."""
+    whole = with_offsets(lines).withColumn("bytes", F.concat("line", F.lit("\n")).cast("binary"))
+    at = whole.select("doc_id", "byte_start", "bytes", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - 1, F.lit(PIECE))).alias("from"))
+    piece = at.select("doc_id", (F.col("byte_start") + F.col("from")).alias("byte_start"), F.substring("bytes", F.col("from") + 1, F.lit(PIECE)).alias("piece"))
+    w = by_doc("byte_start").rowsBetween(Window.unboundedPreceding, -1)
+    return piece.withColumn("char_start", F.coalesce(F.sum(lead_bytes(F.col("piece"))).over(w), F.lit(0)))
+
+
+def chars_at(offsets: DataFrame, lines: DataFrame) -> DataFrame:
+    """offsets (doc_id, at, ...) with the number of the character that holds byte at, from 0; at the text's end the number of its characters, null beyond. An as-of merge with the index: work grows with bytes plus offsets, however long a line is."""
+    index = byte_index(lines).select("doc_id", F.col("byte_start").alias("at"), F.lit(0).alias("side"), F.struct("byte_start", "char_start", "piece").alias("entry"))
+    w = by_doc("at", "side").rowsBetween(Window.unboundedPreceding, 0)
+    both = index.unionByName(offsets.withColumn("side", F.lit(1)), allowMissingColumns=True)
+    asked = both.withColumn("entry", F.last("entry", True).over(w)).filter("side = 1")
+    inside = F.col("at") - F.col("entry.byte_start")
+    size = F.octet_length("entry.piece")
+    here = lead_bytes(F.substring("entry.piece", F.lit(1), (inside + 1).cast("int"))) - 1
+    char = F.when(inside < size, F.col("entry.char_start") + here).when(inside == size, F.col("entry.char_start") + lead_bytes(F.col("entry.piece")))
+    return asked.withColumn("char", char).select(*offsets.columns, "char")

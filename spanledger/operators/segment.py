@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from spanledger.functions import rules
 from spanledger.functions.text import from_roman, trim_unicode
 
-from .graph import cut
+from .graph import cut, stored
 from .lines import after, before, by_doc, is_blank, with_offsets
 
 
-def close_spans(starts: DataFrame, lines: DataFrame, pin_first: bool, keep_line: bool = False) -> DataFrame:
+def close_spans(starts: DataFrame, lines: DataFrame, pin_first: bool) -> DataFrame:
     """Spans from rows that open one (doc_id, line_no, byte_start, ...): each ends where the next starts, the last at the end.
 
     pin_first moves the first span to byte 0; without it, text before the first span stays a gap.
@@ -24,7 +24,7 @@ def close_spans(starts: DataFrame, lines: DataFrame, pin_first: bool, keep_line:
         numbered = numbered.withColumn("byte_start", F.when(F.col("seq") == 1, F.lit(0).cast("bigint")).otherwise(F.col("byte_start")))
     spans = numbered.join(total, "doc_id").withColumn("byte_end", F.coalesce(F.lead("byte_start").over(w), F.col("byte_count")))
     spans = spans.withColumn("span_id", F.format_string("S%04d", "seq")).drop("byte_count")
-    return spans if keep_line else spans.drop("line_no")
+    return spans.drop("line_no")
 
 
 def line_spans(lines: DataFrame) -> DataFrame:
@@ -161,13 +161,15 @@ def paragraph_paths(markers: DataFrame) -> DataFrame:
 
     A fold over the markers of a section keeps the open markers per level. A single letter that is also a roman digit
     is roman only if it goes on a roman list under an open number: the value after the last one, or i as the first. A
-    marker that is no numeral, as (iiii), does not count in that list.
+    marker that is no numeral, as (iiii), does not count in that list. A column named rest goes along, so that nobody
+    has to join the paths back.
     """
+    more = ["rest"] if "rest" in markers.columns else []
     m = F.col("marker")
     plain = F.when(m.rlike(r"^\d+$"), 2).when(m.rlike("^[A-Z]$"), 4).when(m.rlike("^[ivxlcdm]{2,}$"), 3).when(m.rlike("^[ivxlcdm]$"), 0).otherwise(1)
     told = markers.withColumn("value", F.when(plain.isin(0, 3), F.coalesce(from_roman(m), F.lit(0))).otherwise(0)).withColumn("plain", plain)
-    rows = told.groupBy("doc_id", "section_line").agg(F.array_sort(F.collect_list(F.struct("line_no", "marker", "value", "plain"))).alias("rows"))
-    kind = "struct<line_no:int,level:int,path:array<string>,parent_line:int>"
+    rows = told.groupBy("doc_id", "section_line").agg(F.array_sort(F.collect_list(F.struct("line_no", "marker", "value", "plain", *more))).alias("rows"))
+    kind = "struct<line_no:int,level:int,path:array<string>,parent_line:int" + "".join(f",{c}:{markers.schema[c].dataType.simpleString()}" for c in more) + ">"
     none = F.lit(None).cast("struct<line:int,marker:string>")
     start = F.struct(F.array().cast(f"array<{kind}>").alias("out"), none.alias("l1"), none.alias("l2"), none.alias("l3"), F.lit(0).alias("roman"), F.lit(0).alias("deep"))
 
@@ -178,7 +180,7 @@ def paragraph_paths(markers: DataFrame) -> DataFrame:
         l3 = F.when(level <= 2, none).when(level == 3, m).otherwise(s["l3"])
         roman = F.when(level <= 2, 0).when((level == 3) & (x["value"] > 0), x["value"]).otherwise(s["roman"])
         above = F.coalesce(F.when(level > 3, l3["line"]), F.when(level > 2, l2["line"]), F.when(level > 1, l1["line"]))
-        row = F.struct(m["line"].alias("line_no"), level.alias("level"), F.array_compact(F.array(l1["marker"], l2["marker"], l3["marker"], F.when(level == 4, x["marker"]))).alias("path"), above.alias("parent_line"))
+        row = F.struct(m["line"].alias("line_no"), level.alias("level"), F.array_compact(F.array(l1["marker"], l2["marker"], l3["marker"], F.when(level == 4, x["marker"]))).alias("path"), above.alias("parent_line"), *(x[c].alias(c) for c in more))
         return F.struct(F.array_append(s["out"], row).alias("out"), l1.alias("l1"), l2.alias("l2"), l3.alias("l3"), roman.alias("roman"), level.alias("deep"))
 
     def step(s: Column, x: Column) -> Column:
@@ -187,17 +189,42 @@ def paragraph_paths(markers: DataFrame) -> DataFrame:
         return F.get(F.transform(F.array(level), lambda lv: opened(s, x, lv)), 0)  # binds the level once
 
     folded = rows.select("doc_id", "section_line", F.explode(F.aggregate("rows", start, step, lambda s: s["out"])).alias("r"))
-    return folded.select("doc_id", "section_line", "r.line_no", "r.level", "r.path", "r.parent_line")
+    return folded.select("doc_id", "section_line", "r.line_no", "r.level", "r.path", "r.parent_line", *(f"r.{c}" for c in more))
 
 
 def render_citation(section: Column, path: Column) -> Column:
     return F.concat(F.lit("§ "), section, F.array_join(F.transform(path, lambda p: F.concat(F.lit("("), p, F.lit(")"))), ""))
 
 
-def with_parents(spans: DataFrame) -> DataFrame:
-    """spans with parent_span_id in place of parent_line, the line on which the parent opens, and line_no."""
-    of = spans.select("doc_id", F.col("line_no").alias("parent_line"), F.col("span_id").alias("parent_span_id"))
-    return spans.join(of, ["doc_id", "parent_line"], "left").drop("parent_line", "line_no")
+def regulation_openings(lines: DataFrame, default_part: Column) -> DataFrame:
+    """The lines that open a span, with its number, kind and bytes and the numbers of the section and subpart above: one
+    shuffle by document, in which all windows share one order; other lines and most texts end here."""
+    at = in_force(regulation_lines(lines, default_part))
+    role, c, earlier = F.col("role"), F.col("class"), before("line_no")
+    at = at.withColumn("byte_count", F.max("byte_end").over(by_doc("line_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    marked = (role == "marker") & F.col("section_line").isNotNull()
+    last_marker = F.coalesce(F.last(F.when(marked, F.col("line_no")), True).over(earlier), F.lit(-1))
+    # prose before any paragraph opens a chapeau, again after a note, and goes on with one that is open
+    last_role = F.last(F.when(~role.isin("blank", "inside_note"), role), True).over(earlier)
+    chapeau = (role == "prose") & (last_marker <= F.col("section_line")) & (last_role != "prose")
+    plain = role.isin("document_title", "toc_entry", "part_header", "authority", "source_note", "subpart_header", "section_header")
+    at = at.withColumn("kind", F.when(plain, role).when(marked, "paragraph").when(chapeau, "section_chapeau")).filter("kind IS NOT NULL")
+    w = by_doc("line_no")
+    now, kind = w.rowsBetween(Window.unboundedPreceding, 0), F.col("kind")
+    at = at.withColumn("seq", F.row_number().over(w)).withColumn("byte_end", F.coalesce(F.lead("byte_start").over(w), F.col("byte_count")))
+    seen = lambda at_line, opener: F.when(F.col(at_line).isNotNull(), F.last(F.when(kind == opener, F.col("seq")), True).over(now))
+    text = F.col("text")
+    part = F.when(kind == "part_header", F.regexp_extract(text, rules.PART_HEADER, 1)).when(c == "part_toc", F.regexp_extract(text, rules.PART_TOC, 1))
+    return at.select(
+        "doc_id", "seq", "kind", "class", "home", "section", "subpart", "byte_start", "byte_end", F.coalesce("number", "section").alias("number"),
+        seen("section_line", "section_header").alias("section_seq"), seen("subpart_line", "subpart_header").alias("subpart_seq"),
+        F.when(kind == "paragraph", F.regexp_extract(text, MARKER, 1)).alias("marker"), part.alias("own_part"),
+        F.when(c == "subpart_toc", F.regexp_extract(text, rules.SUBPART_TOC, 1)).alias("toc_subpart"),
+        F.when(~kind.isin("paragraph", "section_chapeau", "section_header"), text).alias("text"),
+    )
+
+
+MARKER = r"^\(([a-z]|\d+|[ivxlcdm]+|[A-Z])\)"
 
 
 def regulation_spans(lines: DataFrame, default_part: Column, title: str = "21") -> DataFrame:
@@ -205,33 +232,28 @@ def regulation_spans(lines: DataFrame, default_part: Column, title: str = "21")
 
     cite is the citation record: title, part, section, paragraphs, subpart, raw. A paragraph's parent is the paragraph
     above it or the section header; chapeaus and amendment notes hang under the section, sections under the subpart.
+    Paragraphs are dealt by section for the fold of their markers and take their rows along; nothing is joined back.
     """
-    at = cut(in_force(regulation_lines(lines, default_part)))
-    marker = F.regexp_extract("text", r"^\(([a-z]|\d+|[ivxlcdm]+|[A-Z])\)", 1)
-    marked = at.filter((F.col("role") == "marker") & F.col("section_line").isNotNull()).select("doc_id", "section_line", "line_no", marker.alias("marker"))
-    at = at.join(paragraph_paths(marked).select("doc_id", "line_no", "level", "path", "parent_line"), ["doc_id", "line_no"], "left")
-    under = Window.partitionBy("doc_id", "section_line").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    role = F.col("role")
-    # prose before any paragraph opens a chapeau, again after a note, and goes on with one that is open
-    last_role = F.last(F.when(~role.isin("blank", "inside_note"), role), True).over(under)
-    chapeau = (role == "prose") & F.col("section_line").isNotNull() & (F.count("level").over(under) == 0) & (last_role != "prose")
-    at = at.withColumn("chapeau", chapeau)
-    kind = F.when(role.isin("document_title", "toc_entry", "part_header", "authority", "source_note", "subpart_header", "section_header"), role)
-    kind = kind.when(F.col("level").isNotNull(), "paragraph").when(F.col("chapeau"), "section_chapeau")
-    path = F.coalesce("path", F.array().cast("array<string>"))
-    starts = at.withColumn("kind", kind).filter(F.col("kind").isNotNull()).withColumn("path", path)
-    number, kind, c = F.coalesce("number", "section"), F.col("kind"), F.col("class")
-    amended, sectioned = c == "amended", kind.isin("section_header", "section_chapeau", "paragraph") | (kind == "toc_entry") & (c == "section")
-    parent = F.when(kind == "paragraph", F.coalesce("parent_line", "section_line")).when((kind == "section_chapeau") | amended, F.col("section_line")).when(sectioned, F.col("subpart_line"))
-    part = F.when(sectioned, F.coalesce(F.nullif(F.substring_index(number, ".", 1), F.lit("")), F.col("home"))).when(kind == "subpart_header", F.col("home"))
-    part = part.when(kind == "part_header", F.regexp_extract("text", rules.PART_HEADER, 1)).when(c == "part_toc", F.regexp_extract("text", rules.PART_TOC, 1))
+    at = stored(regulation_openings(lines, default_part))
+    none = F.array().cast("array<string>")
+    own = [c for c in at.columns if c not in ("doc_id", "marker")]
+    body = at.filter("kind = 'paragraph'").select("doc_id", F.col("section_seq").alias("section_line"), F.col("seq").alias("line_no"), "marker", F.struct(*own).alias("rest"))
+    folded = paragraph_paths(body).select("doc_id", "rest.*", "path", F.col("parent_line").alias("above"))
+    starts = at.filter("kind <> 'paragraph'").select("doc_id", *own, none.alias("path"), F.lit(None).cast("int").alias("above")).unionByName(folded)
+    number, kind, c = F.col("number"), F.col("kind"), F.col("class")
+    amended = c == "amended"
+    sectioned = kind.isin("section_header", "section_chapeau", "paragraph") | (kind == "toc_entry") & (c == "section")
+    parent = F.when(kind == "paragraph", F.coalesce("above", "section_seq")).when((kind == "section_chapeau") | amended, F.col("section_seq")).when(sectioned, F.col("subpart_seq"))
+    part = F.when(sectioned, F.coalesce(F.nullif(F.substring_index(number, ".", 1), F.lit("")), F.col("home"))).when(kind == "subpart_header", F.col("home")).otherwise(F.col("own_part"))
     raw = F.when(kind == "paragraph", render_citation(F.col("section"), F.col("path"))).when(kind == "section_chapeau", F.concat(F.lit("§ "), "section", F.lit(" chapeau"))).when(sectioned, F.concat(F.lit("§ "), number))
     raw = raw.when(amended, "amendment_note").when(kind == "subpart_header", F.concat(F.lit("Subpart "), "subpart")).when(kind == "part_header", F.concat(F.lit("PART "), part)).when(kind == "authority", "Authority").when(kind == "source_note", "Source").otherwise(F.col("text"))
-    toc_subpart = F.regexp_extract("text", rules.SUBPART_TOC, 1)
     cite = F.struct(
         F.when(sectioned | kind.isin("subpart_header", "part_header"), F.lit(title)).alias("title"), part.alias("part"), F.when(sectioned, number).when(amended, F.col("section")).alias("section"),
-        F.col("path").alias("paragraphs"), F.when(sectioned | (kind == "subpart_header"), F.col("subpart")).when(c == "subpart_toc", toc_subpart).alias("subpart"), raw.alias("raw"),
+        F.col("path").alias("paragraphs"), F.when(sectioned | (kind == "subpart_header"), F.col("subpart")).otherwise(F.col("toc_subpart")).alias("subpart"), raw.alias("raw"),
     )
     citation = F.coalesce(render_citation(number, F.col("path")), F.substring("text", 1, 60))
-    starts = starts.select("doc_id", "line_no", "byte_start", "kind", F.when(kind != "document_title", number).alias("section"), "subpart", "path", citation.alias("citation"), parent.alias("parent_line"), cite.alias("cite"))
-    return with_parents(close_spans(starts, at, pin_first=False, keep_line=True))
+    told = lambda n: F.when(n.isNotNull(), F.format_string("S%04d", n))
+    return starts.select(
+        "doc_id", "byte_start", "kind", F.when(kind != "document_title", number).alias("section"), "subpart", "path", citation.alias("citation"), cite.alias("cite"),
+        "seq", "byte_end", told(F.col("seq")).alias("span_id"), told(parent).alias("parent_span_id"),
+    )

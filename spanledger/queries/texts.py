@@ -137,9 +137,10 @@ def signal_hits_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def modal_in_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Modal hits by byte, dealt to the spans that hold them."""
-    raw = graph.cut(reg_lines(spark, sf_dir))
+    raw = graph.stored(reg_lines(spark, sf_dir))
     at = lines.with_offsets(raw)
-    spans = graph.cut(segment.regulation_spans(raw, F.col("doc_id") + 100))
+    openings = segment.regulation_openings(raw, F.col("doc_id") + 100)  # kinds and bytes alone, no citations
+    spans = openings.select("doc_id", F.format_string("S%04d", "seq").alias("span_id"), "kind", "byte_start", "byte_end")
     found = at.filter(F.col("line").rlike("shall|must|may")).select("doc_id", "byte_start", "line", F.explode(signals.positions(F.col("line"), r"\b(?:shall|must|may)\b")).alias("h"))
     hits = found.select("doc_id", (F.col("byte_start") + F.octet_length(F.substring("line", F.lit(1), F.col("h.start")))).alias("at"), F.col("h.matched_text").alias("verb"))
     held = audit.containing_span(hits, spans, "kind")

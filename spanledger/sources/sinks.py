@@ -40,6 +40,47 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/v={version}")
 
 
+class Conflict(RuntimeError):
+    """Somebody else published since the version that was read."""
+
+
+def current(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """Number and version of the last commit; 0 and none before the first."""
+    root = root.rstrip("/")
+    if not exists(spark, f"{root}/commits"):
+        return 0, None
+    rows = spark.read.schema("at BIGINT, version STRING").json(f"{root}/commits").orderBy(F.col("at").desc()).limit(1).collect()
+    return (rows[0]["at"], rows[0]["version"]) if rows else (0, None)
+
+
+def commit(tables: dict[str, DataFrame], root: str, version: str, read_at: int) -> None:
+    """Writes tables as one version and then commits it, all of them or none: readers see the old version up to the one
+    file that names the new one. read_at is the commit that the tables were made from; if there is a later one, Conflict is
+    raised and nothing changes. The file is created, never overwritten; where a store cannot refuse to overwrite, two
+    writers at the same moment are not told apart."""
+    root, spark = root.rstrip("/"), next(iter(tables.values())).sparkSession
+    for name, df in tables.items():
+        df.write.mode("errorifexists").parquet(f"{root}/v={version}/{name}")
+    if current(spark, root)[0] != read_at:
+        raise Conflict(f"{root} has moved on from commit {read_at}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/commits/{read_at + 1:012d}.json")
+    try:
+        out = path.getFileSystem(conf).create(path, False)
+    except Exception as e:
+        raise Conflict(f"{root} already has commit {read_at + 1}") from e
+    out.write(bytearray(f'{{"at": {read_at + 1}, "version": "{version}"}}\n'.encode()))
+    out.close()
+
+
+def read_commit(spark: SparkSession, root: str, *names: str) -> tuple[int, dict[str, DataFrame]]:
+    """Number and tables of the last commit."""
+    at, version = current(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"nothing is committed in {root}")
+    return at, {n: spark.read.parquet(f"{root.rstrip('/')}/v={version}/{n}") for n in names}
+
+
 def upsert(existing: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """existing with the rows of rows in place of those of the same key."""
     return existing.join(rows.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
