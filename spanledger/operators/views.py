@@ -36,6 +36,10 @@ def incoming_counts(edges: DataFrame) -> DataFrame:
     return counted.groupBy("dst").agg(F.array_join(F.transform(listed, lambda x: F.concat_ws(" ", x["n"].cast("string"), x["type"])), ", ").alias("told"))
 
 
+#: Ids that an index names of each tag.
+FEW = 20
+
+
 def rows_of(df: DataFrame, *lines: tuple[int, Column]) -> DataFrame:
     """doc_id, ord, line: numbered lines of each row of df (doc_id, at, ...), null ones left out; at orders the rows."""
     each = F.array_compact(F.array(*(F.when(line.isNotNull(), F.struct(F.lit(k).alias("k"), line.alias("line"))) for k, line in lines)))
