@@ -5,6 +5,8 @@ Stages only compose DataFrames; what several later stages read is cut once by a
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from spanledger.functions import rules, text
 from spanledger.operators import annotate, audit, graph, lines, segment
+from spanledger.sources import sinks
 
 
 class GateFailed(RuntimeError):
@@ -97,10 +100,20 @@ def relations(c: Corpus) -> Corpus:
 STAGES = (("boilerplate", boilerplate), ("segment", segmentation), ("classify", classification), ("audit", gate), ("relate", relations))
 
 
-def run(corpus: Corpus, only: tuple[str, ...] = (), strict: bool = True) -> Corpus:
-    """The stages in order, or those named."""
+def run(corpus: Corpus, only: tuple[str, ...] = (), strict: bool = True, log: str | None = None, run_id: str | None = None) -> Corpus:
+    """The stages in order, or those named. log names a table to which every stage adds a row when it ends, and when it fails: stage, status, seconds, tables made with their rows, error."""
+    run_id = run_id or uuid.uuid4().hex
     for name, stage in STAGES:
         if only and name not in only:
             continue
-        corpus = stage(corpus, strict) if stage is gate else stage(corpus)
+        began, before, error = time.monotonic(), set(corpus.made), None
+        try:
+            corpus = stage(corpus, strict) if stage is gate else stage(corpus)
+        except Exception as e:
+            error = f"{name}: {e}"
+            raise
+        finally:
+            if log:
+                made = {t: corpus.made[t].count() for t in sorted(set(corpus.made) - before)} if error is None else {}
+                sinks.append(sinks.run_row(corpus.pages.sparkSession, run_id, name, time.monotonic() - began, made, error), log)
     return corpus

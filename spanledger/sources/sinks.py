@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanledger.functions.text import redact_keys
+
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
@@ -86,6 +88,10 @@ def upsert(existing: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return existing.join(rows.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
-def run_row(spark: SparkSession, run_id: str, stages: list[str], error: str | None = None) -> DataFrame:
-    """One row of the run log, written on success and on failure."""
-    return spark.createDataFrame([(run_id, stages, error)], "run_id STRING, stages ARRAY<STRING>, error STRING").withColumn("at", F.current_timestamp())
+RUN_ROW = "run_id STRING, stage STRING, status STRING, seconds DOUBLE, tables MAP<STRING, BIGINT>, error STRING"
+
+
+def run_row(spark: SparkSession, run_id: str, stage: str, seconds: float, tables: dict[str, int], error: str | None = None) -> DataFrame:
+    """One row of the run log, for a stage that ended or failed; keys in the error are redacted."""
+    row = spark.createDataFrame([(run_id, stage, "failed" if error else "completed", float(seconds), tables, error)], RUN_ROW)
+    return row.withColumn("error", redact_keys(F.col("error"))).withColumn("at", F.current_timestamp())

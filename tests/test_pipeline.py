@@ -32,6 +32,15 @@ def test_gate_names_what_failed(spark):
         pipeline.run(corpus(spark, "not there"))
 
 
+def test_every_stage_leaves_a_row_also_when_it_fails(spark, tmp_path):
+    log = str(tmp_path / "log")
+    with pytest.raises(pipeline.GateFailed):
+        pipeline.run(corpus(spark, "not there"), only=("boilerplate", "segment", "classify", "audit"), log=log, run_id="r1")
+    rows = {r.stage: r for r in spark.read.parquet(log).collect()}
+    assert {s: r.status for s, r in rows.items()} == {"boilerplate": "completed", "segment": "completed", "classify": "completed", "audit": "failed"}
+    assert rows["segment"].tables["spans"] == 6 and rows["audit"].error.startswith("audit: fda/x: quote_failures=1") and {r.run_id for r in rows.values()} == {"r1"}
+
+
 def test_resume_works_each_key_once(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.range(5).write.parquet(src)
