@@ -288,13 +288,15 @@ def candidate_groups(nodes: DataFrame, scheme: Scheme) -> DataFrame:
 
 def exact_classes(docs: DataFrame, nodes: DataFrame, scheme: Scheme, *, id_col: str, text_col: str) -> DataFrame:
     """node, least_id: the least id of its class by confirmed links, for nodes that have one."""
-    members = nodes.select("node", "n", "rep").join(candidate_groups(nodes, scheme), "node")
+    members = checkpoint(nodes.select("node", "n", "rep").join(candidate_groups(nodes, scheme), "node"))
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("shingles"))
-    chunks = F.greatest(F.ceil(F.col("many") / GROUP_NODES), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("bigint")
-    members = checkpoint(members.join(sizes.select("root", chunks.alias("chunks")), "root"))
-    small = table_bound(members.select("root", "node", "chunks", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("text_key")))
+    heavy = F.when(F.col("shingles") > GROUP_SHINGLES, F.ceil(F.col("shingles") * 2 / GROUP_SHINGLES)).otherwise(1)
+    chunks = F.greatest(F.ceil(F.col("many") / GROUP_NODES), heavy).cast("bigint")
+    cut = table_bound(checkpoint(sizes.select("root", chunks.alias("chunks")).filter("chunks > 1")))  # roots of large groups are few but hot
+    members = checkpoint(members.join(cut, "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("bigint"))))
+    small = table_bound(members.select("root", "node", "n", "chunks", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("text_key")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
-    one = texts.join(small, (texts["id"].eqNullSafe(small["rep_id"])) & (texts["text_key"] == small["text_key"])).select("root", "node", "chunks", F.col("rep_id").alias("own"), "text")
+    one = texts.join(small, (texts["id"].eqNullSafe(small["rep_id"])) & (texts["text_key"] == small["text_key"])).select("root", "node", "n", "chunks", F.col("rep_id").alias("own"), "text")
     few = classes_of(one.filter(F.col("chunks") == 1).select("root", "node", "own", "text"), scheme, "root").select("node", "least_id")
     if not members.filter(F.col("chunks") > 1).head(1):
         return few
@@ -303,22 +305,32 @@ def exact_classes(docs: DataFrame, nodes: DataFrame, scheme: Scheme, *, id_col:
     return few.union(of.join(of.groupBy("root").agg(F.min("own").alias("least_id")), "root").select("node", "least_id"))
 
 
+def pivots_of(large: DataFrame) -> DataFrame:
+    """The rows of large that every chunk of their group gets: of a chunk's nodes about one in 46, and always the group's node of least hash, a light one where there is any."""
+    of = F.xxhash64("node", F.lit(1))
+    sure = large.groupBy("root").agg(F.min_by("node", F.struct(F.col("n") * 8 > GROUP_SHINGLES, of)).alias("node"))
+    sure = table_bound(checkpoint(sure.select("node", F.lit(True).alias("sure"))))
+    drawn = F.pmod(of, F.col("chunks") * max(1, GROUP_NODES // PIVOTS)) == 0
+    return large.join(sure, "node", "left").filter(drawn | F.col("sure")).drop("sure")
+
+
 def large_classes(rows: DataFrame, scheme: Scheme) -> DataFrame:
-    """node, root of groups (root, node, chunks, own, text) of more than one chunk: the chunks with the same few pivots each, then what did not join the largest part against every chunk."""
+    """node, root of groups (root, node, n, chunks, own, text) of more than one chunk: the chunks with the same few pivots each, then what did not join the largest part, in pieces of as many nodes and shingles, against every chunk."""
     numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))
     large = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-    pivots = large.filter(F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks") * max(1, GROUP_NODES // PIVOTS)) == 0).withColumn("chunk", numbers)
+    pivots = pivots_of(large).withColumn("chunk", numbers)
     first = large.unionByName(pivots).select("root", "node", "own", "text", "chunk")
     found = classes_of(first, scheme, "root", "chunk").select(F.col("node").alias("a"), F.col("root").alias("b"))
     parts = components(found).withColumnRenamed("root", "part")
     cut = checkpoint(large.drop("text", "own").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")))
-    counted = cut.groupBy("root", "part").agg(F.count(F.lit(1)).alias("many"))
-    main = counted.groupBy("root").agg(F.max_by("part", F.struct("many", "part")).alias("main"), F.sum("many").alias("all"), F.max("many").alias("most"))
-    pieces = F.ceil((F.col("all") - F.col("most")) / GROUP_NODES).cast("bigint")
-    main = checkpoint(main.filter(F.col("all") > F.col("most")).select("root", "main", pieces.alias("pieces")))
+    counted = cut.groupBy("root", "part").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("n"))
+    main = counted.groupBy("root").agg(F.max(F.struct("many", "part", "n")).alias("main"), F.sum("many").alias("all"), F.sum("n").alias("all_n"))
+    nodes, shingles = F.col("all") - F.col("main.many"), F.col("all_n") - F.col("main.n")
+    pieces = F.greatest(F.ceil(nodes / GROUP_NODES), F.ceil(shingles * 2 / GROUP_SHINGLES)).cast("bigint")
+    main = checkpoint(main.filter(nodes > 0).select("root", F.col("main.part").alias("main"), pieces.alias("pieces")))
     if not main.head(1):
         return parts.select("node", F.col("part").alias("root"))
-    told = large.select("node", "own", "text").join(cut.join(main, "root"), "node").withColumn("piece", F.pmod(F.xxhash64("node", F.lit(2)), F.col("pieces")))
+    told = large.select("node", "own", "text").join(cut.join(table_bound(main), "root"), "node").withColumn("piece", F.pmod(F.xxhash64("node", F.lit(2)), F.col("pieces")))
     left = told.filter(F.col("part") != F.col("main")).withColumn("chunk", numbers)
     right = told.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)))
     columns = ["root", "chunk", "piece", "node", "own", "part", "text"]

@@ -402,6 +402,31 @@ def test_near_duplicates_are_those_of_brute_force(spark, monkeypatch, n, percent
     assert order(got) == order(brute_groups(rows, n, percent))
 
 
+@pytest.mark.parametrize("apart", [0, 12])
+def test_groups_are_cut_by_their_shingles(spark, monkeypatch, apart):
+    monkeypatch.setattr(neardup, "GROUP_SHINGLES", 20_000)
+    monkeypatch.setattr(neardup, "BUCKET", 8)  # wide buckets are groups unchecked, so that some of a group is not linked
+    rng, loads, plain = random.Random(9), [], neardup.classes_of
+
+    def spied(rows, scheme, *keys):
+        words = F.size(F.split(F.col("text").cast("string"), " "))
+        loads.append(rows.groupBy(*keys).agg(F.sum(words).alias("w")).agg(F.max("w")).first()[0] or 0)
+        return plain(rows, scheme, *keys)
+
+    monkeypatch.setattr(neardup, "classes_of", spied)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(2000)]
+    rows = []
+    for i in range(40):
+        w = list(base)
+        for j in range(1000, 1000 + (120 if i < apart else 0)):
+            w[j * 2 % 2000] = f"x{i}.{j}"  # spread: more than a fifth of the shingles are its own
+        w[rng.randrange(500)] = f"v{i}"
+        rows.append((i, " ".join(w)))
+    got = [(r.id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()]
+    assert sorted(got) == sorted(brute_groups(rows, 5, 80)) and len(loads) > 1
+    assert max(loads) <= 30_000
+
+
 def test_near_duplicates_with_text_ids_and_hot_copies(spark, monkeypatch):
     monkeypatch.setattr("spanledger.llm.common.HOT_ROWS", 5)
     rows = [(f"id{i:03}" if i else None, "same words stand in all of these") for i in range(40)] + [("z", "quite other words are here"), ("y", None)]
