@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.operators import audit, lines
+from spanledger.operators import audit, graph, lines
 from spanledger.plans import pipeline
 from spanledger.plans.regtext import LINES_SQL, offsets_sql, table
 
@@ -35,22 +37,39 @@ def quote_failure_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.quote_failures(st, d).groupBy("doc_id", "failure").agg(F.count(F.lit(1)).alias("n"))
 
 
-def document_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans with their texts after the stages boilerplate and segment, with a blank run after each sentence."""
+def blanked_corpus(spark: SparkSession, sf_dir: str) -> pipeline.Corpus:
+    """The documents with a blank run after each sentence."""
     d = table(spark, sf_dir, "documents")
     pages = d.select("doc_id", F.lit(1).alias("page_number"), F.replace("text", F.lit(". "), F.lit(".\n\n\n")).alias("text"))
     meta = d.select("doc_id", F.lit(None).cast("string").alias("title"), F.lit("generic").alias("citation_format"), F.lit(None).cast("string").alias("part"))
-    out = pipeline.run(pipeline.Corpus(pages, meta), only=("boilerplate", "segment"))["spans"]
+    return pipeline.Corpus(pages, meta)
+
+
+def document_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans with their texts after the stages boilerplate and segment, with a blank run after each sentence."""
+    out = pipeline.run(blanked_corpus(spark, sf_dir), only=("boilerplate", "segment"))["spans"]
     return out.select("doc_id", "span_id", "kind", "byte_start", "byte_end", F.sha2("text", 256).alias("digest"))
 
 
+def stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log's rows of two stages that end and of one that fails for want of statements, with the rows of the tables made."""
+    corpus = blanked_corpus(spark, sf_dir)
+    log = f"{graph.shared_folder(corpus.pages)}/log-{uuid.uuid4().hex}"
+    corpus = pipeline.run(corpus, only=("boilerplate", "segment"), log=log, run_id="one")
+    try:
+        pipeline.run(corpus, only=("relate",), log=log, run_id="one")
+    except AttributeError:  # no statements and no edges: the log tells it
+        pass
+    return spark.read.parquet(log).select("run_id", "stage", "status", F.explode_outer("tables").alias("made", "n"))
+
+
 def tag_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents a tag has, as counts and sums that merge before the shuffle, so that a tag of a third of all rows is one small row per task."""
     each = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array("lang", "source")).alias("tag")).filter("tag IS NOT NULL")
     return each.groupBy("tag").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.sum("doc_id").cast("bigint").alias("sum_ids"), F.bit_xor("doc_id").alias("xor_ids"))
 
 
-QUERIES = {f.__name__: f for f in (line_gate, quote_failure_kinds, document_pipeline, tag_digests)}
+QUERIES = {f.__name__: f for f in (line_gate, quote_failure_kinds, document_pipeline, stage_log, tag_digests)}
 
 BLANKED = f"{COLLAPSED.format('docl')}, clean AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS line_no, line FROM kept), {offsets_sql('clean')}"
 HEAD, TAIL = TEXT_SQL["generic_spans"].replace(f"WITH {SPACED_SQL}, {offsets_sql('docl')}", f"WITH {SPACED_SQL}, {BLANKED}").rsplit("\n      SELECT", 1)
@@ -66,5 +85,7 @@ SQL = {
       f AS (SELECT doc_id, CASE WHEN k % 7 = 0 THEN 'missing_span' WHEN k % 5 = 0 OR k % 5 > 2 AND line = '' THEN 'empty_quote' WHEN k % 5 = 1 THEN 'not_in_span' WHEN k % 5 = 2 AND NOT contains(text, ' ' || replace(line, ' ', ' ' || chr(10))) THEN 'whitespace_only' END AS failure FROM l)
       SELECT doc_id, failure, count(*) AS n FROM f WHERE failure IS NOT NULL GROUP BY ALL""",
     "document_pipeline": f"{HEAD}, g AS (SELECT{TAIL}) SELECT g.doc_id, span_id, kind, g.byte_start, g.byte_end, sha256(string_agg(line, chr(10) ORDER BY line_no) || chr(10)) AS digest FROM g JOIN off o ON o.doc_id = g.doc_id AND o.byte_start >= g.byte_start AND o.byte_start < g.byte_end GROUP BY ALL",
+    "stage_log": f"""{HEAD}, g AS (SELECT{TAIL}), n(stage, made, n) AS (SELECT 'boilerplate', 'canonical', count(DISTINCT doc_id) FROM off UNION ALL SELECT 'boilerplate', 'lines', count(*) FROM off UNION ALL SELECT 'boilerplate', 'stripped', 0 UNION ALL SELECT 'segment', 'spans', count(*) FROM g)
+      SELECT 'one' AS run_id, stage, 'completed' AS status, made, n FROM n UNION ALL SELECT 'one', 'relate', 'failed', NULL, NULL""",
     "tag_digests": "SELECT tag, count(*) AS n_docs, min(doc_id) AS first_doc, max(doc_id) AS last_doc, CAST(sum(doc_id) AS BIGINT) AS sum_ids, bit_xor(doc_id) AS xor_ids FROM (SELECT doc_id, unnest([lang, source]) AS tag FROM documents) WHERE tag IS NOT NULL GROUP BY tag",
 }
