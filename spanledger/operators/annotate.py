@@ -32,11 +32,10 @@ def reconcile(annotations: DataFrame, third: DataFrame | None = None, enforce_un
 
 
 def same_multiset(left: DataFrame, right: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """keys, equal: whether both sides hold the same trimmed values as often."""
-    listed = lambda df, name: df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.trim(F.coalesce(value, F.lit(""))))).alias(name))
-    t = listed(left, "l").join(listed(right, "r"), keys, "full")
-    none = F.array().cast("array<string>")
-    return t.select(*keys, (F.coalesce("l", none) == F.coalesce("r", none)).alias("equal"))
+    """keys, equal: whether both sides hold the same trimmed values as often. Counted by value, so that no group is ever one row."""
+    one = lambda df, n: df.select(*keys, F.trim(F.coalesce(value, F.lit(""))).alias("value"), F.lit(n).alias("n"))
+    more = one(left, 1).unionByName(one(right, -1)).groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+    return more.groupBy(*keys).agg(F.bool_and(F.col("n") == 0).alias("equal"))
 
 
 def mark_pending(classes: DataFrame, statements: DataFrame) -> DataFrame:

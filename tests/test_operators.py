@@ -214,3 +214,11 @@ def test_readers_and_sinks(spark, tmp_path):
     sinks.publish(spark.range(5), root, "2")
     assert sinks.read_published(spark, root).count() == 5
     assert sinks.upsert(spark.range(3).withColumn("v", F.lit(1)), spark.range(1).withColumn("v", F.lit(2)), "id").agg(F.sum("v")).first()[0] == 4
+
+
+def test_same_multiset_counts_values(spark):
+    rows = [(1, "a", "x "), (1, "a", "x"), (1, "b", "x"), (1, "b", " x"), (2, "a", "x"), (2, "a", "x"), (2, "b", "x"), (3, "a", None), (3, "b", ""), (4, "b", "y"), (None, "a", "x"), (None, "b", "x")]
+    df = spark.createDataFrame(rows, "k int, agent string, v string")
+    out = annotate.same_multiset(df.filter("agent = 'a'"), df.filter("agent = 'b'"), ["k"], "v")
+    assert {r.k: r.equal for r in out.collect() if r.k} == {1: True, 2: False, 3: True, 4: False}
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()  # a group as one row fails by memory
