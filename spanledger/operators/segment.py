@@ -121,8 +121,10 @@ def regulation_lines(lines: DataFrame, default_part: Column) -> DataFrame:
     bracket = F.when(F.contains("text", F.lit("]")), F.col("line_no"))
     opens = (F.col("class") == "amended") & ~F.col("text").rlike(rules.AMENDED)
     at = at.withColumn("note", F.last(F.when(opens, F.col("line_no")), True).over(before("line_no")))
-    at = at.withColumn("closed", F.last(bracket, True).over(before("line_no"))).withColumn("closes", F.first(bracket, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-    inside = F.coalesce((F.coalesce("closed", F.lit(-1)) <= F.col("note")) & F.col("closes").isNotNull(), F.lit(False))
+    # the document's last bracket tells whether one follows: a frame from the row on would be worked out anew for every row
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    at = at.withColumn("closed", F.last(bracket, True).over(before("line_no"))).withColumn("closes", F.max(bracket).over(every))
+    inside = F.coalesce((F.coalesce("closed", F.lit(-1)) <= F.col("note")) & (F.col("closes") >= F.col("line_no")), F.lit(False))
     at = at.withColumn("class", F.when(inside, "inside_note").otherwise(F.col("class"))).withColumn("number", F.when(~inside, F.col("number")))
     # the body starts at a part header, or where a section number is seen for the second time
     sighting = F.row_number().over(Window.partitionBy("doc_id", "number").orderBy("line_no"))

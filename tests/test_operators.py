@@ -222,3 +222,10 @@ def test_same_multiset_counts_values(spark):
     out = annotate.same_multiset(df.filter("agent = 'a'"), df.filter("agent = 'b'"), ["k"], "v")
     assert {r.k: r.equal for r in out.collect() if r.k} == {1: True, 2: False, 3: True, 4: False}
     assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()  # a group as one row fails by memory
+
+
+def test_no_frame_runs_on_from_the_row(spark):
+    lines_ = doc_lines(spark, "[1 FR 2,\nas amended\nat 3 FR 4]\n§ 1.1 A.\n[5 FR 6,\nopen")
+    out = segment.regulation_lines(lines_, F.lit(1))
+    assert [r["class"] for r in out.orderBy("line_no").collect()] == ["amended", "inside_note", "inside_note", "section", "amended", "prose"]
+    assert "currentrow$(), unboundedfollowing$()" not in out._jdf.queryExecution().optimizedPlan().toString()  # quadratic in a document's lines
