@@ -2,6 +2,7 @@
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from spanledger.functions import signals, text
@@ -229,3 +230,13 @@ def test_no_frame_runs_on_from_the_row(spark):
     out = segment.regulation_lines(lines_, F.lit(1))
     assert [r["class"] for r in out.orderBy("line_no").collect()] == ["amended", "inside_note", "inside_note", "section", "amended", "prose"]
     assert "currentrow$(), unboundedfollowing$()" not in out._jdf.queryExecution().optimizedPlan().toString()  # quadratic in a document's lines
+
+
+def test_long_quotes_make_no_pattern(spark, monkeypatch):
+    """Words of a long quote are found across commas, wraps and hyphens without a pattern of all its words."""
+    words = [f"w{i % 7}-{i}x" for i in range(20_000)]
+    held = "Ab, ;" + ",\n ".join(words).replace("-", "-\n") + "yz; end"
+    cases = [(" ".join(words), held), ("a b", "xa,\nbc"), ("a b", "a,b"), ("a- b", "a- ,\n b"), ("a-b c-", "za-  b, c- \nd"), ("a a b", "a a a b"), ("a b", None)]
+    monkeypatch.setattr(text.re, "search", lambda *a: pytest.fail("a pattern of the whole quote"))
+    out = text.long_quotes(*(text.pa.array(c) for c in zip(*cases, strict=True))).to_pylist()
+    assert out == [held[held.index("w0-") : held.index("yz; end")], "a,\nb", None, "a- ,\n b", "a-  b, c- \n", "a a b", None]
