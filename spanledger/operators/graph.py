@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +44,11 @@ def numbered_edges(edges: DataFrame) -> DataFrame:
     return edges.withColumn("rel_id", F.format_string("E%04d", F.row_number().over(w)))
 
 
+def by_merge(df: DataFrame) -> DataFrame:
+    """A side of a join that is never broadcast: of many small rounds, each broadcast would stay in the driver for a while."""
+    return df.hint("merge")
+
+
 def peeled(edges: DataFrame, rounds: int) -> DataFrame:
     """edges without those whose source has no incoming or whose target no outgoing one, until little is left to peel."""
     core, before = edges, None
@@ -51,16 +57,16 @@ def peeled(edges: DataFrame, rounds: int) -> DataFrame:
         if before is not None and n > 0.9 * before:
             break
         before = n
-        core = cut(core.join(core.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(core.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"))
+        core = cut(core.join(by_merge(core.select(F.col("dst").alias("src")).distinct()), "src", "left_semi").join(by_merge(core.select(F.col("src").alias("dst")).distinct()), "dst", "left_semi").select("src", "dst"))
     return core
 
 
 def spread(state: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
     """state (node, colour): each node takes the greatest colour that reaches it along edges (src, dst)."""
     for _ in range(rounds):
-        sent = edges.join(state, edges["src"] == state["node"]).select(F.col("dst").alias("node"), "colour")
+        sent = edges.join(by_merge(state), edges["src"] == state["node"]).select(F.col("dst").alias("node"), "colour")
         new = cut(state.unionByName(sent).groupBy("node").agg(F.max("colour").alias("colour")))
-        moved = new.join(state, ["node", "colour"], "left_anti").head(1)
+        moved = new.join(by_merge(state), ["node", "colour"], "left_anti").head(1)
         state = new
         if not moved:
             return state
@@ -92,13 +98,13 @@ def knotted(core: DataFrame, rounds: int) -> DataFrame:
         nodes = core.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
         colours = spread(nodes.withColumn("colour", F.col("node")), core, rounds)
         end = lambda c, colour: colours.select(F.col("node").alias(c), F.col("colour").alias(colour))
-        same = core.join(end("src", "colour"), "src").join(end("dst", "other"), "dst").filter("colour = other")
+        same = core.join(by_merge(end("src", "colour")), "src").join(by_merge(end("dst", "other")), "dst").filter("colour = other")
         same = cut(same.select("src", "dst", "colour"))
         # backwards from the colour's own node, within the colour
         back = same.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
         roots = same.select(F.col("colour").alias("node")).distinct().withColumn("colour", F.lit(1))
         gone = spread(roots, back, rounds).select("node")
-        inside = lambda df, how: df.join(gone.withColumnRenamed("node", "src"), "src", how).join(gone.withColumnRenamed("node", "dst"), "dst", how)  # noqa: E731, B023
+        inside = lambda df, how: df.join(by_merge(gone.withColumnRenamed("node", "src")), "src", how).join(by_merge(gone.withColumnRenamed("node", "dst")), "dst", how)  # noqa: E731, B023
         found.append(cut(inside(same, "left_semi").select("src", "dst")))
         core = peeled(cut(inside(core, "left_anti").select("src", "dst")), 64)
     out = every.limit(0)
@@ -114,22 +120,70 @@ def merged(edges: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     only = edges.groupBy("src").agg(F.min("dst").alias("into"), F.max("dst").alias("other"))
     only = only.filter((F.col("into") == F.col("other")) & (F.col("into") != F.col("src")) & coin("src") & ~coin("into"))
     nodes = cut(only.select(F.col("src").alias("node"), "into"))
-    left = edges.join(nodes.select(F.col("node").alias("src")), "src", "left_anti")
-    left = left.join(nodes.select(F.col("node").alias("dst"), "into"), "dst", "left")
+    left = edges.join(by_merge(nodes.select(F.col("node").alias("src"))), "src", "left_anti")
+    left = left.join(by_merge(nodes.select(F.col("node").alias("dst"), "into")), "dst", "left")
     return nodes, cut(left.select("id", "src", F.coalesce("into", "dst").alias("dst")))
 
 
+#: Edges of a connected part up to which it is searched as one group.
+PART = 10_000
+
+
+def strong(part: pa.Table) -> pa.Table:
+    """Of the edges (a, b) of one part those that lie on a cycle: two searches, forwards and, in falling order of their ends, backwards."""
+    rows = list(zip(part["a"].to_pylist(), part["b"].to_pylist(), strict=True))
+    out, into, order, seen, root = {}, {}, [], set(), {}
+    for a, b in rows:
+        out.setdefault(a, []).append(b)
+        into.setdefault(b, []).append(a)
+    for first in out:
+        todo = [] if first in seen else [(first, iter(out[first]))]
+        seen.add(first)
+        while todo:
+            node, rest = todo[-1]
+            further = next((n for n in rest if n not in seen), None)
+            if further is None:
+                order.append(todo.pop()[0])
+            else:
+                seen.add(further)
+                todo.append((further, iter(out.get(further, ()))))
+    for first in reversed(order):
+        todo = [first]
+        while todo:
+            node = todo.pop()
+            if node not in root:
+                root[node] = first
+                todo.extend(into.get(node, ()))
+    return part.filter(pa.array([root[a] == root[b] for a, b in rows], pa.bool_())).select(["src", "dst"])
+
+
+def small_parts(core: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Edges (src, dst) of core that lie on a cycle of a connected part of most edges or fewer, and the edges of larger parts."""
+    parts = joined_parts(core)
+    told = cut(core.join(by_merge(parts.withColumnRenamed("node", "src")), "src").select("src", "dst", "part"))
+    sizes = told.groupBy("part").agg((F.count(F.lit(1)) <= most).alias("small"))
+    told = cut(told.join(by_merge(sizes), "part"))
+    name = lambda c: F.to_json(F.struct(F.col(c).alias("node")))
+    groups = told.filter("small").select("part", "src", "dst", name("src").alias("a"), name("dst").alias("b")).groupBy("part")
+    return cut(groups.applyInArrow(strong, core.select("src", "dst").schema)), told.filter("NOT small").select("src", "dst")
+
+
 def cycle_edges(edges: DataFrame, rounds: int = 10_000, turns: int = 200) -> DataFrame:
     """Edges (src, dst) that lie on a cycle, loops included: those inside a strongly connected part.
 
-    What cannot lie on a cycle is peeled off. While the rest is large, nodes with one way out merge into where it leads:
+    What cannot lie on a cycle is peeled off. If much is left, connected parts of up to PART edges are searched each as a
+    group, in as many rounds as it takes to find the parts. While the rest is large, nodes with one way out merge into where it leads:
     an edge to such a node lies on a cycle just if it does so afterwards, and the node's own edge if any edge to it does.
     So long rings shrink by a share each round. What has no such nodes goes to knotted; then the merges are undone.
     """
     all_edges = edges.select("src", "dst").distinct()
     loops = all_edges.filter("src = dst")
-    core = peeled(cut(all_edges.filter("src <> dst")), 64).withColumn("id", F.struct("src", "dst"))
-    steps, on, n = [], [], core.count()
+    core, found = peeled(cut(all_edges.filter("src <> dst")), 64), loops
+    n = core.count()
+    if n > DOUBLED:
+        known, core = small_parts(core, PART)
+        found, n = loops.unionByName(known), core.count()
+    core, steps, on = core.withColumn("id", F.struct("src", "dst")), [], []
     for turn in range(turns):
         if n <= DOUBLED:
             break
@@ -141,14 +195,14 @@ def cycle_edges(edges: DataFrame, rounds: int = 10_000, turns: int = 200) -> Dat
         core = left.filter("src <> dst")
         n = core.count()
     now = knotted(cut(core.select("src", "dst").distinct()), rounds)
-    known = core.join(now, ["src", "dst"], "left_semi").select("id")
+    known = core.join(by_merge(now), ["src", "dst"], "left_semi").select("id")
     for part in on:
         known = known.unionByName(part)
     for before, nodes in reversed(steps):
-        into = before.join(known, "id", "left_semi").select(F.col("dst").alias("node")).distinct()
-        back = before.join(nodes.join(into, "node", "left_semi").select(F.col("node").alias("src")), "src", "left_semi")
+        into = before.join(by_merge(known), "id", "left_semi").select(F.col("dst").alias("node")).distinct()
+        back = before.join(by_merge(nodes.join(by_merge(into), "node", "left_semi").select(F.col("node").alias("src"))), "src", "left_semi")
         known = cut(known.unionByName(back.select("id")))
-    return loops.unionByName(known.distinct().select("id.src", "id.dst"))
+    return found.unionByName(known.distinct().select("id.src", "id.dst"))
 
 
 def joined_parts(edges: DataFrame, rounds: int = 100) -> DataFrame:
@@ -160,12 +214,12 @@ def joined_parts(edges: DataFrame, rounds: int = 100) -> DataFrame:
     both = cut(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
     state = cut(both.select(F.col("src").alias("node")).distinct().withColumn("part", F.col("node")))
     for _ in range(rounds):
-        far = state.alias("a").join(state.alias("b"), F.col("a.part") == F.col("b.node")).select("a.node", "a.part", F.col("b.part").alias("far"))
-        near = both.join(far.select(F.col("node").alias("dst"), "far"), "dst").groupBy("src").agg(F.min("far").alias("far"))
-        near = cut(near.join(state.withColumnRenamed("node", "src"), "src").select("src", "part", "far"))
+        far = state.alias("a").join(by_merge(state.alias("b")), F.col("a.part") == F.col("b.node")).select("a.node", "a.part", F.col("b.part").alias("far"))
+        near = both.join(by_merge(far.select(F.col("node").alias("dst"), "far")), "dst").groupBy("src").agg(F.min("far").alias("far"))
+        near = cut(near.join(by_merge(state.withColumnRenamed("node", "src")), "src").select("src", "part", "far"))
         told = near.select(F.col("src").alias("node"), "far").union(near.select("part", "far")).union(far.select("node", "far"))
         new = cut(told.groupBy("node").agg(F.min("far").alias("part")))
-        if not new.join(state, ["node", "part"], "left_anti").head(1):
+        if not new.join(by_merge(state), ["node", "part"], "left_anti").head(1):
             return new
         state = new
     raise RuntimeError(f"parts did not settle in {rounds} rounds")
@@ -185,15 +239,15 @@ def cycle_paths(edges: DataFrame) -> DataFrame:
     jumps = []
     for _ in range(longest.bit_length()):  # 1 + 2 + 4 ... steps are as many as there are nodes
         jumps.append(step)
-        here = cut(here.join(step, F.col("node") == F.col("src")).select("part", F.col("dst").alias("node")))
+        here = cut(here.join(by_merge(step), F.col("node") == F.col("src")).select("part", F.col("dst").alias("node")))
         far = step.select(F.col("src").alias("dst"), F.col("dst").alias("far"))
-        step = cut(step.join(far, "dst").select("src", F.col("far").alias("dst")))
+        step = cut(step.join(by_merge(far), "dst").select("src", F.col("far").alias("dst")))
     met = here.withColumn("at", F.lit(0).cast("bigint"))
     for k, jump in enumerate(jumps):
-        more = met.join(jump, F.col("node") == F.col("src")).select("part", F.col("dst").alias("node"), (F.col("at") + (1 << k)).alias("at"))
+        more = met.join(by_merge(jump), F.col("node") == F.col("src")).select("part", F.col("dst").alias("node"), (F.col("at") + (1 << k)).alias("at"))
         met = cut(met.unionByName(more).groupBy("part", "node").agg(F.min("at").alias("at")))
     low = met.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "at")).alias("low"))
-    t = met.join(low, "part")
+    t = met.join(by_merge(low), "part")
     return t.select(F.col("low.node").alias("cycle"), F.pmod(F.col("at") - F.col("low.at"), F.col("n")).alias("at"), "node")
 
 

@@ -54,6 +54,21 @@ def test_cycles_of_random_graphs(spark, monkeypatch, seed, doubled):
     check_paths(graph.cycle_paths(d).collect(), edges)
 
 
+def test_small_parts_are_searched_in_few_rounds(spark, monkeypatch):
+    """Parts within the bound are told apart from larger ones, and many small rings need no contraction and no broadcast."""
+    monkeypatch.setattr(graph, "DOUBLED", 50)
+    monkeypatch.setattr(graph, "PART", 12)
+    monkeypatch.setattr(graph, "merged", None)
+    rings = spark.range(0, 400, 1, 1).select(F.struct((F.col("id") / 10).cast("int").alias("doc"), (F.col("id") % 10).alias("n")).alias("src"))
+    rings = rings.select("src", F.struct("src.doc", ((F.col("src.n") + 1) % 10).alias("n")).alias("dst"))
+    broken = rings.filter("NOT (src.doc % 4 = 0 AND src.n = 9)")
+    assert graph.cycle_edges(broken).count() == 300
+    core = broken.filter("src.doc < 3").union(broken.filter("src.doc = 1").selectExpr("dst", "src")).coalesce(1)
+    known, left = graph.small_parts(core, 12)
+    assert {r[0] for r in known.select("src.doc").collect()} == {2} and {r[0] for r in left.select("src.doc").collect()} == {1}
+    assert "Broadcast" not in graph.by_merge(core).join(graph.by_merge(known), ["src", "dst"])._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_cycles(spark):
     d = spark.createDataFrame([(1, 2), (2, 3)], "src int, dst int")
     assert graph.cycle_edges(d).collect() == [] and graph.cycle_paths(d).collect() == [] and graph.cycle_paths(d.limit(0)).collect() == []
