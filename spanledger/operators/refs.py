@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from spanledger.functions import rules
 
-from .graph import first_wins
-
 
 def matches(text: Column, pattern: str, groups: int) -> Column:
     """Groups of all matches of a pattern, in order: array of structs g0 (the whole), g1, ..."""
@@ -20,13 +18,18 @@ def citations(spans: DataFrame) -> DataFrame:
     """doc_id, span_id, pass, pos, part, section, paras, citation of spans (doc_id, span_id, text): sections, ranges, parts, full citations."""
     text, none = F.col("text"), F.lit(None).cast("string")
 
-    def found(n: int, pattern: str, groups: int, section: str | None, paras: str | None) -> DataFrame:
-        each = spans.filter(text.rlike(pattern)).select("doc_id", "span_id", F.posexplode(matches(text, pattern, groups)).alias("pos", "m"))
-        sec = F.concat_ws(".", F.col("m.g1"), F.col(section)) if section else none
-        return each.select("doc_id", "span_id", F.lit(n).alias("pass"), "pos", F.col("m.g1").alias("part"), sec.alias("section"), (F.regexp_extract_all(F.col(paras), F.lit(r"\(([a-z0-9]+)\)"), F.lit(1)) if paras else F.array().cast("array<string>")).alias("paras"), F.col("m.g0").alias("citation"))
+    def found(n: int, pattern: str, groups: int, section: str | None, paras: str | None) -> Column:
+        def one(m: Column, pos: Column) -> Column:
+            sec = F.concat_ws(".", m["g1"], m[section]) if section else none
+            inside = F.regexp_extract_all(m[paras], F.lit(r"\(([a-z0-9]+)\)"), F.lit(1)) if paras else F.array().cast("array<string>")
+            return F.struct(F.lit(n).alias("pass"), pos.alias("pos"), m["g1"].alias("part"), sec.alias("section"), inside.alias("paras"), m["g0"].alias("citation"))
+
+        return F.when(text.rlike(pattern), F.transform(matches(text, pattern, groups), one))
 
-    one = found(1, rules.CITE_SECTION, 3, "m.g2", "m.g3")
-    return one.unionByName(found(2, rules.CITE_RANGE, 3, "m.g2", None)).unionByName(found(3, rules.CITE_PART, 1, None, None)).unionByName(found(4, rules.CITE_FULL, 2, "m.g2", None))
+    passes = (found(1, rules.CITE_SECTION, 3, "g2", "g3"), found(2, rules.CITE_RANGE, 3, "g2", None), found(3, rules.CITE_PART, 1, None, None), found(4, rules.CITE_FULL, 2, "g2", None))
+    # all passes over a text that is read once
+    each = spans.select("doc_id", "span_id", F.explode(F.flatten(F.array_compact(F.array(*passes)))).alias("m"))
+    return each.select("doc_id", "span_id", "m.*")
 
 
 def section_index(spans: DataFrame) -> DataFrame:
@@ -64,11 +67,11 @@ def cross_refs(cites: DataFrame, spans: DataFrame, part_docs: DataFrame) -> Data
     done = F.when(to_span, F.col("target_span").isNotNull()).otherwise(F.col("target_doc").isNotNull())
     t = t.withColumn("auto_resolved", done).withColumn("target_span", F.when(to_span, F.col("target_span"))).withColumn("ref_type", F.when(to_span, "section").otherwise("part"))
     t = t.withColumn("target_doc", F.when(F.col("auto_resolved"), F.col("target_doc")))
-    spanned = t.filter(F.col("auto_resolved") & to_span)
-    once = first_wins(spanned, ["doc_id", "span_id", "target_doc", "target_span"], ["pass", "pos"])
-    parts = first_wins(t.filter(F.col("auto_resolved") & ~to_span), ["doc_id", "span_id", "target_doc"], ["pass", "pos"])
-    bag = t.filter(~F.col("auto_resolved") & F.col("pass").isin(1, 3))
-    return once.unionByName(parts).unionByName(bag).select(F.col("doc_id").alias("source_doc"), F.col("span_id").alias("source_span"), "target_doc", "target_span", "ref_type", "part", "citation", "auto_resolved")
+    t = t.filter(F.col("auto_resolved") | F.col("pass").isin(1, 3))
+    # one window for sections, which have a target span, and parts, which have none: the rows resolved are made once
+    w = Window.partitionBy("doc_id", "span_id", "target_doc", "target_span", "ref_type", "auto_resolved").orderBy("pass", "pos")
+    kept = t.withColumn("rn", F.row_number().over(w)).filter(~F.col("auto_resolved") | (F.col("rn") == 1))
+    return kept.select(F.col("doc_id").alias("source_doc"), F.col("span_id").alias("source_span"), "target_doc", "target_span", "ref_type", "part", "citation", "auto_resolved")
 
 
 def triage(refs: DataFrame, processed: DataFrame, domains: DataFrame | None = None, core: tuple = (), exclude: tuple = (), defer: tuple = (), min_docs: int = 2, min_refs: int = 5) -> DataFrame:

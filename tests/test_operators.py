@@ -240,3 +240,14 @@ def test_long_quotes_make_no_pattern(spark, monkeypatch):
     monkeypatch.setattr(text.re, "search", lambda *a: pytest.fail("a pattern of the whole quote"))
     out = text.long_quotes(*(text.pa.array(c) for c in zip(*cases, strict=True))).to_pylist()
     assert out == [held[held.index("w0-") : held.index("yz; end")], "a,\nb", None, "a- ,\n b", "a-  b, c- \n", "a a b", None]
+
+
+def test_citations_read_their_text_once(spark):
+    kind = "doc_id int, seq int, span_id string, kind string, section string, path array<string>, text string"
+    rows = [(1, 1, "S1", "paragraph", "11.1", ["a"], "see § 12.5, § 12.5 and part 12, part 12, § 99.1, § 99.1"), (2, 1, "S1", "section_header", "12.5", [], "x")]
+    spans = spark.createDataFrame(rows, kind)
+    cites = refs.citations(spans.filter("kind = 'paragraph'"))
+    assert cites._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    got = refs.cross_refs(cites, spans, spark.createDataFrame([("11", 1), ("12", 2)], "part string, doc_id int"))
+    told = sorted((r.ref_type, r.target_doc or 0, r.target_span or "", r.auto_resolved) for r in got.collect())
+    assert told == [("part", 2, "", True), ("section", 0, "", False), ("section", 0, "", False), ("section", 2, "S1", True)]
