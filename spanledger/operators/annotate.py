@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .audit import BEARING, is_bearing, without_statements
+from .audit import BEARING, is_bearing
 
 
 def reconcile(annotations: DataFrame, third: DataFrame | None = None, enforce_union: bool = False) -> DataFrame:
@@ -40,14 +40,15 @@ def same_multiset(left: DataFrame, right: DataFrame, keys: list[str], value: str
 
 def mark_pending(classes: DataFrame, statements: DataFrame) -> DataFrame:
     """classes with downgrade_pending and a proposal for bearing spans that have no statement; labels stay. Running it again changes nothing."""
-    due = without_statements(classes, statements).select("doc_id", "span_id", F.lit(True).alias("due"))
+    owned = statements.select("doc_id", F.col("source_span_id").alias("span_id"), F.lit(True).alias("owned")).distinct()
     primary = F.col("final_label") == BEARING
     others = F.filter(F.coalesce("final_embedded", F.array().cast("array<string>")), lambda x: x != BEARING)
     label = F.when(primary, F.coalesce(F.get(others, 0), F.lit("administrative"))).otherwise(F.col("final_label"))
     proposal = F.struct(F.when(primary, "primary").otherwise("embedded").alias("kind"), label.alias("proposed_label"), F.filter(others, lambda x: ~primary | (x != label)).alias("proposed_embedded"))
     t = classes.drop("downgrade_pending", "downgrade_proposal") if "downgrade_pending" in classes.columns else classes
-    t = t.join(due, ["doc_id", "span_id"], "left")
-    return t.withColumn("downgrade_pending", F.coalesce("due", F.lit(False))).withColumn("downgrade_proposal", F.when(F.col("due"), proposal)).drop("due")
+    due = F.col("owned").isNull() & F.col("doc_id").isNotNull() & F.col("span_id").isNotNull() & is_bearing()
+    t = t.join(owned, ["doc_id", "span_id"], "left").withColumn("downgrade_pending", F.coalesce(due, F.lit(False)))
+    return t.withColumn("downgrade_proposal", F.when(F.col("downgrade_pending"), proposal)).drop("owned")
 
 
 def promote_embedded(classes: DataFrame, found: DataFrame) -> DataFrame:
