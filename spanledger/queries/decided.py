@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanledger.functions.text import LABELS
-from spanledger.operators import annotate, rulings
+from spanledger.operators import annotate, graph, rulings
 from spanledger.operators.statements import EDGE_TYPES
 from spanledger.plans.regtext import table
 
@@ -17,26 +17,26 @@ from .decisions import rows_of
 
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id and n: the line items of each order, numbered from 1."""
+    """doc_id and n: the line items of each order, numbered from 1. Written once, since every table of a catalog is made of them."""
     order = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     n = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), n.alias("n"))
+    return graph.stored(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), n.alias("n")))
 
 
-def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def asked(items: DataFrame) -> DataFrame:
     """doc_id, n, k, seq: up to three decisions on each."""
-    t = numbered(spark, sf_dir).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    t = items.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3))))
     return t.filter("k <= (doc_id + n) % 4").withColumn("seq", F.expr("n * 10 + k"))
 
 
-def class_rulings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def class_rulings(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     names = ", ".join(f"'{x}'" for x in LABELS)
-    classes = numbered(spark, sf_dir).selectExpr(
+    classes = items.selectExpr(
         "doc_id", "concat('S', n) AS span_id", f"element_at(array({names}), CAST((doc_id + n) % 9 AS INT) + 1) AS final_label",
         "CASE WHEN n % 2 = 0 THEN array('definition', 'requirement_bearing') ELSE CAST(array() AS array<string>) END AS final_embedded",
         "doc_id % 2 = 0 AS ambiguous", "concat('first ', n) AS note",
     )
-    decisions = asked(spark, sf_dir).selectExpr(
+    decisions = asked(items).selectExpr(
         "doc_id", "CASE WHEN (doc_id + n + k) % 11 = 0 THEN 'S99' ELSE concat('S', n) END AS span_id", "seq",
         "element_at(array('definition', 'administrative', 'nonsense', NULL, 'requirement_bearing'), CAST((doc_id * 7 + n * 3 + k * 4) % 5 AS INT) + 1) AS final_label",
         "CASE (doc_id + k) % 4 WHEN 0 THEN NULL WHEN 3 THEN array('bogus') ELSE array('structural', 'definition', 'structural') END AS final_embedded",
@@ -47,17 +47,17 @@ def class_rulings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 def ruled_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes after their decisions, some with unknown labels, unknown spans or no label."""
-    out, _ = class_rulings(spark, sf_dir)
+    out, _ = class_rulings(numbered(spark, sf_dir))
     return out.select("doc_id", "span_id", "final_label", F.array_join("final_embedded", ",").alias("embedded"), "ambiguous", "note")
 
 
-def edge_rulings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def edge_rulings(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     names = ", ".join(f"'{x}'" for x in EDGE_TYPES)
-    edges = numbered(spark, sf_dir).selectExpr(
+    edges = items.selectExpr(
         "doc_id", "n AS seq", "concat('E', lpad(n, 4, '0')) AS rel_id", "concat('R', n) AS src", "concat('R', n + 1) AS dst",
         f"element_at(array({names}), CAST((doc_id + n) % 6 AS INT) + 1) AS type", "CASE WHEN n % 3 = 0 THEN '' ELSE concat('as of ', n) END AS evidence", "true AS ambiguous",
     )
-    decisions = asked(spark, sf_dir).selectExpr(
+    decisions = asked(items).selectExpr(
         "doc_id", "CASE WHEN (doc_id + n + k) % 13 = 0 THEN 'E0099' ELSE concat('E', lpad(n, 4, '0')) END AS rel_id", "seq",
         "element_at(array('keep', ' EDIT ', 'edit', 'drop', 'nonsense'), CAST((doc_id * 3 + n + k * 2) % 5 AS INT) + 1) AS decision",
         "element_at(array(NULL, 'refines', 'no_such_type', ''), CAST((doc_id + n * 2 + k) % 4 AS INT) + 1) AS type",
@@ -68,55 +68,55 @@ def edge_rulings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 def ruled_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges after decisions to keep, edit and drop, of which some name no type or edge that there is."""
-    out, _ = edge_rulings(spark, sf_dir)
+    out, _ = edge_rulings(numbered(spark, sf_dir))
     return out.select("doc_id", "rel_id", "src", "type", "evidence", "ambiguous")
 
 
-def bearing_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbered(spark, sf_dir).selectExpr("doc_id", "concat('S', n) AS span_id", "concat('(', n, ') Firms shall keep part ', doc_id, ',\\nand file it.') AS text")
+def bearing_spans(items: DataFrame) -> DataFrame:
+    return items.selectExpr("doc_id", "concat('S', n) AS span_id", "concat('(', n, ') Firms shall keep part ', doc_id, ',\\nand file it.') AS text")
 
 
-def statement_rulings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    statements = numbered(spark, sf_dir).selectExpr(
+def statement_rulings(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    statements = items.selectExpr(
         "doc_id", "concat('R', lpad(n, 5, '0')) AS req_id", "concat('S', n) AS source_span_id", "'Firms' AS verbatim_quote", "concat('first ', n) AS atomic_statement",
         "'shall' AS modality", "array('first') AS tags", "true AS ambiguous",
     )
-    decisions = asked(spark, sf_dir).selectExpr(
+    decisions = asked(items).selectExpr(
         "doc_id", "CASE WHEN (doc_id + n + k) % 17 = 0 THEN 'R99999' ELSE concat('R', lpad(n, 5, '0')) END AS req_id", "seq",
         "element_at(array('edit', 'keep', 'Edit', 'drop', 'nonsense'), CAST((doc_id * 3 + n + k * 2) % 5 AS INT) + 1) AS decision",
         "element_at(array(' shall keep ', concat('part ', doc_id, ' and file'), 'absent', ''), CAST((doc_id + n * 2 + k) % 4 AS INT) + 1) AS verbatim_quote",
         "concat(' told ', k) AS atomic_statement", "element_at(array('MUST', 'perhaps', NULL), CAST((n + k) % 3 AS INT) + 1) AS modality",
         "array(' A ', '', concat('b', k)) AS tags", "concat('why ', k) AS rationale",
     )
-    return rulings.rule_statements(statements, bearing_spans(spark, sf_dir), decisions)
+    return rulings.rule_statements(statements, bearing_spans(items), decisions)
 
 
 def ruled_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statements after decisions to keep, edit and drop; an edit's quote is found across a wrap and a comma."""
-    out, _ = statement_rulings(spark, sf_dir)
+    out, _ = statement_rulings(numbered(spark, sf_dir))
     return out.select("doc_id", "req_id", "verbatim_quote", "atomic_statement", "modality", F.array_join("tags", ",").alias("tags"), "ambiguous")
 
 
-def downgrade_rulings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    classes = numbered(spark, sf_dir).selectExpr(
+def downgrade_rulings(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    classes = items.selectExpr(
         "doc_id", "concat('S', n) AS span_id", "CASE (doc_id + n) % 3 WHEN 0 THEN 'definition' ELSE 'requirement_bearing' END AS final_label",
         "CASE (doc_id + n) % 3 WHEN 0 THEN array('requirement_bearing', 'structural') WHEN 1 THEN array('scope_inclusion', 'administrative') ELSE CAST(array() AS array<string>) END AS final_embedded",
         "true AS ambiguous",
     )
-    statements = numbered(spark, sf_dir).filter("n % 4 = 0").selectExpr("doc_id", "concat('R', lpad(n, 5, '0')) AS req_id", "concat('S', n) AS source_span_id", "'Firms' AS verbatim_quote")
-    decisions = asked(spark, sf_dir).selectExpr(
+    statements = items.filter("n % 4 = 0").selectExpr("doc_id", "concat('R', lpad(n, 5, '0')) AS req_id", "concat('S', n) AS source_span_id", "'Firms' AS verbatim_quote")
+    decisions = asked(items).selectExpr(
         "doc_id", "n", "CASE WHEN (doc_id + n + k) % 17 = 0 THEN 'S99' ELSE concat('S', n) END AS span_id", "seq",
         "element_at(array('confirm_downgrade', 'extract', 'Confirm_Downgrade', 'nonsense'), CAST((doc_id * 3 + n + k * 2) % 4 AS INT) + 1) AS decision",
         "element_at(array(NULL, 'administrative', 'bogus', 'requirement_bearing', ''), CAST((doc_id + n * 2 + k) % 5 AS INT) + 1) AS final_label",
         "element_at(array(array('shall keep', concat('part ', doc_id, ' and file')), array('Firms', 'absent'), CAST(array() AS array<string>)), CAST((doc_id + k) % 3 AS INT) + 1) AS quotes",
     )
     rows = F.transform("quotes", lambda q: rows_of(verbatim_quote=q, atomic_statement=F.concat(F.lit("from "), F.col("seq"))))
-    return rulings.rule_downgrades(annotate.mark_pending(classes, statements), bearing_spans(spark, sf_dir), statements, decisions.withColumn("rows", rows).drop("quotes", "n"))
+    return rulings.rule_downgrades(annotate.mark_pending(classes, statements), bearing_spans(items), statements, decisions.withColumn("rows", rows).drop("quotes", "n"))
 
 
 def ruled_downgrades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans that waited, after confirmations and extractions, with the statements that each has now: their numbers and quotes."""
-    classes, statements, _ = downgrade_rulings(spark, sf_dir)
+    classes, statements, _ = downgrade_rulings(numbered(spark, sf_dir))
     of = statements.groupBy("doc_id", F.col("source_span_id").alias("span_id")).agg(F.count(F.lit(1)).alias("n_statements"), F.min("req_id").alias("first_id"), F.max(F.md5("verbatim_quote")).alias("last_quote"))
     t = classes.join(of, ["doc_id", "span_id"], "left")
     return t.select("doc_id", "span_id", "final_label", F.array_join("final_embedded", ",").alias("embedded"), "ambiguous", "downgrade_pending", "resolution", F.coalesce("n_statements", F.lit(0)).cast("bigint").alias("n_statements"), "first_id", "last_quote")
@@ -124,9 +124,10 @@ def ruled_downgrades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ruling_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many decisions of each kind led to what in each document, or were ignored for what."""
+    items = numbered(spark, sf_dir)
     return rulings.tally({
-        "class": class_rulings(spark, sf_dir)[1], "edge": edge_rulings(spark, sf_dir)[1],
-        "statement": statement_rulings(spark, sf_dir)[1], "downgrade": downgrade_rulings(spark, sf_dir)[2],
+        "class": class_rulings(items)[1], "edge": edge_rulings(items)[1],
+        "statement": statement_rulings(items)[1], "downgrade": downgrade_rulings(items)[2],
     })
 
 
