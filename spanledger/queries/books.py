@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spanledger.operators import graph
 from spanledger.plans import catalog
 from spanledger.plans.regtext import table
 
@@ -37,10 +38,11 @@ def book_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every catalog with its number in its document; customers without orders have a title alone."""
     meta = table(spark, sf_dir, "customer").selectExpr("c_custkey AS doc_id", "c_name AS title")
-    st = book_statements(spark, sf_dir)
+    # each part reads them again: made and joined once, not for every part
+    st = graph.stored(book_statements(spark, sf_dir))
     edges = st.selectExpr("doc_id", "concat('E', l_orderkey, '.', rn) AS rel_id", "req_id AS src", "concat('R', l_orderkey, '.', lpad(rn + 1, 3, '0')) AS dst", "element_at(array('refines', 'references', 'composed_of'), CAST(l_partkey % 3 AS INT) + 1) AS type", "l_partkey % 5 = 0 AS ambiguous")
     log = table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").selectExpr("o_custkey AS doc_id", "o_orderkey AS at", "element_at(array('classify', 'decompose'), CAST(o_orderkey DIV 2 % 2 AS INT) + 1) AS stage", "concat('S', o_orderkey) AS key", "CASE WHEN o_orderkey % 3 = 0 THEN 'ambiguous' ELSE 'resolved' END AS status", "'definition' AS label_a", "o_orderstatus AS label_b", "'definition' AS final_label", "o_orderkey % 5 AS count_a", "o_orderkey % 7 AS count_b", "o_orderkey % 6 AS count_final", "nullif(o_orderkey % 3, 0) AS ambiguous_items")
-    rows = catalog.whole(meta, book_spans(spark, sf_dir), st, edges, log)
+    rows = catalog.whole(meta, graph.stored(book_spans(spark, sf_dir)), st, edges, log)
     no = F.row_number().over(Window.partitionBy("doc_id").orderBy("part", "key"))
     return rows.select("doc_id", "part", no.cast("bigint").alias("no"), "line")
 
