@@ -69,7 +69,7 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def signal_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of all patterns with their offsets, per supplier."""
-    hits = sentences(spark, sf_dir).select("doc_id", F.explode(signals.signals(F.col("line"))).alias("h"))
+    hits = signals.hit_rows(sentences(spark, sf_dir), "doc_id", "line")
     return hits.groupBy("doc_id", "h.sig_class", "h.pattern_id").agg(F.count(F.lit(1)).alias("n_hits"), F.sum("h.start").cast("bigint").alias("sum_start"), F.sum("h.end").cast("bigint").alias("sum_end"), F.sum(F.length("h.matched_text")).cast("bigint").alias("n_chars"))
 
 

@@ -130,8 +130,7 @@ def signal_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def signal_hits_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = reg_lines(spark, sf_dir).filter(signals.has_obligation(F.col("line")))
-    hits = at.select("doc_id", F.explode(signals.signals(F.col("line"))).alias("h"))
+    hits = signals.hit_rows(reg_lines(spark, sf_dir), "doc_id", "line", signals.obliging)
     return hits.groupBy("doc_id", F.col("h.matched_text").alias("verb")).agg(F.count(F.lit(1)).alias("n_hits"), F.sum("h.start").alias("sum_start"))
 
 
