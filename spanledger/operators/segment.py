@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanledger.functions import rules
-from spanledger.functions.text import from_roman, trim_unicode
+from spanledger.functions.text import from_roman, numbered, trim_unicode
 
 from .graph import cut, stored
 from .lines import after, before, by_doc, is_blank, with_offsets
@@ -84,14 +84,17 @@ def decimal_parents(decimals: DataFrame) -> DataFrame:
 
 
 def line_class(text: Column) -> Column:
-    """What a regulation line is by itself."""
+    """What a regulation line is by itself. How it begins tells which patterns are worth a try."""
     chain = (
-        ("document_title", f"{rules.TITLE}|{rules.CHAPTER}|{rules.SUBCHAPTER}"), ("part_header", rules.PART_HEADER), ("part_toc", rules.PART_TOC), ("authority", rules.AUTHORITY), ("source_note", rules.SOURCE_NOTE),
-        ("subpart", rules.SUBPART), ("subpart_toc", rules.SUBPART_TOC), ("section", rules.SECTION), ("amended", rules.AMENDED_OPEN), ("marker", r"^\((?:[a-z]|\d+|[ivxlcdm]+|[A-Z])\)"),
+        ("document_title", ("Title", "Chapter", "Subchapter"), f"{rules.TITLE}|{rules.CHAPTER}|{rules.SUBCHAPTER}"), ("part_header", ("PART",), rules.PART_HEADER), ("part_toc", ("Part",), rules.PART_TOC), ("authority", ("Authority:",), rules.AUTHORITY), ("source_note", ("Source:",), rules.SOURCE_NOTE),
+        ("subpart", ("Subpart",), rules.SUBPART), ("subpart_toc", ("Subpart",), rules.SUBPART_TOC), ("section", ("§",), rules.SECTION), ("amended", ("[",), rules.AMENDED_OPEN), ("marker", ("(",), r"^\((?:[a-z]|\d+|[ivxlcdm]+|[A-Z])\)"),
     )
     out = F.when(text == "", "blank")
-    for name, rx in chain:
-        out = out.when(text.rlike(rx), name)
+    for name, heads, rx in chain:
+        begins = F.startswith(text, F.lit(heads[0]))
+        for head in heads[1:]:
+            begins = begins | F.startswith(text, F.lit(head))
+        out = out.when(begins & text.rlike(rx), name)
     return out.otherwise("prose")
 
 
@@ -107,55 +110,69 @@ def carried(lines: DataFrame) -> DataFrame:
 
 
 def regulation_lines(lines: DataFrame, default_part: Column) -> DataFrame:
-    """Lines with byte offsets, text, class and the class after context: what opens the body, which section lines are contents, which are the real header.
+    """Lines with byte offsets, class and the class after context: what opens the body, which section lines are contents, which are the real header.
 
-    default_part names the document's own part, in terms of the columns of lines.
+    default_part names the document's own part, in terms of the columns of lines. Each line is read before the windows,
+    which carry what was found there; text stays only of lines that are not prose, blank or a paragraph.
     """
-    at = with_offsets(lines).withColumn("text", trim_unicode(F.col("line"))).withColumn("home", default_part.cast("string"))
-    at = at.withColumn("class", line_class(F.col("text")))
-    w = by_doc("line_no")
-    now = w.rowsBetween(Window.unboundedPreceding, 0)
-    section = F.regexp_extract("text", rules.SECTION, 1)
-    at = at.withColumn("number", F.when(F.col("class") == "section", section))
-    # an amendment note that does not end in its bracket takes in the lines up to the next one with a bracket, if there is one
-    bracket = F.when(F.contains("text", F.lit("]")), F.col("line_no"))
-    opens = (F.col("class") == "amended") & ~F.col("text").rlike(rules.AMENDED)
-    at = at.withColumn("note", F.last(F.when(opens, F.col("line_no")), True).over(before("line_no")))
-    # the document's last bracket tells whether one follows: a frame from the row on would be worked out anew for every row
-    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    at = at.withColumn("closed", F.last(bracket, True).over(before("line_no"))).withColumn("closes", F.max(bracket).over(every))
+    text, c = F.col("text"), F.col("class")
+    read = lines.select("doc_id", "line_no", default_part.cast("string").alias("home"), (F.octet_length("line") + 1).cast("bigint").alias("size"), trim_unicode(F.col("line")).alias("text"))
+    section = lambda group: F.when(c == "section", F.regexp_extract(text, rules.SECTION, group))
+    own = read.withColumn("class", line_class(text)).select(
+        "doc_id", "line_no", "home", "size", "class", section(1).alias("number"), section(2).rlike(r"^\p{Ll}").alias("lowered"),
+        F.when((c == "amended") & ~text.rlike(rules.AMENDED), F.col("line_no")).alias("opens"), F.when(F.contains(text, F.lit("]")), F.col("line_no")).alias("bracket"),
+        ((c == "blank") | (c == "prose") & text.rlike(r"^\p{Ll}")).alias("tail"), (c.isin("section", "subpart", "part_header") | F.startswith(text, F.lit("Appendix"))).alias("structural"),
+        F.when(c == "marker", F.regexp_extract(text, MARKER, 1)).alias("marker"), F.when(~c.isin("marker", "prose", "blank"), text).alias("text"),
+    )
+    w, earlier = by_doc("line_no"), before("line_no")
+    now, every = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # an amendment note that does not end in its bracket takes in the lines up to the next one with a bracket, if there is
+    # one: the document's last bracket tells, since a frame from the row on would be worked out anew for every row
+    at = own.select(
+        "doc_id", "line_no", "home", "size", "class", "number", "lowered", "tail", "structural", "marker", "text", F.sum("size").over(now).alias("byte_end"), F.sum("size").over(every).alias("byte_count"),
+        F.last("opens", True).over(earlier).alias("note"), F.last("bracket", True).over(earlier).alias("closed"), F.max("bracket").over(every).alias("closes"),
+    )
     inside = F.coalesce((F.coalesce("closed", F.lit(-1)) <= F.col("note")) & (F.col("closes") >= F.col("line_no")), F.lit(False))
-    at = at.withColumn("class", F.when(inside, "inside_note").otherwise(F.col("class"))).withColumn("number", F.when(~inside, F.col("number")))
-    # the body starts at a part header, or where a section number is seen for the second time
-    sighting = F.row_number().over(Window.partitionBy("doc_id", "number").orderBy("line_no"))
-    at = at.withColumn("sighting", F.when(F.col("number").isNotNull(), sighting))
-    at = at.withColumn("body", F.coalesce(F.max((F.col("class") == "part_header") | (F.coalesce("sighting", F.lit(0)) == 2)).over(now), F.lit(False)))
+    at = at.withColumn("inside", inside).select(
+        "doc_id", "line_no", "home", "marker", "text", (F.col("byte_end") - F.col("size")).alias("byte_start"), "byte_end", "byte_count", F.when(F.col("inside"), "inside_note").otherwise(c).alias("class"), F.when(~F.col("inside"), F.col("number")).alias("number"),
+        F.coalesce((F.substring_index("number", ".", 1) != F.col("home")) | F.col("lowered"), F.lit(False)).alias("foreign"), F.when(~F.col("inside") & ~F.col("tail"), F.col("structural")).alias("structural"),
+    )
     # a section line whose next structural line is one too belongs to a table of contents
-    tail = F.col("class").isin("blank", "inside_note") | (F.col("class") == "prose") & F.col("text").rlike(r"^\p{Ll}")
-    structural = F.col("class").isin("section", "subpart", "part_header") | F.startswith("text", F.lit("Appendix"))
-    following = F.last(F.when(~tail, structural), True).over(after("line_no"))
-    foreign = (F.substring_index("number", ".", 1) != F.col("home")) | F.regexp_extract("text", rules.SECTION, 2).rlike(r"^\p{Ll}")
-    at = at.withColumn("next_structural", F.coalesce(following, F.lit(False))).withColumn("foreign", F.coalesce(foreign, F.lit(False)))
-    c = F.col("class")
-    role = F.when(c == "section", F.when(~F.col("body"), "toc_entry").when(F.col("foreign"), "prose").when(F.col("next_structural"), "toc_entry").otherwise("section_header"))
-    role = role.when(c.isin("document_title", "part_toc"), F.when(~F.col("body"), "document_title").otherwise("prose")).when(c == "subpart_toc", F.when(~F.col("body"), "toc_entry").otherwise("prose"))
-    role = role.when(c == "subpart", F.when(F.col("body"), "subpart_header").otherwise("prose")).when(c == "amended", "source_note").otherwise(c)
-    at = at.withColumn("role", role)
-    first = F.row_number().over(Window.partitionBy("doc_id", "role", "number").orderBy("line_no")) == 1
-    return at.withColumn("role", F.when((F.col("role") == "section_header") & ~first, "prose").otherwise(F.col("role"))).drop("note", "closed", "closes")
-
-
-def in_force(lines: DataFrame) -> DataFrame:
-    """regulation_lines with the section header and the subpart that each line stands under."""
+    at = at.withColumn("next_structural", F.coalesce(F.expr("lead(structural, 1) IGNORE NULLS OVER (PARTITION BY doc_id ORDER BY line_no)"), F.lit(False)))
+    # the body starts at a part header, or where a section number is seen for the second time; one header per number, the
+    # first in the body: all sightings but the first are there, so that one order by number serves both
+    header = (c == "section") & ~F.col("foreign") & ~F.col("next_structural")
+    same = Window.partitionBy("doc_id", "number").orderBy("line_no")
+    at = at.select(
+        "doc_id", "line_no", "home", "marker", "text", "byte_start", "byte_end", "byte_count", "class", "number", "foreign", "next_structural", F.row_number().over(same).alias("sighting"),
+        F.count(F.when(header, 1)).over(same.rowsBetween(Window.unboundedPreceding, -1)).alias("headers"), F.first(F.when(header, F.col("line_no"))).over(same.rowsBetween(Window.unboundedPreceding, 0)).alias("first_line"),
+    )
+    body_line = F.min(F.when((c == "part_header") | F.col("number").isNotNull() & (F.col("sighting") == 2), F.col("line_no"))).over(now)
+    at = at.withColumn("body_line", body_line)
+    body, in_body = F.col("body_line").isNotNull(), F.coalesce(F.col("first_line") >= F.col("body_line"), F.lit(False))
+    first = (F.col("sighting") == 1) | (F.col("headers") == F.col("first_line").isNotNull().cast("int")) & ~in_body
+    role = F.when(c == "section", F.when(~body, "toc_entry").when(F.col("foreign"), "prose").when(F.col("next_structural"), "toc_entry").when(first, "section_header").otherwise("prose"))
+    role = role.when(c.isin("document_title", "part_toc"), F.when(~body, "document_title").otherwise("prose")).when(c == "subpart_toc", F.when(~body, "toc_entry").otherwise("prose"))
+    role = role.when(c == "subpart", F.when(body, "subpart_header").otherwise("prose")).when(c == "amended", "source_note").otherwise(c)
+    return at.select("doc_id", "line_no", "home", "marker", "text", "byte_start", "byte_end", "byte_count", "class", "number", role.alias("role"))
+
+
+def in_force(lines: DataFrame, *more: Column) -> DataFrame:
+    """regulation_lines with the section header and the subpart that each line stands under; more windows in line order go along in one pass."""
     now = by_doc("line_no").rowsBetween(Window.unboundedPreceding, 0)
     r = F.col("role")
-    out = lines.withColumn("section_line", F.last(F.when(r == "section_header", F.col("line_no")).when(r.isin("part_header", "subpart_header"), -1), True).over(now))
-    out = out.withColumn("section", F.last(F.when(r == "section_header", F.col("number")).when(r.isin("part_header", "subpart_header"), ""), True).over(now))
-    subpart = F.when(r == "subpart_header", F.regexp_extract("text", rules.SUBPART, 1)).when(r == "part_header", "")
-    out = out.withColumn("subpart", F.nullif(F.last(subpart, True).over(now), F.lit("")))
-    subpart_line = F.last(F.when(r == "subpart_header", F.col("line_no")).when(r == "part_header", -1), True).over(now)
-    out = out.withColumn("subpart_line", subpart_line).withColumn("subpart_line", F.when(F.col("subpart_line") >= 0, F.col("subpart_line")))
-    return out.withColumn("section", F.nullif("section", F.lit(""))).withColumn("section_line", F.when(F.col("section_line") >= 0, F.col("section_line")))
+    told = lambda value: F.last(value, True).over(now)
+    out = lines.select(
+        "*", *more, told(F.when(r == "section_header", F.col("line_no")).when(r.isin("part_header", "subpart_header"), -1)).alias("section_line"),
+        told(F.when(r == "section_header", F.col("number")).when(r.isin("part_header", "subpart_header"), "")).alias("section"),
+        told(F.when(r == "subpart_header", F.regexp_extract("text", rules.SUBPART, 1)).when(r == "part_header", "")).alias("subpart"),
+        told(F.when(r == "subpart_header", F.col("line_no")).when(r == "part_header", -1)).alias("subpart_line"),
+    )
+    line = lambda name: F.when(F.col(name) >= 0, F.col(name))
+    return out.withColumns({"section": F.nullif("section", F.lit("")), "subpart": F.nullif("subpart", F.lit("")), "section_line": line("section_line"), "subpart_line": line("subpart_line")})
+
+
+ROMAN_DIGITS = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 
 
 def paragraph_paths(markers: DataFrame) -> DataFrame:
@@ -169,7 +186,8 @@ def paragraph_paths(markers: DataFrame) -> DataFrame:
     more = ["rest"] if "rest" in markers.columns else []
     m = F.col("marker")
     plain = F.when(m.rlike(r"^\d+$"), 2).when(m.rlike("^[A-Z]$"), 4).when(m.rlike("^[ivxlcdm]{2,}$"), 3).when(m.rlike("^[ivxlcdm]$"), 0).otherwise(1)
-    told = markers.withColumn("value", F.when(plain.isin(0, 3), F.coalesce(from_roman(m), F.lit(0))).otherwise(0)).withColumn("plain", plain)
+    digit = F.element_at(F.array(*map(F.lit, ROMAN_DIGITS.values())), F.instr(F.lit("".join(ROMAN_DIGITS)), m))
+    told = markers.withColumn("value", F.when(plain == 0, digit).when(plain == 3, F.coalesce(from_roman(m), F.lit(0))).otherwise(0)).withColumn("plain", plain)
     rows = told.groupBy("doc_id", "section_line").agg(F.array_sort(F.collect_list(F.struct("line_no", "marker", "value", "plain", *more))).alias("rows"))
     kind = "struct<line_no:int,level:int,path:array<string>,parent_line:int" + "".join(f",{c}:{markers.schema[c].dataType.simpleString()}" for c in more) + ">"
     none = F.lit(None).cast("struct<line:int,marker:string>")
@@ -200,15 +218,14 @@ def render_citation(section: Column, path: Column) -> Column:
 
 def regulation_openings(lines: DataFrame, default_part: Column) -> DataFrame:
     """The lines that open a span, with its number, kind and bytes and the numbers of the section and subpart above: one
-    shuffle by document, in which all windows share one order; other lines and most texts end here."""
-    at = in_force(regulation_lines(lines, default_part))
+    shuffle by document, in which the windows share one order but for one by number; other lines and most texts end here."""
     role, c, earlier = F.col("role"), F.col("class"), before("line_no")
-    at = at.withColumn("byte_count", F.max("byte_end").over(by_doc("line_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    marked = (role == "marker") & F.col("section_line").isNotNull()
-    last_marker = F.coalesce(F.last(F.when(marked, F.col("line_no")), True).over(earlier), F.lit(-1))
-    # prose before any paragraph opens a chapeau, again after a note, and goes on with one that is open
+    last_marker = F.coalesce(F.last(F.when(role == "marker", F.col("line_no")), True).over(earlier), F.lit(-1))
     last_role = F.last(F.when(~role.isin("blank", "inside_note"), role), True).over(earlier)
-    chapeau = (role == "prose") & (last_marker <= F.col("section_line")) & (last_role != "prose")
+    at = in_force(regulation_lines(lines, default_part), last_marker.alias("last_marker"), last_role.alias("last_role"))
+    marked = (role == "marker") & F.col("section_line").isNotNull()
+    # prose before any paragraph of its section opens a chapeau, again after a note, and goes on with one that is open
+    chapeau = (role == "prose") & (F.col("last_marker") <= F.col("section_line")) & (F.col("last_role") != "prose")
     plain = role.isin("document_title", "toc_entry", "part_header", "authority", "source_note", "subpart_header", "section_header")
     at = at.withColumn("kind", F.when(plain, role).when(marked, "paragraph").when(chapeau, "section_chapeau")).filter("kind IS NOT NULL")
     w = by_doc("line_no")
@@ -220,7 +237,7 @@ def regulation_openings(lines: DataFrame, default_part: Column) -> DataFrame:
     return at.select(
         "doc_id", "seq", "kind", "class", "home", "section", "subpart", "byte_start", "byte_end", F.coalesce("number", "section").alias("number"),
         seen("section_line", "section_header").alias("section_seq"), seen("subpart_line", "subpart_header").alias("subpart_seq"),
-        F.when(kind == "paragraph", F.regexp_extract(text, MARKER, 1)).alias("marker"), part.alias("own_part"),
+        F.when(kind == "paragraph", F.col("marker")).alias("marker"), part.alias("own_part"),
         F.when(c == "subpart_toc", F.regexp_extract(text, rules.SUBPART_TOC, 1)).alias("toc_subpart"),
         F.when(~kind.isin("paragraph", "section_chapeau", "section_header"), text).alias("text"),
     )
@@ -239,9 +256,11 @@ def regulation_spans(lines: DataFrame, default_part: Column, title: str = "21")
     at = stored(regulation_openings(lines, default_part))
     none = F.array().cast("array<string>")
     own = [c for c in at.columns if c not in ("doc_id", "marker")]
-    body = at.filter("kind = 'paragraph'").select("doc_id", F.col("section_seq").alias("section_line"), F.col("seq").alias("line_no"), "marker", F.struct(*own).alias("rest"))
-    folded = paragraph_paths(body).select("doc_id", "rest.*", "path", F.col("parent_line").alias("above"))
-    starts = at.filter("kind <> 'paragraph'").select("doc_id", *own, none.alias("path"), F.lit(None).cast("int").alias("above")).unionByName(folded)
+    rest = F.struct("seq", "home", "section", "subpart", "byte_start", "byte_end", "subpart_seq")  # what paragraphs differ in
+    body = at.filter("kind = 'paragraph'").select("doc_id", F.col("section_seq").alias("section_line"), F.col("seq").alias("line_no"), "marker", rest.alias("rest"))
+    same = (F.lit("paragraph").alias("kind"), F.lit("marker").alias("class"), F.col("rest.section").alias("number"), F.col("section_line").alias("section_seq"))
+    folded = paragraph_paths(body).select("doc_id", "rest.*", *same, "path", F.col("parent_line").alias("above"))
+    starts = at.filter("kind <> 'paragraph'").select("doc_id", *own, none.alias("path"), F.lit(None).cast("int").alias("above")).unionByName(folded, allowMissingColumns=True)
     number, kind, c = F.col("number"), F.col("kind"), F.col("class")
     amended = c == "amended"
     sectioned = kind.isin("section_header", "section_chapeau", "paragraph") | (kind == "toc_entry") & (c == "section")
@@ -254,7 +273,7 @@ def regulation_spans(lines: DataFrame, default_part: Column, title: str = "21")
         F.col("path").alias("paragraphs"), F.when(sectioned | (kind == "subpart_header"), F.col("subpart")).otherwise(F.col("toc_subpart")).alias("subpart"), raw.alias("raw"),
     )
     citation = F.coalesce(render_citation(number, F.col("path")), F.substring("text", 1, 60))
-    told = lambda n: F.when(n.isNotNull(), F.format_string("S%04d", n))
+    told = lambda n: F.when(n.isNotNull(), numbered("S", 4, n))
     return starts.select(
         "doc_id", "byte_start", "kind", F.when(kind != "document_title", number).alias("section"), "subpart", "path", citation.alias("citation"), cite.alias("cite"),
         "seq", "byte_end", told(F.col("seq")).alias("span_id"), told(parent).alias("parent_span_id"),

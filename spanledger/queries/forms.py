@@ -170,17 +170,21 @@ BODY = (
 
 def print_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, line_no, line of a regulation print per customer: titles, contents, a part with two subparts, a section per order; even documents repeat their contents in the body."""
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c"), F.col("o_orderkey").alias("o"))
-    row = lambda zone, rank, mod, rest, line: F.struct(*(F.lit(v).cast("int").alias(n) for n, v in (("rank", rank), ("mod", mod), ("rest", rest))), F.lit(line).alias("line"), (zone if isinstance(zone, Column) else F.lit(zone)).cast("int").alias("zone"))
-    frame = o.select("c").distinct().select("c", F.lit(-1).cast("bigint").alias("o"), F.col("c").alias("key"), F.explode(F.array(*(row(*t[:5]) for t in FRAME))).alias("t"))
-    head = BODY[0][3]
-    body = F.array(row(10, 0, 1, 0, head), F.when(F.col("c") % 2 == 0, row(20, 0, 1, 0, head)), *(row(F.when(F.col("o") % 2 == 0, 30).otherwise(50), *t[:4]) for t in BODY))
-    sections = o.select("c", "o", F.col("o").alias("key"), F.explode(F.array_compact(body)).alias("t"))
-    rows = frame.unionByName(sections).filter("key % t.mod = t.rest")
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("o"))
+    head = (1, 0, BODY[0][3])
+    rows = (*(t[:5] for t in FRAME), (10, 0, *head), (20, 0, *head), *((None, *t[:4]) for t in BODY))
+    # lines are dealt and sorted as the numbers of their templates, and get their words once they are in order
+    of = lambda k: F.element_at(F.array(*(F.lit(r[k]) for r in rows)), F.col("i") + 1)
+    numbers = lambda *span: F.explode(F.array(*map(F.lit, range(*span)))).alias("i")
+    frame = o.select("doc_id").distinct().select("doc_id", F.lit(-1).cast("bigint").alias("o"), F.col("doc_id").alias("key"), numbers(len(FRAME)))
+    sections = o.select("doc_id", "o", F.col("o").alias("key"), numbers(len(FRAME), len(rows)))
+    mine = frame.unionByName(sections).withColumn("zone", F.coalesce(of(0), F.when(F.col("o") % 2 == 0, 30).otherwise(50)))
+    mine = mine.filter((F.col("key") % of(2) == of(3)) & ((F.col("zone") != 20) | (F.col("doc_id") % 2 == 0))).withColumn("rank", of(1))
     # a part header closes zone 10, behind all of its orders
-    at = F.struct("t.zone", F.when(F.col("t.rank") == 9, 2**62).otherwise(F.col("o")).alias("o"), "t.rank")
-    line = filled(F.col("t.line"), p=F.col("c") + 100, q=F.col("c") + 9000, c=F.col("c"), o=F.col("o"))
-    return rows.select(F.col("c").alias("doc_id"), (F.row_number().over(lines.by_doc(at, doc="c")) - 1).alias("line_no"), line.alias("line"))
+    w = lines.by_doc("zone", F.when(F.col("rank") == 9, 2**62).otherwise(F.col("o")), "rank")
+    p, q = F.col("doc_id") + 100, F.col("doc_id") + 9000
+    numbered = mine.select("doc_id", "o", "i", (F.row_number().over(w) - 1).alias("line_no"))
+    return numbered.select("doc_id", "line_no", filled(of(4), p=p, q=q, c=F.col("doc_id"), o=F.col("o")).alias("line"))
 
 
 def regulation_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
