@@ -90,7 +90,7 @@ def obliging(hits: Column) -> Column:
 
 def hit_rows(rows: DataFrame, key: str, text_col: str, of: Callable[[Column], Column] = lambda hits: hits) -> DataFrame:
     """key, h: a row per signal of each text, or per signal that of keeps."""
-    # candidates are a column of their own, so that Spark compiles them; outer, since explode alone works its list out twice more to see whether it is empty
+    # candidates are a column of their own, so that Spark compiles them; outer, so that no filter for lists that are not empty can be inferred, which would work them out again
     at = rows.select(key, F.col(text_col).alias("text"), candidates(F.col(text_col)).alias("which"))
     return at.select(key, F.explode_outer(of(found(F.col("text"), F.col("which")))).alias("h")).filter("h IS NOT NULL")
 
