@@ -49,16 +49,36 @@ def by_merge(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def peeled(edges: DataFrame, rounds: int) -> DataFrame:
-    """edges without those whose source has no incoming or whose target no outgoing one, until little is left to peel."""
+def peeled(edges: DataFrame, rounds: int, enough: int = 0) -> tuple[DataFrame, int]:
+    """edges without those whose source has no incoming or whose target no outgoing one, until little is left to peel or enough edges or fewer are left, and their number."""
     core, before = edges, None
-    for _ in range(rounds):
+    for turn in range(rounds + 1):
         n = core.count()
-        if before is not None and n > 0.9 * before:
+        if turn == rounds or n <= enough or before is not None and n > 0.9 * before:
             break
         before = n
         core = cut(core.join(by_merge(core.select(F.col("dst").alias("src")).distinct()), "src", "left_semi").join(by_merge(core.select(F.col("src").alias("dst")).distinct()), "dst", "left_semi").select("src", "dst"))
-    return core
+    return core, n
+
+
+def leapt(edges: DataFrame, n: int, enough: int) -> tuple[DataFrame, int]:
+    """Of n edges (src, dst), one from each source, those between nodes that steps of doubling length still come to, and their number.
+
+    Nodes of cycles are always come to, others are left behind: after k rounds the rest stands 2^k - 1 steps behind some
+    node, after as many rounds as the logarithm of the longest tail cycles alone are left. Ends with enough nodes or fewer.
+    """
+    step = edges
+    while True:
+        met = step.select(F.col("dst").alias("src")).distinct()
+        here = step.join(by_merge(met), "src", "left_semi")
+        step = cut(here.join(by_merge(step.select(F.col("src").alias("dst"), F.col("dst").alias("far"))), "dst").select("src", F.col("far").alias("dst")))
+        left = step.count()
+        if left <= enough or left == n:
+            break
+        n = left
+    ends = step.select("src")
+    core = cut(edges.join(by_merge(ends), "src", "left_semi").join(by_merge(ends.withColumnRenamed("src", "dst")), "dst", "left_semi").select("src", "dst"))
+    return core, core.count()
 
 
 def spread(state: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
@@ -106,7 +126,7 @@ def knotted(core: DataFrame, rounds: int) -> DataFrame:
         gone = spread(roots, back, rounds).select("node")
         inside = lambda df, how: df.join(by_merge(gone.withColumnRenamed("node", "src")), "src", how).join(by_merge(gone.withColumnRenamed("node", "dst")), "dst", how)  # noqa: E731, B023
         found.append(cut(inside(same, "left_semi").select("src", "dst")))
-        core = peeled(cut(inside(core, "left_anti").select("src", "dst")), 64)
+        core, _ = peeled(cut(inside(core, "left_anti").select("src", "dst")), 64)
     out = every.limit(0)
     for part in found:
         out = out.unionByName(part)
@@ -163,26 +183,39 @@ def small_parts(core: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     told = cut(core.join(by_merge(parts.withColumnRenamed("node", "src")), "src").select("src", "dst", "part"))
     sizes = told.groupBy("part").agg((F.count(F.lit(1)) <= most).alias("small"))
     told = cut(told.join(by_merge(sizes), "part"))
+    return searched(told.filter("small")), told.filter("NOT small").select("src", "dst")
+
+
+def searched(edges: DataFrame) -> DataFrame:
+    """Edges (part, src, dst) that lie on a cycle, each part searched as a group."""
     name = lambda c: F.to_json(F.struct(F.col(c).alias("node")))
-    groups = told.filter("small").select("part", "src", "dst", name("src").alias("a"), name("dst").alias("b")).groupBy("part")
-    return cut(groups.applyInArrow(strong, core.select("src", "dst").schema)), told.filter("NOT small").select("src", "dst")
+    groups = edges.select("part", "src", "dst", name("src").alias("a"), name("dst").alias("b")).groupBy("part")
+    return cut(groups.applyInArrow(strong, edges.select("src", "dst").schema))
 
 
 def cycle_edges(edges: DataFrame, rounds: int = 10_000, turns: int = 200) -> DataFrame:
     """Edges (src, dst) that lie on a cycle, loops included: those inside a strongly connected part.
 
-    What cannot lie on a cycle is peeled off. If much is left, connected parts of up to PART edges are searched each as a
-    group, in as many rounds as it takes to find the parts. While the rest is large, nodes with one way out merge into where it leads:
+    What cannot lie on a cycle is peeled off, by steps of doubling length where every node has one way out. PART edges or
+    fewer are searched as one group; if more are left, connected parts of up to PART edges each as
+    a group, in as many rounds as it takes to find the parts. While the rest is large, nodes with one way out merge into where it leads:
     an edge to such a node lies on a cycle just if it does so afterwards, and the node's own edge if any edge to it does.
     So long rings shrink by a share each round. What has no such nodes goes to knotted; then the merges are undone.
     """
-    all_edges = edges.select("src", "dst").distinct()
-    loops = all_edges.filter("src = dst")
-    core, found = peeled(cut(all_edges.filter("src <> dst")), 64), loops
-    n = core.count()
+    all_edges = cut(edges.select("src", "dst").distinct())
+    found, core = all_edges.filter("src = dst"), all_edges.filter("src <> dst")
+    n, sources = core.agg(F.count(F.lit(1)), F.countDistinct("src")).first()
+    if n > PART:
+        core, n = leapt(core, n, PART) if n == sources else peeled(core, 64, PART)
+    if n == 0:
+        return found
+    if n <= PART:
+        return found.unionByName(searched(core.withColumn("part", F.lit(0))))
     if n > DOUBLED:
         known, core = small_parts(core, PART)
-        found, n = loops.unionByName(known), core.count()
+        found, n = found.unionByName(known), core.count()
+        if n == 0:
+            return found
     core, steps, on = core.withColumn("id", F.struct("src", "dst")), [], []
     for turn in range(turns):
         if n <= DOUBLED:

@@ -92,3 +92,52 @@ def test_document_cycles(spark):
     for r in graph.document_cycles(spark.createDataFrame(rows, kind)).orderBy("at").collect():
         got.setdefault((r.doc_id, r.type, r.cycle), []).append(r.node)
     assert got == {(1, "refines", "R1"): ["R1", "R2"], (1, "composed_of", "R1"): ["R1", "R2"], (2, "refines", "R1"): ["R1", "R2"]}
+
+
+@pytest.mark.parametrize("bound", [0, 25])
+def test_nodes_with_one_way_out_are_left_behind_by_doubling(spark, monkeypatch, bound):
+    """A tail of 300 nodes takes rounds by its logarithm, and neither a search for parts nor a contraction."""
+    monkeypatch.setattr(graph, "PART", bound)
+    monkeypatch.setattr(graph, "DOUBLED", 0)
+    monkeypatch.setattr(graph, "peeled", None)
+    rng = random.Random(3)
+    ring = [(i, (i + 1) % 20) for i in range(20)]
+    edges = ring + [(20 + i, 19 + i) for i in range(300)] + [(1000 + i, rng.randrange(1000, 1200)) for i in range(200)] + [(2000, 3000)]
+    d = spark.createDataFrame(edges, "src int, dst int").coalesce(1)
+    core, n = graph.leapt(d.filter("src <> dst"), len([1 for a, b in edges if a != b]), bound)
+    leads = reach(edges)
+    want = sorted(e for e in edges if e[0] in leads[e[1]] or e[0] == e[1])
+    on = sorted(e for e in want if e[0] != e[1])
+    got = sorted(tuple(r) for r in core.collect())
+    assert n == len(got) and set(on) <= set(got) and (got == on or n <= bound)
+    if bound:
+        monkeypatch.setattr(graph, "joined_parts", None)
+        monkeypatch.setattr(graph, "PART", max(bound, n))
+        cuts = []
+        plain = graph.cut
+        monkeypatch.setattr(graph, "cut", lambda df: cuts.append(1) or plain(df))
+        assert sorted(tuple(r) for r in graph.cycle_edges(d).collect()) == want
+        assert len(cuts) < 14
+
+
+def test_a_small_rest_is_one_group(spark, monkeypatch):
+    """No parts are looked for where all that is left is within the bound of one."""
+    monkeypatch.setattr(graph, "joined_parts", None)
+    monkeypatch.setattr(graph, "DOUBLED", 50)
+    rng = random.Random(4)
+    edges = {(rng.randrange(60), rng.randrange(60)) for _ in range(90)}
+    leads = reach(edges)
+    d = spark.createDataFrame(sorted(edges), "src int, dst int").coalesce(1)
+    assert sorted(tuple(r) for r in graph.cycle_edges(d).collect()) == sorted(e for e in edges if e[0] in leads[e[1]] or e[0] == e[1])
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_cycles_without_groups(spark, monkeypatch, seed):
+    """Contraction and colouring still find the same where no part is small enough for a group."""
+    monkeypatch.setattr(graph, "PART", 0)
+    monkeypatch.setattr(graph, "DOUBLED", 10)
+    rng = random.Random(seed)
+    edges = {(rng.randrange(15), rng.randrange(15)) for _ in range(26)} | {(100 + i, 100 + (i + 1) % 12) for i in range(12)}
+    leads = reach(edges)
+    d = spark.createDataFrame(sorted(edges), "src int, dst int").coalesce(1)
+    assert sorted(tuple(r) for r in graph.cycle_edges(d).collect()) == sorted(e for e in edges if e[0] in leads[e[1]] or e[0] == e[1])
