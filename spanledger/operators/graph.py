@@ -311,12 +311,17 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df as Parquet beside the checkpoints: for wide rows that are read again by few columns."""
+    """df as Parquet beside the checkpoints: for wide rows that are read again by few columns. What it took to make them is shuffled files that nobody reads again; they go with it."""
     import uuid
 
-    path = f"{shared_folder(df)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    path, conf, clean = f"{shared_folder(df)}/stored-{uuid.uuid4().hex}", df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(clean, "false")
+    conf.set(clean, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(clean, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def mark_cycles(edges: DataFrame, kinds: tuple[str, ...] = ("refines", "composed_of"), note: str = " [cycle]") -> DataFrame:

@@ -9,7 +9,7 @@ from spanledger.functions import text
 from spanledger.operators import annotate, audit, graph, lines, packets, refs, segment, statements, status, views
 from spanledger.plans.regtext import LINES_SQL, REG_SQL, reg_lines, table
 
-from .catalog import REFS, all_refs, big, reg_spans
+from .catalog import REFS, all_refs, big, kept_spans, reg_spans
 
 BEARING = audit.BEARING
 
@@ -241,11 +241,12 @@ def document_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = graph.stored(reg_spans(spark, sf_dir))
+    spans = kept_spans(spark, sf_dir)
     st = spans.selectExpr("doc_id", "concat('R', seq) AS req_id", "span_id AS source_span_id", "seq")
     ids: Column = F.concat(F.col("doc_id"), F.lit(":R"), F.col("seq"))
     intra = st.select(ids.alias("src"), F.concat(F.col("doc_id"), F.lit(":R"), F.col("seq") + 1).alias("dst"), F.lit("intra").alias("scope"), F.lit("refines").alias("type"), F.col("doc_id").alias("src_doc"), F.col("doc_id").alias("dst_doc"))
-    return refs.atomic_map(all_refs(spark, sf_dir, spans), st.drop("seq"), intra.unionByName(intra))[2]
+    twice = intra.withColumn("time", F.explode(F.array(F.lit(1), F.lit(2)))).drop("time")  # side by side, so that they merge before the shuffle
+    return refs.atomic_map(all_refs(spark, sf_dir, spans), st.drop("seq"), twice)[2]
 
 
 def regulation_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
