@@ -250,7 +250,8 @@ def map_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regulation_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = segment.regulation_spans(reg_lines(spark, sf_dir), F.col("doc_id") + 100)
+    # made once for the spans and their parents
+    out = graph.stored(segment.regulation_spans(reg_lines(spark, sf_dir), F.col("doc_id") + 100).select("doc_id", "span_id", "parent_span_id", "kind", "cite"))
     up = out.select("doc_id", F.col("span_id").alias("parent_span_id"), F.col("cite.raw").alias("parent_raw"))
     t = out.join(up, ["doc_id", "parent_span_id"], "left")
     return t.groupBy("doc_id", "kind", F.col("cite.title").alias("title"), F.col("cite.part").alias("part"), F.col("cite.section").alias("section"), F.size("cite.paragraphs").cast("bigint").alias("depth"), "parent_raw").agg(F.count(F.lit(1)).alias("n"), F.min("cite.raw").alias("first_raw"))
