@@ -135,8 +135,8 @@ def signal_hits_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def modal_in_span(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Modal hits by byte, dealt to the spans that hold them."""
-    raw = graph.stored(reg_lines(spark, sf_dir))
+    """Modal hits by byte, dealt to the spans that hold them. The lines are made for the hits and for the spans from one shuffle by document, which serves all windows."""
+    raw = reg_lines(spark, sf_dir)
     at = lines.with_offsets(raw)
     openings = segment.regulation_openings(raw, F.col("doc_id") + 100)  # kinds and bytes alone, no citations
     spans = openings.select("doc_id", F.format_string("S%04d", "seq").alias("span_id"), "kind", "byte_start", "byte_end")

@@ -2,11 +2,22 @@
 
 from pyspark.sql import functions as F
 
-from spanledger.queries import reports
+from spanledger.operators import graph
+from spanledger.queries import reports, texts
 
 SF = "/root/testdata/sf0.001"
 
 
+def test_hits_and_spans_share_the_lines_of_one_shuffle(spark, monkeypatch):
+    want = sorted(texts.modal_in_span(spark, SF).collect())
+    monkeypatch.setattr(graph, "stored", None)
+    df = texts.modal_in_span(spark, SF)
+    assert sorted(df.collect()) == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert "ReusedExchange" in final
+
+
 def test_parents_are_looked_up_among_spans_made_once(spark):
     df = reports.regulation_parents(spark, SF)
     assert "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
