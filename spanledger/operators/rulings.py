@@ -206,11 +206,13 @@ def rule_downgrades(classes: DataFrame, spans: DataFrame, statements: DataFrame,
         .when((decision == EXTRACT) & F.col("text").isNull(), NO_SPAN)
         .when((decision == EXTRACT) & F.col("bad").isNotNull(), F.concat(F.lit("requirements["), "bad", F.lit("]: verbatim_quote not found in source span")))
         .when(~decision.isin(CONFIRM, EXTRACT), invalid("decision", decision)))
+    # the window deals the rows anew: what a decision that does not count brought along stays behind
+    kept = lambda c: F.when(F.col("reason").isNull(), F.col(c)).alias(c)
+    judged = judged.select("doc_id", "span_id", "seq", "decision", "reason", "known", kept("label"), kept("quotes"), kept("rows"))
     first = F.min(F.when(F.col("reason").isNull(), F.col("seq"))).over(Window.partitionBy("doc_id", "span_id"))
     judged = judged.withColumn("first", first)
     judged = judged.withColumn("reason", F.when(F.col("known") & (F.col("seq") > F.col("first")), NO_PENDING).otherwise(F.col("reason")))
     # judged once for classes, statements and log; only extractions that count go on with their rows
-    kept = lambda c: F.when(F.col("reason").isNull(), F.col(c)).alias(c)
     judged = stored(judged.select("doc_id", "span_id", "seq", "decision", "reason", kept("label"), kept("quotes"), kept("rows")))
     counted = judged.filter("reason IS NULL")
     ruling = counted.select("doc_id", "span_id", "decision", "label")
@@ -243,9 +245,9 @@ def extracted(counted: DataFrame, statements: DataFrame) -> DataFrame:
 
 
 def tally(logs: dict[str, DataFrame]) -> DataFrame:
-    """doc_id, kind, outcome, reason, n: how many decisions of each kind led to what."""
+    """doc_id, kind, outcome, reason, n: how many decisions of each kind led to what. Each kind's counts are written before the next kind is judged, so that what one takes to judge is gone by then."""
     out = None
     for kind, log in logs.items():
-        own = log.groupBy("doc_id", "outcome", "reason").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(kind))
+        own = stored(log.groupBy("doc_id", "outcome", "reason").agg(F.count(F.lit(1)).alias("n"))).withColumn("kind", F.lit(kind))
         out = own if out is None else out.unionByName(own)
     return out.select("doc_id", "kind", "outcome", "reason", "n")
