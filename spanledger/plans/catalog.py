@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spanledger.functions.text import clean_paragraph
 from spanledger.operators import views
 from spanledger.operators.audit import is_bearing
+from spanledger.operators.graph import stored
 
 # Headings of the parts, in order.
 DEFINITIONS, SCOPE, REQUIREMENTS, TAGS, LOG, AMBIGUOUS, APPENDIX = (
@@ -34,8 +35,13 @@ def section_key(section: Column) -> Column:
     return F.slice(filled, 1, DEPTH)
 
 
-def headed(rows: DataFrame, part: int, *heads: str) -> DataFrame:
-    """rows (doc_id, key, line) of one part, after its heading and a blank line and before a blank one, in documents that have any."""
+def headed(pieces: DataFrame | tuple[DataFrame, ...], part: int, *heads: str) -> DataFrame:
+    """Rows (doc_id, key, line) of one part, after its heading and a blank line and before a blank one, in documents that
+    have any. Each piece is written before the next is made: what its joins and windows shuffle is gone by then."""
+    kept = [stored(p.select("doc_id", "key", "line")) for p in (pieces if isinstance(pieces, tuple) else (pieces,))]
+    rows = kept[0]
+    for p in kept[1:]:
+        rows = rows.unionByName(p)
     docs = rows.select("doc_id").distinct()
     lines = [line for h in heads for line in (h, "")]
     top = docs.select("doc_id", F.posexplode(F.array(*map(F.lit, lines))).alias("k", "line"))
@@ -70,7 +76,7 @@ def requirement_part(spans: DataFrame, statements: DataFrame, edges: DataFrame)
     head = head.select("doc_id", F.concat("place", key(-2, F.col("k"))).alias("key"), "line")
     own = span_lines(bearing)
     below = statement_part(bearing, statements, edges)
-    return headed(head.unionByName(own).unionByName(below), 4, REQUIREMENTS)
+    return headed((head, own, *below), 4, REQUIREMENTS)
 
 
 def span_lines(bearing: DataFrame) -> DataFrame:
@@ -82,12 +88,12 @@ def span_lines(bearing: DataFrame) -> DataFrame:
     return rows.withColumn("k", F.col("k") - 10).unionByName(end).select("doc_id", F.concat("place", key(F.col("at"), F.col("k"))).alias("key"), "line")
 
 
-def statement_part(bearing: DataFrame, statements: DataFrame, edges: DataFrame) -> DataFrame:
-    """A statement's lines in order: itself, its fields, what it leads to with the evidence, what leads to it."""
+def statement_part(bearing: DataFrame, statements: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A statement's lines in order: itself, its fields, what it leads to with the evidence, what leads to it. The fields come apart."""
     within = Window.partitionBy("doc_id", "source_span_id").orderBy("req_id")
     st = statements.withColumn("no", F.row_number().over(within))
     at = bearing.select("doc_id", F.col("span_id").alias("source_span_id"), "place", F.col("at").alias("span_at"))
-    st = st.join(at, ["doc_id", "source_span_id"]).withColumn("at", F.concat("place", key(F.col("span_at"), F.col("no"))))
+    st = stored(st.join(at, ["doc_id", "source_span_id"]).withColumn("at", F.concat("place", key(F.col("span_at"), F.col("no")))))
     lists = {c: F.coalesce(F.col(c), F.array().cast("array<string>")) for c in ("tags", "conditions")}
     fields = [
         (c, F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(f"  - {c}: "), c))) for c in ("subject", "object")
@@ -100,7 +106,7 @@ def statement_part(bearing: DataFrame, statements: DataFrame, edges: DataFrame)
     rank = F.when(F.col("ord.k") == 0, 0).when(F.col("ord.k") == 1, 9).when(F.col("ord.k") == 2, 10).otherwise(12)
     own = own.select("doc_id", F.concat("ord.at", key(rank)).alias("key"), "line")
     more = views.rows_of(st, *((k, line) for k, (_, line) in enumerate(fields, 1)))
-    return own.unionByName(more.select("doc_id", F.concat("ord.at", key(F.col("ord.k"))).alias("key"), "line"))
+    return own, more.select("doc_id", F.concat("ord.at", key(F.col("ord.k"))).alias("key"), "line")
 
 
 def tag_part(statements: DataFrame) -> DataFrame:
